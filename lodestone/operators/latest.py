@@ -33,13 +33,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
     # max over a struct compares field by field; a null field sorts lowest,
-    # which is "descending, nulls last" on every field.
+    # which is "descending, nulls last" on every field. A struct buffer is not
+    # hash-aggregatable (Spark plans a sort aggregate), so with one value the
+    # rows are first combined per (keys, order) by a map-side hash aggregate:
+    # max(value) there is the value tie-break, and the sort aggregate then
+    # sees at most one row per distinct (keys, order) per task.
+    if len(values) == 1:
+        df = df.groupBy(*keys, *order_desc).agg(F.max(values[0]).alias(values[0]))
     names = [f"_o{i}" for i in range(len(order_desc))] + [f"_v{i}" for i in range(len(values))]
     packed = F.struct(*[F.col(c).alias(n) for c, n in zip(order_desc + values, names)])
     best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
     return best.select(*keys, *[F.col("_best").getField(f"_v{i}").alias(v) for i, v in enumerate(values)])
 
-
 def top1(df: DataFrame, order_desc: Sequence[str], values: Sequence[str]) -> DataFrame:
     """At most one row: the greatest by ``order_desc`` then ``values`` (LIM-1).
 

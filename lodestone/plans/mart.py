@@ -72,16 +72,29 @@ def build_fact(metal: DataFrame, fx: DataFrame, fred: DataFrame, news: DataFrame
     n, n_small = bounded(news_daily(news), max_broadcast_rows)
     joined = left_join_sized(rated, n, [("trade_date", "news_date"), ("commodity_code", "topics")], n_small)
 
+    # One scalar subquery carries every one-row value: the newest IDR rate
+    # (null when there is none) and the three macro columns.
     latest = currency_latest(fx, target)
-    macro = macro_pivot(fred).select(F.struct(*[c for _, c in config.MACRO_COLUMNS]).alias("m")).scalar()
-    rate = F.coalesce(F.col("exchange_rate"), latest.scalar())
-    fact = joined.select(
+    macro_cols = [c for _, c in config.MACRO_COLUMNS]
+    params = macro_pivot(fred).select(
+        F.struct(latest.scalar().alias("latest_rate"), *macro_cols).alias("p")).scalar()
+    # Referenced once, then read through the alias, so it is planned once.
+    with_params = joined.select("commodity_code", "price_usd", "trade_date", "daily_mentions",
+                                "exchange_rate", params.alias("p"))
+    rated_row = with_params.select(
+        "commodity_code", "price_usd", "trade_date", "daily_mentions", "p",
+        F.coalesce(F.col("exchange_rate"), F.col("p").getField("latest_rate")).alias("usd_to_idr"))
+    fact = rated_row.select(
         F.col("commodity_code"),
         F.col("price_usd").alias("price_usd_per_gr"),
-        rate.alias("usd_to_idr"),
-        (F.col("price_usd") * rate).alias("price_idr_per_gr"),
+        F.col("usd_to_idr"),
+        (F.col("price_usd") * F.col("usd_to_idr")).alias("price_idr_per_gr"),
         F.coalesce(F.col("daily_mentions"), F.lit(0).cast("bigint")).alias("news_hype_count"),
-        *[macro.getField(c).alias(c) for _, c in config.MACRO_COLUMNS],
+        *[F.col("p").getField(c).alias(c) for c in macro_cols],
         F.col("trade_date"),
     )
-    return fact.where(latest.exists()) if strict else fact
+    if not strict:
+        return fact
+    # The reference cross-joins the latest-rate row: no IDR row, no fact rows.
+    has_rate = currency_daily(fx, target).select(F.lit(1).alias("one")).limit(1)
+    return fact.where(has_rate.exists())

@@ -160,3 +160,109 @@ def with_(*names: str, extra: dict[str, str] | None = None) -> str:
     parts = [CTE[n] for n in _closure(names)]
     parts += list((extra or {}).values())
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+# --- documents: expected flattened rows ----------------------------------------
+from lodestone.plans.demo import DEMO_SYMBOLS  # noqa: E402
+
+_SYMS = "(VALUES " + ", ".join(f"('{s}')" for s in DEMO_SYMBOLS) + ") AS syms(sym)"
+_CCYS = "(VALUES " + ", ".join(f"('{s}')" for s in config.CURRENCIES) + ") AS ccys(code)"
+_ISO_US = "'%Y-%m-%dT%H:%M:%S.%f'"
+
+CTE["flat_metal"] = f"""flat_metal AS (
+  SELECT strftime(md.ts, '%Y-%m-%dT%H:%M:%SZ') AS event_timestamp, syms.sym AS metal_symbol,
+         CASE WHEN p.price IS NULL THEN NULL WHEN day(md.d) = 13 THEN -p.price
+              WHEN day(md.d) = 29 THEN NULL ELSE p.price END AS price_usd,
+         'USD' AS currency_base, 'g' AS unit, strftime(md.d, '%Y-%m-%d') AS ingested_at
+  FROM (SELECT CAST(l_shipdate AS DATE) AS d, max(l_shipdate) AS ts FROM lineitem GROUP BY 1) md
+  CROSS JOIN {_SYMS}
+  LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,
+                    max(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2) p
+         ON p.d = md.d AND p.sym = syms.sym
+  WHERE day(md.d) <> 31)"""
+
+CTE["validated_metal"] = f"""SELECT strftime(CAST(substr(event_timestamp, 1, 19) AS TIMESTAMP), {_ISO_US}) AS event_timestamp,
+       metal_symbol, price_usd, currency_base, unit, ingested_at,
+       concat_ws(',', CASE WHEN price_usd IS NULL OR price_usd <= 0 THEN 'VAL-3' END) AS reject_reasons
+FROM flat_metal"""
+
+CTE["flat_currency"] = f"""flat_currency AS (
+  SELECT CASE WHEN day(cd.d) = 7 THEN 'someday'
+              ELSE strftime(cd.d, '%Y-%m-%d %H:%M:%S') || '+00' END AS rate_date,
+         ccys.code AS currency_code,
+         CASE WHEN p.rate IS NULL THEN NULL WHEN day(cd.d) = 13 THEN 0.0
+              WHEN day(cd.d) = 29 THEN NULL ELSE p.rate END AS exchange_rate,
+         'USD' AS base_currency, strftime(cd.d, '%Y-%m-%d') AS ingested_at
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) cd
+  CROSS JOIN {_CCYS}
+  LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, {_case('o_orderpriority', PRIORITY_CURRENCY)} AS code,
+                    max(o_totalprice) AS rate FROM orders GROUP BY 1, 2) p
+         ON p.d = cd.d AND p.code = ccys.code)"""
+
+CTE["validated_currency"] = f"""SELECT CASE WHEN rate_date = 'someday' THEN NULL
+            ELSE strftime(CAST(substr(rate_date, 1, 19) AS TIMESTAMP), {_ISO_US}) END AS rate_date,
+       currency_code, exchange_rate, base_currency, ingested_at,
+       concat_ws(',', CASE WHEN rate_date = 'someday' THEN 'VAL-5' END,
+                      CASE WHEN exchange_rate IS NULL OR exchange_rate <= 0 THEN 'VAL-7' END) AS reject_reasons
+FROM flat_currency"""
+
+CTE["flat_fred"] = f"""flat_fred AS (
+  SELECT {_case('l_returnflag', FLAG_SERIES)} AS series_id,
+         strftime(l_shipdate, '%Y-%m-%d') AS observation_date,
+         CASE WHEN l_discount = 0 THEN NULL WHEN l_tax = 0 THEN -l_extendedprice
+              ELSE l_extendedprice END AS observation_values,
+         'lin' AS units,
+         strftime(CAST(l_shipdate AS DATE) + l_linenumber, '%Y-%m-%d') AS ingested_at
+  FROM lineitem)"""
+
+CTE["validated_fred"] = f"""SELECT series_id, strftime(CAST(observation_date AS TIMESTAMP), {_ISO_US}) AS observation_date,
+       observation_values, units, ingested_at,
+       concat_ws(',', CASE WHEN observation_values <= 0 THEN 'VAL-11' END) AS reject_reasons
+FROM flat_fred"""
+
+CTE["flat_news"] = f"""flat_news AS (
+  SELECT strftime(nd.d, '%Y-%m-%d') || 'T00:00:00' AS news_timestamp, syms.sym AS keywords,
+         CAST(CASE WHEN p.sym IS NULL THEN 0 WHEN day(nd.d) = 29 THEN 0 WHEN day(nd.d) = 30 THEN NULL
+                   ELSE p.total END AS BIGINT) AS total_mentions,
+         CASE WHEN p.sym IS NULL THEN 'unknown' WHEN day(nd.d) = 13 THEN 'error' ELSE 'ok' END AS status,
+         strftime(nd.d, '%Y-%m-%d') AS ingested_at
+  FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY}) nd
+  CROSS JOIN {_SYMS}
+  LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,
+                    CAST(sum(CAST(trunc(l_quantity) AS BIGINT)) AS BIGINT) AS total
+             FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY} GROUP BY 1, 2) p
+         ON p.d = nd.d AND p.sym = syms.sym)"""
+
+CTE["validated_news"] = f"""SELECT strftime(CAST(news_timestamp AS TIMESTAMP), {_ISO_US}) AS news_timestamp,
+       keywords, total_mentions, status, ingested_at,
+       concat_ws(',', CASE WHEN total_mentions IS NULL OR total_mentions < 0 THEN 'VAL-12' END,
+                      CASE WHEN status <> 'ok' THEN 'VAL-13' END) AS reject_reasons
+FROM flat_news"""
+
+CTE["reject_summary"] = """SELECT feed, rule_id, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT 'metal' AS feed, 'VAL-3' AS rule_id FROM flat_metal WHERE price_usd IS NULL OR price_usd <= 0
+  UNION ALL SELECT 'currency', 'VAL-5' FROM flat_currency WHERE rate_date = 'someday'
+  UNION ALL SELECT 'currency', 'VAL-7' FROM flat_currency WHERE exchange_rate IS NULL OR exchange_rate <= 0
+  UNION ALL SELECT 'fred', 'VAL-11' FROM flat_fred WHERE observation_values <= 0
+  UNION ALL SELECT 'news', 'VAL-12' FROM flat_news WHERE total_mentions IS NULL OR total_mentions < 0
+  UNION ALL SELECT 'news', 'VAL-13' FROM flat_news WHERE status <> 'ok'
+) GROUP BY feed, rule_id"""
+
+CTE["envelope_summary"] = f"""SELECT feed, envelope_error, CAST(count(*) AS BIGINT) AS n_docs FROM (
+  SELECT 'metal' AS feed, CASE WHEN day(d) = 31 THEN 'status' ELSE 'ok' END AS envelope_error
+  FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
+  UNION ALL SELECT 'currency', 'ok' FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders)
+  UNION ALL SELECT 'fred', 'ok' FROM lineitem
+  UNION ALL SELECT 'news', CASE WHEN count(DISTINCT l_returnflag || l_linestatus) < {len(DEMO_SYMBOLS)}
+                                THEN 'incomplete' ELSE 'ok' END
+  FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY} GROUP BY CAST(l_shipdate AS DATE)
+) GROUP BY feed, envelope_error"""
+
+_LOOKBACK = "CASE " + " ".join(f"WHEN series_id = '{s}' THEN {d}" for s, d in config.LOOKBACK_DAYS.items()) \
+    + f" ELSE {config.DEFAULT_LOOKBACK_DAYS} END"
+
+CTE["lookback_window"] = ("SELECT * FROM stg_fred_data WHERE observation_date BETWEEN "
+                          "CAST('{run}' AS DATE) - CAST(" + _LOOKBACK.replace("{", "{{").replace("}", "}}")
+                          + " AS INTEGER) AND CAST('{run}' AS DATE)")
+CTE["news_window"] = (f"SELECT * FROM stg_news_data WHERE event_timestamp BETWEEN "
+                      f"CAST('{{run}}' AS DATE) - {config.NEWS_WINDOW_DAYS} AND CAST('{{run}}' AS DATE)")

@@ -64,3 +64,88 @@ def q_macro_latest_window(spark, sf):
 @register("macro_pivot", with_("fred_pivoted") + "SELECT * FROM fred_pivoted")
 def q_macro_pivot(spark, sf):
     return mart.macro_pivot(demo.staged(spark, sf, "fred"))
+
+
+# --- flatten (FLT-1..6) and validate (VAL-1..14) -----------------------------
+from lodestone.functions.casts import safe_bigint, safe_double  # noqa: E402
+from lodestone.operators import envelope, flatten, validate  # noqa: E402
+from lodestone.plans import documents  # noqa: E402
+from lodestone.plans.oracle import CTE  # noqa: E402
+
+DOMAINS = {"metal": demo.DEMO_SYMBOLS, "currency": None, "fred": None, "news": demo.DEMO_SYMBOLS}
+
+
+def flat(spark, sf, feed):
+    docs = envelope.accepted_documents(documents.DOCS[feed](spark, sf), feed)
+    dom = DOMAINS[feed]
+    return flatten.FLATTENERS[feed](docs, dom) if dom else flatten.FLATTENERS[feed](docs)
+
+
+TYPED_OUT = {
+    "metal": lambda df: df.withColumn("price_usd", safe_double("price_usd")),
+    "currency": lambda df: df.withColumn("exchange_rate", safe_double("exchange_rate")),
+    "fred": lambda df: df.withColumn("observation_values", F.when(F.col("observation_values") != ".",
+                                                                  safe_double("observation_values"))),
+    "news": lambda df: df.withColumn("total_mentions", safe_bigint("total_mentions")),
+}
+
+
+def checked(spark, sf, feed):
+    return validate.check(flat(spark, sf, feed), feed)
+
+
+def with_reasons_text(df):
+    return df.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
+
+
+for _feed in ("metal", "currency", "fred", "news"):
+    register(f"flatten_{_feed}", with_(extra={"x": CTE[f"flat_{_feed}"]}) + f"SELECT * FROM flat_{_feed}")(
+        (lambda feed: lambda spark, sf: TYPED_OUT[feed](flat(spark, sf, feed)))(_feed))
+    register(f"validate_{_feed}", with_(extra={"x": CTE[f"flat_{_feed}"]}) + CTE[f"validated_{_feed}"])(
+        (lambda feed: lambda spark, sf: with_reasons_text(checked(spark, sf, feed)))(_feed))
+
+
+@register("reject_summary", with_(extra={f: CTE[f"flat_{f}"] for f in ("metal", "currency", "fred", "news")})
+          + CTE["reject_summary"])
+def q_reject_summary(spark, sf):
+    parts = [validate.reject_summary(checked(spark, sf, f), f) for f in ("metal", "currency", "fred", "news")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("envelope_summary", CTE["envelope_summary"])
+def q_envelope_summary(spark, sf):
+    parts = []
+    for feed in ("metal", "currency", "fred", "news"):
+        docs = documents.DOCS[feed](spark, sf)
+        dom = demo.DEMO_SYMBOLS if feed == "news" else None
+        chk = envelope.check_envelope(docs, feed, dom, complete=(feed == "news"))
+        parts.append(chk.groupBy(F.coalesce("envelope_error", F.lit("ok")).alias("envelope_error"))
+                     .agg(F.count("*").alias("n_docs")).select(F.lit(feed).alias("feed"), "envelope_error", "n_docs"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- request windows (ENV-5, ENV-6) and partition window (SRC-8) -------------
+RUN_DATE = "2000-06-30"
+
+
+@register("lookback_window", with_("stg_fred_data") + CTE["lookback_window"].format(run=RUN_DATE))
+def q_lookback(spark, sf):
+    return envelope.lookback_window(demo.staged(spark, sf, "fred"), "series_id", "observation_date", RUN_DATE)
+
+
+@register("news_window", with_("stg_news_data") + CTE["news_window"].format(run=RUN_DATE))
+def q_news_window(spark, sf):
+    return envelope.news_window(demo.staged(spark, sf, "news"), "event_timestamp", RUN_DATE)
+
+
+@register("partition_window", with_(extra={"s": CTE["silver_metal"]})
+          + f"SELECT * FROM silver_metal WHERE ingested_at BETWEEN '1999-01-01' AND '{RUN_DATE}'")
+def q_partition_window(spark, sf):
+    from lodestone.sources.silver import partition_window
+    return partition_window(demo.silver_metal(spark, sf), RUN_DATE, start="1999-01-01")
