@@ -266,3 +266,40 @@ CTE["lookback_window"] = ("SELECT * FROM stg_fred_data WHERE observation_date BE
                           + " AS INTEGER) AND CAST('{run}' AS DATE)")
 CTE["news_window"] = (f"SELECT * FROM stg_news_data WHERE event_timestamp BETWEEN "
                       f"CAST('{{run}}' AS DATE) - {config.NEWS_WINDOW_DAYS} AND CAST('{{run}}' AS DATE)")
+
+
+# --- dashboard ------------------------------------------------------------------
+CTE["dash_price_daily"] = """SELECT trade_date, commodity_code, max(price_usd_per_gr) AS price_usd_per_gr
+FROM fact GROUP BY trade_date, commodity_code"""
+CTE["dash_price_vs"] = """SELECT trade_date, commodity_code, max(price_usd_per_gr) AS price_usd_per_gr, max({col}) AS {col}
+FROM fact GROUP BY trade_date, commodity_code"""
+CTE["dash_news_corr"] = """SELECT commodity_code, round(corr(CAST(mentions AS DOUBLE), price), 6) AS corr_mentions_price,
+       CAST(count(*) AS BIGINT) AS n_days
+FROM (SELECT trade_date, commodity_code, max(news_hype_count) AS mentions, max(price_usd_per_gr) AS price
+      FROM fact GROUP BY trade_date, commodity_code) GROUP BY commodity_code"""
+CTE["dash_usd_idr"] = """SELECT trade_date, round(avg(usd_to_idr), 4) AS avg_usd_to_idr,
+       (SELECT usd_to_idr FROM fact ORDER BY trade_date DESC NULLS LAST, usd_to_idr DESC NULLS LAST LIMIT 1)
+         AS latest_usd_to_idr
+FROM fact GROUP BY trade_date"""
+
+# --- keyword mentions (format with kws=tuple, by=column) ----------------------------
+_WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w IN {kws}))"
+CTE["keyword_mentions"] = ("WITH kw AS (SELECT unnest({kwlist}) AS keyword), "
+                           "hits AS (SELECT unnest(" + _WORDS + ") AS keyword FROM documents) "
+                           "SELECT kw.keyword, CAST(count(hits.keyword) AS BIGINT) AS mentions "
+                           "FROM kw LEFT JOIN hits ON hits.keyword = kw.keyword GROUP BY kw.keyword")
+CTE["keyword_mentions_by"] = ("SELECT {by}, keyword, CAST(count(*) AS BIGINT) AS mentions FROM "
+                              "(SELECT {by}, unnest(" + _WORDS + ") AS keyword FROM documents) "
+                              "GROUP BY {by}, keyword")
+
+# --- nested keys -------------------------------------------------------------------
+CTE["sanitize_keys_map"] = """SELECT l_orderkey, l_linenumber, 0 AS pos, l_returnflag || '_' || l_linestatus AS key,
+       l_tax AS value FROM lineitem
+UNION ALL
+SELECT l_orderkey, l_linenumber, 1 AS pos, '_' || CAST(l_linenumber AS VARCHAR) || '_line' AS key,
+       l_discount AS value FROM lineitem"""
+CTE["sanitize_keys_struct"] = """SELECT o_orderkey AS order_key, o_orderpriority AS _1st_priority,
+       o_totalprice AS total_price, o_custkey AS status_code_value, 1 AS status_fields FROM orders"""
+
+# --- NDJSON --------------------------------------------------------------------------
+CTE["ndjson_rows"] = """SELECT series_id, observation_date, observation_values, 5 AS n_keys FROM silver_fred"""

@@ -149,3 +149,87 @@ def q_news_window(spark, sf):
 def q_partition_window(spark, sf):
     from lodestone.sources.silver import partition_window
     return partition_window(demo.silver_metal(spark, sf), RUN_DATE, start="1999-01-01")
+
+
+# --- dashboard (DASH-1..6) ------------------------------------------------------
+from lodestone.plans import dashboard  # noqa: E402
+
+register("dash_price_daily", with_("fact") + CTE["dash_price_daily"])(
+    lambda spark, sf: dashboard.price_daily(fact(spark, sf)))
+for _col, _name in (("usd_index", "dash_price_vs_usd"), ("yield_10y", "dash_price_vs_yield"),
+                    ("cpi_index", "dash_price_vs_cpi")):
+    register(_name, with_("fact") + CTE["dash_price_vs"].format(col=_col))(
+        (lambda col: lambda spark, sf: dashboard.price_vs(fact(spark, sf), col))(_col))
+register("dash_news_corr", with_("fact") + CTE["dash_news_corr"])(
+    lambda spark, sf: dashboard.news_price_corr(fact(spark, sf)))
+register("dash_usd_idr", with_("fact") + CTE["dash_usd_idr"])(
+    lambda spark, sf: dashboard.usd_idr(fact(spark, sf)))
+
+
+# --- keyword mentions over documents (ENV-7) ------------------------------------
+from lodestone import config  # noqa: E402
+from lodestone.operators import mentions  # noqa: E402
+
+# Common words of the four languages of the document table, used
+# to exercise the operator where the metal keywords never occur.
+DEMO_WORDS = ("the", "and", "of", "le", "la", "de", "el", "der", "und")
+
+register("keyword_mentions", CTE["keyword_mentions"].format(kws=config.NEWS_KEYWORDS, kwlist=list(config.NEWS_KEYWORDS)))(
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"), config.NEWS_KEYWORDS))
+register("keyword_mentions_words", CTE["keyword_mentions"].format(kws=DEMO_WORDS, kwlist=list(DEMO_WORDS)))(
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"), DEMO_WORDS))
+register("keyword_mentions_by_lang", CTE["keyword_mentions_by"].format(kws=DEMO_WORDS, by="lang"))(
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"), DEMO_WORDS,
+                                                by=["lang"]))
+register("keyword_mentions_by_source", CTE["keyword_mentions_by"].format(kws=config.NEWS_KEYWORDS + DEMO_WORDS,
+                                                                          by="source"))(
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"),
+                                                config.NEWS_KEYWORDS + DEMO_WORDS, by=["source"]))
+
+
+# --- nested key clean-up (JSN-1) -------------------------------------------------
+from lodestone.functions.keys import sanitize_column, sanitize_keys  # noqa: E402
+
+
+@register("sanitize_keys_map", CTE["sanitize_keys_map"])
+def q_sanitize_map(spark, sf):
+    li = demo.table(spark, sf, "lineitem")
+    raw = F.map_from_arrays(
+        F.array(F.concat_ws("-", "l_returnflag", "l_linestatus"), F.concat_ws("_", "l_returnflag", "l_linestatus"),
+                F.concat(F.col("l_linenumber").cast("string"), F.lit(" line"))),
+        F.array("l_quantity", "l_tax", "l_discount"))
+    df = li.select("l_orderkey", "l_linenumber", raw.alias("m"))
+    clean = sanitize_keys(df, "m")
+    return clean.select("l_orderkey", "l_linenumber", F.posexplode("m").alias("pos", "key", "value"))
+
+
+STRUCT_DOC = ("`order-key` bigint, `1st priority` string, `total price` double, "
+              "status struct<`code.value`: string, code_value: bigint>")
+
+
+@register("sanitize_keys_struct", CTE["sanitize_keys_struct"])
+def q_sanitize_struct(spark, sf):
+    o = demo.table(spark, sf, "orders")
+    doc = F.to_json(F.struct(F.col("o_orderkey").alias("order-key"), F.col("o_orderpriority").alias("1st priority"),
+                             F.col("o_totalprice").alias("total price"),
+                             F.struct(F.col("o_orderstatus").alias("code.value"),
+                                      F.col("o_custkey").alias("code_value")).alias("status")))
+    parsed = o.select(F.from_json(doc, STRUCT_DOC).alias("d"))
+    clean = parsed.select(sanitize_column(F.col("d"), parsed.schema["d"].dataType).alias("d"))
+    return clean.select("d.order_key", "d._1st_priority", "d.total_price",
+                        F.col("d.status.code_value").alias("status_code_value"),
+                        F.size(F.array(F.col("d.status.*"))).alias("status_fields"))
+
+
+# --- NDJSON lines (SRC-13, JSN-3) -------------------------------------------------
+from lodestone.sources.bronze import to_ndjson  # noqa: E402
+
+
+@register("ndjson_rows", with_(extra={"s": CTE["silver_fred"]}) + CTE["ndjson_rows"])
+def q_ndjson(spark, sf):
+    s = demo.silver_fred(spark, sf)
+    lines = s.select(to_ndjson(s).alias("line"))
+    return lines.select(F.get_json_object("line", "$.series_id").alias("series_id"),
+                        F.get_json_object("line", "$.observation_date").alias("observation_date"),
+                        F.get_json_object("line", "$.observation_values").cast("double").alias("observation_values"),
+                        F.size(F.json_object_keys("line")).alias("n_keys"))
