@@ -81,3 +81,34 @@ def news_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DOCS = {"metal": metal_docs, "currency": currency_docs, "fred": fred_docs, "news": news_docs}
+
+
+# Fixed values of the demo listing: file name per order priority ("misc" is a
+# feed the back-fill cannot classify).
+PRIORITY_FILE = (("1-URGENT", "metal_prices"), ("2-HIGH", "currency_rates"), ("3-MEDIUM", "fred_data"),
+                 ("4-NOT SPECIFIED", "news_data"), ("5-LOW", "misc_feed"))
+PRIORITY_FEED = (("1-URGENT", "metal"), ("2-HIGH", "currency"), ("3-MEDIUM", "fred"),
+                 ("4-NOT SPECIFIED", "news"), ("5-LOW", "misc"))
+SMALL_ORDER = 20000
+
+
+def backfill_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An old-layout object listing played by orders: one object per order.
+    Finished orders are silver objects, the rest bronze; pending orders are
+    already in the new layout; small orders are a CSV in silver and broken
+    JSON in bronze. Many orders share a (feed, day), so the last-write-wins
+    rule decides between them."""
+    o = table(spark, sf_dir, "orders")
+    layer = F.when(F.col("o_orderstatus") == "F", F.lit("silver")).otherwise(F.lit("bronze"))
+    ts = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    small = F.col("o_totalprice") < SMALL_ORDER
+    ext = (F.when(layer == "silver", F.when(small, F.lit(".csv")).otherwise(F.lit(".parquet")))
+           .otherwise(F.lit(".json")))
+    old = F.concat(layer, F.lit("/"), ts, F.lit("/"), _case("o_orderpriority", PRIORITY_FILE), F.lit("-"), ts,
+                   F.lit("-"), F.col("o_orderkey").cast("string"), ext)
+    new = F.concat(layer, F.lit("/"), _case("o_orderpriority", PRIORITY_FEED), F.lit("/ingested_at="),
+                   F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("/data"), ext)
+    key = F.when(F.col("o_orderstatus") == "P", new).otherwise(old)
+    content = F.when(layer == "bronze", F.when(small, F.lit("{broken")).otherwise(
+        F.to_json(F.struct("o_orderkey", "o_totalprice"))))
+    return o.select(layer.alias("layer"), key.alias("old_key"), content.alias("content"))

@@ -303,3 +303,55 @@ CTE["sanitize_keys_struct"] = """SELECT o_orderkey AS order_key, o_orderpriority
 
 # --- NDJSON --------------------------------------------------------------------------
 CTE["ndjson_rows"] = """SELECT series_id, observation_date, observation_values, 5 AS n_keys FROM silver_fred"""
+
+
+# --- back-fill --------------------------------------------------------------------------
+from lodestone.plans.documents import PRIORITY_FEED, PRIORITY_FILE, SMALL_ORDER  # noqa: E402
+
+_FEED_CASE = "CASE " + " ".join(
+    "WHEN " + " OR ".join(f"contains(old_key, '{p}')" for p in pats) + f" THEN '{feed}'"
+    for feed, pats in config.FEED_PATTERNS) + " END"
+
+CTE["backfill_manifest"] = f"""listing AS (
+  SELECT layer,
+         CASE WHEN o_orderstatus = 'P'
+              THEN layer || '/' || {_case('o_orderpriority', PRIORITY_FEED)} || '/ingested_at='
+                   || strftime(o_orderdate, '%Y-%m-%d') || '/data' || ext
+              ELSE layer || '/' || ts || '/' || {_case('o_orderpriority', PRIORITY_FILE)} || '-' || ts || '-'
+                   || CAST(o_orderkey AS VARCHAR) || ext END AS old_key,
+         CASE WHEN layer = 'bronze' THEN o_totalprice >= {SMALL_ORDER} END AS content_ok
+  FROM (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'silver' ELSE 'bronze' END AS layer,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts,
+               CASE WHEN o_orderstatus = 'F' THEN CASE WHEN o_totalprice < {SMALL_ORDER} THEN '.csv' ELSE '.parquet' END
+                    ELSE '.json' END AS ext
+        FROM orders)),
+classified AS (
+  SELECT layer, old_key, {_FEED_CASE} AS feed,
+         NULLIF(split_part(split_part(old_key, '/', 2), ' ', 1), '') AS ingest_day, content_ok
+  FROM listing),
+outcomes AS (
+  SELECT layer, old_key, feed, ingest_day, TRY_CAST(ingest_day AS DATE) IS NOT NULL AS day_is_date,
+         CASE WHEN contains(old_key, 'ingested_at=') THEN 'already_partitioned'
+              WHEN ends_with(old_key, '/') THEN 'folder'
+              WHEN layer = 'silver' AND NOT ends_with(old_key, '.parquet') THEN 'not_parquet'
+              WHEN feed IS NULL THEN 'unclassified'
+              WHEN ingest_day IS NULL THEN 'failed'
+              WHEN layer = 'bronze' AND NOT content_ok THEN 'failed'
+              ELSE 'migrated' END AS outcome
+  FROM classified),
+keyed AS (
+  SELECT *, CASE WHEN outcome = 'migrated' THEN layer || '/' || feed || '/ingested_at=' || ingest_day || '/data.'
+                 || CASE WHEN layer = 'silver' THEN 'parquet' ELSE 'json' END END AS new_key
+  FROM outcomes),
+manifest AS (
+  SELECT k.*, coalesce(w.winner_key = k.old_key, false) AS is_winner
+  FROM keyed k LEFT JOIN (SELECT new_key, max(old_key) AS winner_key FROM keyed WHERE outcome = 'migrated'
+                          GROUP BY new_key) w ON w.new_key = k.new_key)"""
+
+CTE["backfill_summary"] = """SELECT layer, CAST(count(*) AS BIGINT) AS n_listed, """ + ", ".join(
+    f"CAST(sum(CASE WHEN outcome = '{o}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{o}"
+    for o in ("migrated", "failed", "unclassified", "already_partitioned", "folder", "not_parquet")) + """,
+       true AS listing_complete,
+       sum(CASE WHEN outcome = 'failed' THEN 1 ELSE 0 END) = 0 AND sum(CASE WHEN outcome = 'unclassified' THEN 1 ELSE 0 END) = 0
+         AND sum(CASE WHEN outcome = 'migrated' THEN 1 ELSE 0 END) > 0 AS ok_to_delete
+FROM manifest GROUP BY layer"""

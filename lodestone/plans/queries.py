@@ -233,3 +233,19 @@ def q_ndjson(spark, sf):
                         F.get_json_object("line", "$.observation_date").alias("observation_date"),
                         F.get_json_object("line", "$.observation_values").cast("double").alias("observation_values"),
                         F.size(F.json_object_keys("line")).alias("n_keys"))
+
+
+# --- back-fill manifest (MIG-1..10) ----------------------------------------------
+from lodestone.operators import backfill  # noqa: E402
+
+
+def _manifest(spark, sf):
+    return backfill.manifest(documents.backfill_listing(spark, sf)).drop("content")
+
+
+register("backfill_manifest", with_(extra={"m": CTE["backfill_manifest"]}) + "SELECT * FROM manifest")(_manifest)
+register("backfill_summary", with_(extra={"m": CTE["backfill_manifest"]}) + CTE["backfill_summary"])(
+    lambda spark, sf: backfill.summary(_manifest(spark, sf)))
+register("backfill_delete_candidates", with_(extra={"m": CTE["backfill_manifest"]})
+         + "SELECT layer, old_key, new_key FROM manifest WHERE outcome = 'migrated'")(
+    lambda spark, sf: backfill.delete_candidates(_manifest(spark, sf)))
