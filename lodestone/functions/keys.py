@@ -76,26 +76,18 @@ def sanitize_column(c: Column, dt: DataType) -> Column:
         return F.when(c.isNotNull(), F.struct(*fields))
     if isinstance(dt, ArrayType):
         return F.transform(c, lambda e: sanitize_column(e, dt.elementType))
-    # map: clean keys, keep the first position and the last value per key
-    clean_key = isinstance(dt.keyType, StringType)
-    entries = F.transform(
-        F.map_entries(c),
-        lambda e: F.struct(
-            (sanitize_key(e["key"]) if clean_key else e["key"]).alias("key"),
-            sanitize_column(e["value"], dt.valueType).alias("value"),
-        ),
-    )
-    keys = F.transform(entries, lambda e: e["key"])
-    firsts = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    merged = F.transform(
-        firsts,
-        lambda e: F.struct(
-            e["key"].alias("key"),
-            F.element_at(F.filter(entries, lambda x: x["key"] == e["key"]), -1)["value"].alias("value"),
-        ),
-    )
-    return F.when(c.isNotNull(), F.map_from_entries(merged))
-
+    # map: clean keys; array_distinct keeps first positions, and the value of
+    # each distinct key is taken from its last occurrence.
+    keys = F.map_keys(c)
+    if isinstance(dt.keyType, StringType):
+        keys = F.transform(keys, sanitize_key)
+    vals = F.map_values(c)
+    if _needs_work(dt.valueType):
+        vals = F.transform(vals, lambda v: sanitize_column(v, dt.valueType))
+    distinct = F.array_distinct(keys)
+    last = F.transform(distinct, lambda k: F.element_at(
+        vals, (F.size(keys) - F.array_position(F.reverse(keys), k) + 1).cast("int")))
+    return F.when(c.isNotNull(), F.map_from_arrays(distinct, last))
 
 def sanitize_keys(df, *columns: str):
     """Apply the clean-up to the named nested columns of ``df`` (all by default)."""

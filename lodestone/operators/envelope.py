@@ -39,8 +39,13 @@ def _top_level(value: Column) -> Column:
 def check_envelope(docs: DataFrame, feed: str, domain: Sequence[str] | None = None,
                    complete: bool = False) -> DataFrame:
     """ENV-1 empty body or empty object; not JSON; ENV-2 metal status;
-    ENV-4 (``complete=True``, at landing) every configured series or keyword present."""
-    top = _top_level(F.col("value"))
+    ENV-4 (``complete=True``, at landing) every configured series or keyword present.
+
+    Adds ``envelope_error`` and ``top`` (the document's top level as
+    map<string,string>, parsed once and reused by the checks and by the
+    macro flattener)."""
+    parsed = docs.withColumn("top", _top_level(F.col("value")))
+    top = F.col("top")
     err = (F.when(F.coalesce(F.length(F.trim("value")), F.lit(0)) == 0, F.lit("empty"))
            .when(top.isNull(), F.lit("not_json"))
            .when(F.size(top) == 0, F.lit("empty_object")))
@@ -50,12 +55,24 @@ def check_envelope(docs: DataFrame, feed: str, domain: Sequence[str] | None = No
     if complete and feed in ("fred", "news"):
         wanted = domain_array(domain or (config.FRED_SERIES if feed == "fred" else config.NEWS_KEYWORDS))
         err = err.when(F.size(F.array_except(wanted, F.map_keys(top))) > 0, F.lit("incomplete"))
-    return docs.withColumn("envelope_error", err)
+    return parsed.withColumn("envelope_error", err)
 
 
 def accepted_documents(docs: DataFrame, feed: str, domain: Sequence[str] | None = None,
                        complete: bool = False) -> DataFrame:
-    return check_envelope(docs, feed, domain, complete).where(F.col("envelope_error").isNull()).drop("envelope_error")
+    """Documents with their parsed ``top`` and an ``accepted`` flag.
+
+    Deliberately not a filter: Catalyst would push ``envelope_error IS NULL``
+    below the projections and inline the JSON parse into it several times.
+    The flatteners gate their ``explode`` on the flag instead, so a rejected
+    document yields no rows and the parse runs once per document."""
+    checked = check_envelope(docs, feed, domain, complete)
+    return checked.withColumn("accepted", F.col("envelope_error").isNull()).drop("envelope_error")
+
+
+def gated(docs: DataFrame, items: Column) -> Column:
+    """``items`` for accepted documents, null (so no exploded rows) otherwise."""
+    return F.when(F.col("accepted"), items) if "accepted" in docs.columns else items
 
 
 def lookback_days(series: Column) -> Column:

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone import config, schemas
-from lodestone.operators.envelope import clean_domain, domain_array
+from lodestone.functions.generators import explode_exact
+from lodestone.operators.envelope import clean_domain, domain_array, gated
 
 
 def _get(m: Column, key) -> Column:
@@ -23,8 +24,9 @@ def _get(m: Column, key) -> Column:
 
 
 def flatten_metal(docs: DataFrame, metals: Sequence[str] = config.METALS) -> DataFrame:
-    d = docs.select("ingested_at", F.from_json("value", schemas.METAL_DOC).alias("d"))
-    rows = d.select("ingested_at", "d", F.explode(domain_array(metals)).alias("metal_symbol"))
+    d = docs.select("ingested_at", F.from_json("value", schemas.METAL_DOC).alias("d"),
+                    *(["accepted"] if "accepted" in docs.columns else []))
+    rows = explode_exact(d, ["ingested_at", "d"], gated(docs, domain_array(metals)), ["metal_symbol"])
     return rows.select(
         _get(F.col("d.timestamps"), "metal").alias("event_timestamp"),
         F.col("metal_symbol"),
@@ -41,8 +43,9 @@ def flatten_currency(docs: DataFrame, currencies: Sequence[str] = config.CURRENC
     or not a number fails the whole job (``raise_error`` on the executor)."""
     from lodestone.functions.casts import safe_double
 
-    d = docs.select("ingested_at", F.from_json("value", schemas.CURRENCY_DOC).alias("d"))
-    rows = d.select("ingested_at", "d", F.explode(domain_array(currencies)).alias("currency_code"))
+    d = docs.select("ingested_at", F.from_json("value", schemas.CURRENCY_DOC).alias("d"),
+                    *(["accepted"] if "accepted" in docs.columns else []))
+    rows = explode_exact(d, ["ingested_at", "d"], gated(docs, domain_array(currencies)), ["currency_code"])
     rate = _get(F.col("d.rates"), F.col("currency_code"))
     if on_missing == "fail":
         rate = F.when(safe_double(rate).isNull(),
@@ -63,11 +66,12 @@ def flatten_fred(docs: DataFrame, series: Sequence[str] = config.FRED_SERIES) ->
     """Two-step parse: the outer object as map<string,string>, then each
     configured series on its own, so one badly typed series cannot null the
     whole document. Missing series or empty observations give no rows."""
-    outer = docs.select("ingested_at", F.explode(F.from_json("value", schemas.FRED_DOC_OUTER)).alias("series_id", "body"))
+    top = F.col("top") if "top" in docs.columns else F.from_json("value", schemas.FRED_DOC_OUTER)
+    outer = explode_exact(docs, ["ingested_at"], gated(docs, top), ["series_id", "body"])
     outer = outer.where(F.col("series_id").isin(list(clean_domain(series))))
     parsed = outer.select("ingested_at", "series_id", F.from_json("body", schemas.FRED_SERIES_DOC).alias("s"))
-    obs = parsed.select("ingested_at", "series_id", F.col("s.units").alias("units"),
-                        F.explode("s.observations").alias("o"))
+    obs = explode_exact(parsed, ["ingested_at", "series_id", F.col("s.units").alias("units")],
+                        F.col("s.observations"), ["o"])
     return obs.select(
         F.col("series_id"),
         F.col("o.date").alias("observation_date"),
@@ -83,7 +87,8 @@ def flatten_news(docs: DataFrame, keywords: Sequence[str] = config.NEWS_KEYWORDS
     no ``status`` -> "unknown"; a JSON null stays null and is rejected later.
     ``news_timestamp`` is the run instant (defaults to the load day)."""
     m = F.from_json("value", schemas.NEWS_DOC)
-    rows = docs.select("ingested_at", m.alias("m"), F.explode(domain_array(keywords)).alias("keywords"))
+    rows = explode_exact(docs.select("ingested_at", m.alias("m"), *(["accepted"] if "accepted" in docs.columns else [])),
+                         ["ingested_at", "m"], gated(docs, domain_array(keywords)), ["keywords"])
     inner = _get(F.col("m"), F.col("keywords"))
 
     def field(name: str, default: str) -> Column:

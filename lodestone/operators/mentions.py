@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.generators import explode_exact
 from lodestone.functions.text import WORD_SPLIT
 from lodestone.operators.envelope import clean_domain
 
@@ -25,7 +26,7 @@ def keyword_hits(docs: DataFrame, keywords: Sequence[str], text_col: str = "text
     kws = [k.lower() for k in clean_domain(keywords, "keywords")]
     words = F.split(F.lower(F.col(text_col)), WORD_SPLIT)
     found = F.array_distinct(F.filter(words, lambda w: w.isin(kws)))
-    return docs.select(*keep, F.explode(found).alias("keyword"))
+    return explode_exact(docs, list(keep), found, ["keyword"])
 
 
 def keyword_mentions(spark: SparkSession, docs: DataFrame, keywords: Sequence[str],

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestone import config
 from lodestone.functions.casts import flexible_timestamp, safe_bigint, safe_double
+from lodestone.functions.generators import explode_exact
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -113,6 +114,6 @@ def validate(raw: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
 
 def reject_summary(checked: DataFrame, feed: str) -> DataFrame:
     """Rows per failed rule (a row failing two rules counts under both)."""
-    return (checked.select(F.explode("reject_reasons").alias("rule_id"))
+    return (explode_exact(checked, [], F.col("reject_reasons"), ["rule_id"])
             .groupBy("rule_id").agg(F.count("*").alias("n_rows"))
             .select(F.lit(feed).alias("feed"), "rule_id", "n_rows"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.casts import iso_seconds
+from lodestone.session import spread
 from lodestone.operators import staging
 
 # Fixed values of the demo mapping.
@@ -32,8 +33,13 @@ DEMO_SYMBOLS = ("AF", "AO", "NF", "NO", "RF", "RO")
 NEWS_MIN_QUANTITY = 25
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+    """A driver table, pruned to ``columns`` and spread over the cores when it
+    is a handful of splits (see ``session.spread``; a no-op at scale)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df)
 
 
 def _case(col: str, pairs) -> Column:

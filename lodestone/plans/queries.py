@@ -188,6 +188,7 @@ register("keyword_mentions_by_source", CTE["keyword_mentions_by"].format(kws=con
 
 
 # --- nested key clean-up (JSN-1) -------------------------------------------------
+from lodestone.functions.generators import explode_exact  # noqa: E402
 from lodestone.functions.keys import sanitize_column, sanitize_keys  # noqa: E402
 
 
@@ -200,7 +201,7 @@ def q_sanitize_map(spark, sf):
         F.array("l_quantity", "l_tax", "l_discount"))
     df = li.select("l_orderkey", "l_linenumber", raw.alias("m"))
     clean = sanitize_keys(df, "m")
-    return clean.select("l_orderkey", "l_linenumber", F.posexplode("m").alias("pos", "key", "value"))
+    return explode_exact(clean, ["l_orderkey", "l_linenumber"], F.col("m"), ["key", "value"], position="pos")
 
 
 STRUCT_DOC = ("`order-key` bigint, `1st priority` string, `total price` double, "

@@ -72,3 +72,16 @@ def _is_uuid(s: str) -> bool:
         return True
     except ValueError:
         return False
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row stages at least one task per core.
+
+    A scan gets one task per file split; a single small file (one row group)
+    is one task, and everything narrow after it runs on one core. Below the
+    cluster's parallelism the rows are dealt round-robin to that many
+    partitions; a large input (thousands of splits) is returned unchanged,
+    so at scale this adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
