@@ -101,8 +101,8 @@ def list_objects(spark: SparkSession, root: str, layer: str, with_content: bool
     with content each file is one row of text (``wholetext``)."""
     base = root.rstrip("/")
     if with_content:
-        df = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-              .text(f"{base}/{layer}").select(F.col("_metadata.file_path").alias("path"),
+        df = (spark.read.option("recursiveFileLookup", "true")
+              .text(f"{base}/{layer}", wholetext=True).select(F.col("_metadata.file_path").alias("path"),
                                                F.col("value").alias("content")))
     else:
         df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -22,8 +22,7 @@ def read_bronze(spark: SparkSession, feed_root: str, days: Sequence[str] | None
                 whole_text: bool = False) -> DataFrame:
     """SRC-1: (ingested_at, value). ``whole_text`` reads a pretty-printed file
     as one document; otherwise each line is a document (NDJSON)."""
-    df = (spark.read.option("wholetext", str(whole_text).lower()).option("basePath", feed_root)
-          .schema(BRONZE_SCHEMA).text(feed_root))
+    df = spark.read.option("basePath", feed_root).schema(BRONZE_SCHEMA).text(feed_root, wholetext=whole_text)
     df = df.select("ingested_at", "value")
     if days is not None:
         df = df.where(F.col("ingested_at").isin(list(days)))
