@@ -51,8 +51,8 @@ def manifest(listing: DataFrame) -> DataFrame:
     ext = F.when(layer == "silver", F.lit("parquet")).otherwise(F.lit("json"))
     bad_content = F.lit(False)
     if "content" in listing.columns:
-        # MIG-6: bronze content must parse as a JSON object.
-        bad_content = (layer == "bronze") & F.from_json(F.col("content"), "map<string,string>").isNull()
+        # MIG-6: bronze content must parse as JSON (any value, as json.loads).
+        bad_content = (layer == "bronze") & F.try_parse_json(F.col("content")).isNull()
     outcome = (F.when(key.contains(config.PARTITION_MARKER), F.lit("already_partitioned"))
                .when(key.endswith("/"), F.lit("folder"))
                .when((layer == "silver") & ~key.endswith(".parquet"), F.lit("not_parquet"))
@@ -127,18 +127,22 @@ def run_backfill(spark: SparkSession, root: str, out_root: str | None = None) ->
     from lodestone import schemas
 
     out = (out_root or root).rstrip("/")
+    from lodestone.session import materialize
+
+    # The manifests are materialised first: the job writes below the folders
+    # it lists, and every later write must see the same listing.
     bronze = list_objects(spark, root, "bronze", with_content=True)
-    man_b = manifest(bronze.drop("path"))
+    man_b = materialize(manifest(bronze.drop("path")))
     win_b = man_b.where("is_winner").select(
         "feed", F.col("ingest_day").alias("ingested_at"),
-        F.to_json(F.from_json("content", "map<string,string>")).alias("value"))
+        F.to_json(F.try_parse_json("content")).alias("value"))   # one line, value types kept
     for feed in config.FEEDS:
         (win_b.where(F.col("feed") == feed).select("value", "ingested_at")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ingested_at").text(f"{out}/bronze/{feed}"))
 
     silver = list_objects(spark, root, "silver")
-    man_s = manifest(silver.drop("path"))
+    man_s = materialize(manifest(silver.drop("path")))
     winners = man_s.where("is_winner").select("old_key", "feed", F.col("ingest_day").alias("ingested_at"))
     for feed, patterns in config.FEED_PATTERNS:
         files = (spark.read.schema(schemas.SILVER[feed]).option("recursiveFileLookup", "true")
