@@ -355,3 +355,7 @@ CTE["backfill_summary"] = """SELECT layer, CAST(count(*) AS BIGINT) AS n_listed,
        sum(CASE WHEN outcome = 'failed' THEN 1 ELSE 0 END) = 0 AND sum(CASE WHEN outcome = 'unclassified' THEN 1 ELSE 0 END) = 0
          AND sum(CASE WHEN outcome = 'migrated' THEN 1 ELSE 0 END) > 0 AS ok_to_delete
 FROM manifest GROUP BY layer"""
+
+CTE["silver_roundtrip"] = """SELECT series_id, CAST(observation_date AS DATE) AS observation_date,
+       observation_values, units, CAST(ingested_at AS DATE) AS event_timestamp
+FROM flat_fred WHERE observation_values IS NULL OR observation_values > 0"""

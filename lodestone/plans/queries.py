@@ -250,3 +250,28 @@ register("backfill_summary", with_(extra={"m": CTE["backfill_manifest"]}) + CTE[
 register("backfill_delete_candidates", with_(extra={"m": CTE["backfill_manifest"]})
          + "SELECT layer, old_key, new_key FROM manifest WHERE outcome = 'migrated'")(
     lambda spark, sf: backfill.delete_candidates(_manifest(spark, sf)))
+
+
+# --- silver and mart tables written and read back (SRC-3..7, SRC-12) -------------
+from lodestone.plans import daily  # noqa: E402
+from lodestone.session import shared_path  # noqa: E402
+from lodestone.sources import silver as silver_io  # noqa: E402
+
+
+@register("silver_roundtrip", with_(extra={"x": CTE["flat_fred"]}) + CTE["silver_roundtrip"])
+def q_silver_roundtrip(spark, sf):
+    """Macro documents -> validated rows -> day-partitioned silver table in the
+    shared folder -> read back with the fixed schema -> staging."""
+    path = shared_path(spark, "silver-fred")
+    valid, _ = validate.validate(flat(spark, sf, "fred"), "fred")
+    silver_io.write_silver(valid, path, "fred")
+    from lodestone.operators.staging import stg_fred_data
+    return stg_fred_data(silver_io.read_silver(spark, path, "fred"))
+
+
+@register("mart_roundtrip", with_("fact") + "SELECT * FROM fact")
+def q_mart_roundtrip(spark, sf):
+    """The fact written as the trade-date partitioned mart table and read back."""
+    path = shared_path(spark, "mart")
+    daily.write_mart(fact(spark, sf), path)
+    return daily.read_mart(spark, path)

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from lodestone import config, schemas
 
 
-def write_silver(valid: DataFrame, path: str, feed: str, files_per_day: int | None = 1) -> None:
-    """SRC-3. ``files_per_day=1`` keeps the one-file-per-day layout for daily
-    loads (rows of one day go to one task via a shuffle on the day, not a
-    global coalesce); ``None`` leaves file sizing to the plan (back-fills)."""
+def write_silver(valid: DataFrame, path: str, feed: str, balance: bool = True) -> None:
+    """SRC-3. With ``balance`` the rows are rebalanced on the day before the
+    write: AQE coalesces small days into few tasks (a daily load is one file)
+    and splits a day that holds a large share of the rows over several tasks,
+    so no single task writes a hot day."""
     cols = schemas.column_names(schemas.SILVER[feed]) + [schemas.PARTITION_COLUMN]
     out = valid.select(*cols)
-    if files_per_day:
-        out = out.repartition(schemas.PARTITION_COLUMN)
+    if balance:
+        out = out.hint("rebalance", schemas.PARTITION_COLUMN)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(schemas.PARTITION_COLUMN).parquet(path))
 
