@@ -359,3 +359,12 @@ FROM manifest GROUP BY layer"""
 CTE["silver_roundtrip"] = """SELECT series_id, CAST(observation_date AS DATE) AS observation_date,
        observation_values, units, CAST(ingested_at AS DATE) AS event_timestamp
 FROM flat_fred WHERE observation_values IS NULL OR observation_values > 0"""
+
+CTE["gather_news_documents"] = f"""SELECT strftime(d, '%Y-%m-%d') AS ingested_at, count(*) AS n_keys,
+       CAST(sum(total) AS BIGINT) AS total_mentions
+FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,
+             sum(CAST(trunc(l_quantity) AS BIGINT)) AS total
+      FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY} GROUP BY 1, 2)
+GROUP BY d HAVING count(*) = {len(DEMO_SYMBOLS)}"""
+
+CTE["metal_units"] = "SELECT unit, count(*) AS n_rows FROM stg_metal_prices GROUP BY unit"

@@ -275,3 +275,27 @@ def q_mart_roundtrip(spark, sf):
     path = shared_path(spark, "mart")
     daily.write_mart(fact(spark, sf), path)
     return daily.read_mart(spark, path)
+
+
+# --- landing: gather per-keyword responses into one document (SRC-16/17, ENV-4) ----
+from lodestone.sources.bronze import gather_responses  # noqa: E402
+
+
+@register("gather_news_documents", CTE["gather_news_documents"])
+def q_gather_news(spark, sf):
+    li = demo.table(spark, sf, "lineitem").where(F.col("l_quantity") > demo.NEWS_MIN_QUANTITY)
+    per = li.groupBy(F.to_date("l_shipdate").alias("d"), demo.symbol().alias("key")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("total"))
+    resp = per.select(demo.day_text("d").alias("ingested_at"), "key",
+                      F.to_json(F.struct(F.lit("ok").alias("status"), F.col("total").alias("totalResults"))).alias("body"))
+    docs = gather_responses(resp, demo.DEMO_SYMBOLS)
+    m = F.from_json("value", "map<string,struct<status:string,totalResults:bigint>>")
+    return docs.select("ingested_at", m.alias("m")).select(
+        "ingested_at", F.size("m").cast("bigint").alias("n_keys"),
+        F.aggregate(F.map_values("m"), F.lit(0).cast("bigint"), lambda acc, x: acc + x["totalResults"]).alias("total_mentions"))
+
+
+# --- data quality: price unit (T-15) ------------------------------------------------
+@register("metal_units", with_("stg_metal_prices") + CTE["metal_units"])
+def q_metal_units(spark, sf):
+    return demo.staged(spark, sf, "metal").groupBy("unit").agg(F.count("*").alias("n_rows"))
