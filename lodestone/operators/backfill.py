@@ -68,8 +68,12 @@ def manifest(listing: DataFrame) -> DataFrame:
         "/", "layer", "feed", F.concat(F.lit(config.PARTITION_MARKER), F.col("ingest_day")),
         F.concat(F.lit("data."), F.when(F.col("layer") == "silver", F.lit("parquet")).otherwise(F.lit("json")))))
     m = m.withColumn("new_key", new_key)
-    winners = (m.where(F.col("outcome") == "migrated").groupBy("new_key")
-               .agg(F.max("old_key").alias("winner_key")))
+    # Conditional max instead of a filter first: a filter on ``outcome`` would be
+    # pushed to the scan and re-compute the whole classification there.
+    # ``new_key`` is null exactly when the object is not migrated.
+    winners = (m.groupBy("new_key")
+               .agg(F.max(F.when(F.col("outcome") == "migrated", F.col("old_key"))).alias("winner_key"))
+               .where(F.col("new_key").isNotNull()))
     return (m.join(winners, "new_key", "left")
             .withColumn("is_winner", F.coalesce(F.col("winner_key") == F.col("old_key"), F.lit(False)))
             .drop("winner_key"))

@@ -43,11 +43,14 @@ def shared_root(spark: SparkSession) -> str:
     Only when the session names none (local tests) a private folder is made
     and registered, so ``DataFrame.checkpoint()`` works everywhere.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the server owns the setting
+        return configured or tempfile.gettempdir()
     current = sc.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0] if _is_uuid(current.rsplit("/", 1)[-1]) else current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="lodestone-ckpt-")
     sc.setCheckpointDir(configured)
@@ -83,5 +86,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions; a large input (thousands of splits) is returned unchanged,
     so at scale this adds no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): leave the plan as it is
+        return df
+    return df.repartition(target) if n < target else df
