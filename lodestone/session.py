@@ -63,10 +63,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "lodestone", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage, survives executor loss, computed once."""
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Reliable checkpoint into the shared folder (``spark.checkpoint.dir``):
+    cuts lineage, survives executor loss, and is computed once. The frame is
+    persisted first, because an eager reliable checkpoint otherwise runs the
+    plan twice (once to count, once to write the checkpoint files)."""
+    from pyspark import StorageLevel
+
     shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
 
 
 def _is_uuid(s: str) -> bool:
