@@ -36,7 +36,11 @@ def news_price_corr(fact: DataFrame) -> DataFrame:
 
 def usd_idr(fact: DataFrame) -> DataFrame:
     """DASH-6: daily average USD/IDR plus the latest rate (newest day, highest
-    rate on ties) as one scalar subquery."""
-    latest = fact.agg(F.max(F.struct("trade_date", "usd_to_idr")).getField("usd_to_idr").alias("v")).scalar()
-    return fact.groupBy("trade_date").agg(F.round(F.avg("usd_to_idr"), 4).alias("avg_usd_to_idr")).select(
-        "trade_date", "avg_usd_to_idr", latest.alias("latest_usd_to_idr"))
+    rate on ties). The per-day aggregate (one row per day) is materialised
+    once, so the latest-rate subquery reads it instead of the fact."""
+    from lodestone.session import materialize
+
+    daily = materialize(fact.groupBy("trade_date").agg(F.round(F.avg("usd_to_idr"), 4).alias("avg_usd_to_idr"),
+                                                       F.max("usd_to_idr").alias("day_max")))
+    latest = daily.agg(F.max(F.struct("trade_date", "day_max")).getField("day_max").alias("v")).scalar()
+    return daily.select("trade_date", "avg_usd_to_idr", latest.alias("latest_usd_to_idr"))

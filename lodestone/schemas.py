@@ -26,6 +26,9 @@ SILVER = {
     "news": "news_timestamp string, keywords string, total_mentions bigint, status string",
 }
 PARTITION_COLUMN = "ingested_at"
+# VAL-15: the load instant (UTC) is written into the files as ``loaded_at``;
+# the reference's model field of the same meaning collides with the partition.
+LOAD_INSTANT = "loaded_at timestamp"
 
 # Staging outputs.
 STAGING = {
@@ -47,7 +50,7 @@ def struct(ddl: str) -> StructType:
 
 
 def silver_with_partition(feed: str) -> StructType:
-    return struct(SILVER[feed] + f", {PARTITION_COLUMN} string")
+    return struct(SILVER[feed] + f", {LOAD_INSTANT}, {PARTITION_COLUMN} string")
 
 
 def column_names(ddl: str) -> list[str]:

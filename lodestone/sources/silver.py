@@ -19,8 +19,9 @@ def write_silver(valid: DataFrame, path: str, feed: str, balance: bool = True) -
     write: AQE coalesces small days into few tasks (a daily load is one file)
     and splits a day that holds a large share of the rows over several tasks,
     so no single task writes a hot day."""
-    cols = schemas.column_names(schemas.SILVER[feed]) + [schemas.PARTITION_COLUMN]
-    out = valid.select(*cols)
+    cols = schemas.column_names(schemas.SILVER[feed])
+    loaded = F.col("loaded_at") if "loaded_at" in valid.columns else F.current_timestamp()
+    out = valid.select(*cols, loaded.alias("loaded_at"), schemas.PARTITION_COLUMN)
     if balance:
         out = out.hint("rebalance", schemas.PARTITION_COLUMN)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -28,7 +29,8 @@ def write_silver(valid: DataFrame, path: str, feed: str, balance: bool = True) -
 
 
 def read_silver(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """SRC-4..7: external Parquet scan with the fixed schema."""
+    """SRC-4..7: external Parquet scan with the fixed schema (files written
+    without ``loaded_at`` read it as null)."""
     return spark.read.schema(schemas.silver_with_partition(feed)).parquet(path)
 
 
@@ -41,7 +43,7 @@ def partition_window(df: DataFrame, run_date: str, start: str = config.PROJECTIO
 def register_table(spark: SparkSession, database: str, name: str, path: str, feed: str) -> None:
     """SRC-9/10/18: catalog database + external table over the silver folder."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    ddl = schemas.SILVER[feed] + f", {schemas.PARTITION_COLUMN} string"
+    ddl = schemas.SILVER[feed] + f", {schemas.LOAD_INSTANT}, {schemas.PARTITION_COLUMN} string"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet "
               f"PARTITIONED BY ({schemas.PARTITION_COLUMN}) LOCATION '{path}'")
     spark.catalog.recoverPartitions(f"{database}.{name}")

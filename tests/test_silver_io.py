@@ -69,3 +69,10 @@ def test_row_counter_is_observed(spark):
     df, obs = silver.count_rows(metal(spark, "2026-04-08", [("gold", 1.0), ("silver", 2.0)]))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 2
+
+
+def test_load_instant_is_written(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "silver", "metal")
+    silver.write_silver(metal(spark, "2026-04-08", [("gold", 2.0)]), path, "metal")
+    r = silver.read_silver(spark, path, "metal").first()
+    assert r["loaded_at"] is not None and r["ingested_at"] == "2026-04-08"
