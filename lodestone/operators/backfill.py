@@ -74,7 +74,13 @@ def manifest(listing: DataFrame) -> DataFrame:
     winners = (m.groupBy("new_key")
                .agg(F.max(F.when(F.col("outcome") == "migrated", F.col("old_key"))).alias("winner_key"))
                .where(F.col("new_key").isNotNull()))
-    return (m.join(winners, "new_key", "left")
+    # One row per new key (feeds x days x layers): measured, then broadcast, so
+    # the listing is not shuffled on new_key (null for every skipped object).
+    from lodestone.operators.joins import bounded
+
+    w, small = bounded(winners)
+    w = F.broadcast(w) if small else w
+    return (m.join(w, "new_key", "left")
             .withColumn("is_winner", F.coalesce(F.col("winner_key") == F.col("old_key"), F.lit(False)))
             .drop("winner_key"))
 

@@ -48,10 +48,13 @@ def gather_responses(responses: DataFrame, domain: Sequence[str], key_col: str =
     Input: (ingested_at, key, body JSON text). A day holds one response per
     configured key, so the per-day group is bounded by the domain size."""
     keys = clean_domain(domain, "keys")
-    r = responses.where(F.col(key_col).isin(list(keys)))
+    # One response per (day, key) first (a repeated fetch keeps the greatest
+    # body, deterministically), so the per-day list is bounded by the domain.
+    r = (responses.where(F.col(key_col).isin(list(keys)))
+         .groupBy("ingested_at", key_col).agg(F.max(body_col).alias(body_col)))
     per_day = r.groupBy("ingested_at").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(key_col), F.col(body_col)))).alias("m"),
-        F.count_distinct(key_col).alias("n"))
+        F.count("*").alias("n"))
     complete = per_day.where(F.col("n") == len(keys))
     # The bodies are JSON text; splice them into one object without re-parsing.
     def member(e):
