@@ -33,13 +33,14 @@ DEMO_SYMBOLS = ("AF", "AO", "NF", "NO", "RF", "RO")
 NEWS_MIN_QUANTITY = 25
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    """A driver table, pruned to ``columns`` and spread over the cores when it
-    is a handful of splits (see ``session.spread``; a no-op at scale)."""
+def table(spark: SparkSession, sf_dir: str, name: str, per_row_heavy: bool = False) -> DataFrame:
+    """A driver table. ``per_row_heavy`` marks inputs of per-row-expensive
+    work (JSON, text, higher-order functions): those are spread over the cores
+    when the scan is a handful of splits (``session.spread``; a no-op at
+    scale). Aggregate-first inputs are not: the partial aggregate already
+    shrinks them inside the scan task, and a spread would only add a shuffle."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df)
+    return spread(df) if per_row_heavy else df
 
 
 def _case(col: str, pairs) -> Column:
@@ -75,8 +76,8 @@ def silver_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
                     day_text("o_orderdate").alias("ingested_at"))
 
 
-def silver_fred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def silver_fred(spark: SparkSession, sf_dir: str, per_row_heavy: bool = False) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", per_row_heavy)
     return li.select(_case("l_returnflag", FLAG_SERIES).alias("series_id"),
                      iso_seconds("l_shipdate").alias("observation_date"),
                      F.when(F.col("l_discount") != 0, F.col("l_extendedprice")).alias("observation_values"),

@@ -58,7 +58,7 @@ def currency_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fred_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", per_row_heavy=True)
     price = F.col("l_extendedprice").cast("string")
     value = (F.when(F.col("l_discount") == 0, F.lit(".")).when(F.col("l_tax") == 0, F.concat(F.lit("-"), price))
              .otherwise(price))
@@ -98,7 +98,7 @@ def backfill_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     already in the new layout; small orders are a CSV in silver and broken
     JSON in bronze. Many orders share a (feed, day), so the last-write-wins
     rule decides between them."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", per_row_heavy=True)
     layer = F.when(F.col("o_orderstatus") == "F", F.lit("silver")).otherwise(F.lit("bronze"))
     ts = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     small = F.col("o_totalprice") < SMALL_ORDER

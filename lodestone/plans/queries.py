@@ -175,15 +175,15 @@ from lodestone.operators import mentions  # noqa: E402
 DEMO_WORDS = ("the", "and", "of", "le", "la", "de", "el", "der", "und")
 
 register("keyword_mentions", CTE["keyword_mentions"].format(kws=config.NEWS_KEYWORDS, kwlist=list(config.NEWS_KEYWORDS)))(
-    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"), config.NEWS_KEYWORDS))
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents", per_row_heavy=True), config.NEWS_KEYWORDS))
 register("keyword_mentions_words", CTE["keyword_mentions"].format(kws=DEMO_WORDS, kwlist=list(DEMO_WORDS)))(
-    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"), DEMO_WORDS))
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents", per_row_heavy=True), DEMO_WORDS))
 register("keyword_mentions_by_lang", CTE["keyword_mentions_by"].format(kws=DEMO_WORDS, by="lang"))(
-    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"), DEMO_WORDS,
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents", per_row_heavy=True), DEMO_WORDS,
                                                 by=["lang"]))
 register("keyword_mentions_by_source", CTE["keyword_mentions_by"].format(kws=config.NEWS_KEYWORDS + DEMO_WORDS,
                                                                           by="source"))(
-    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents"),
+    lambda spark, sf: mentions.keyword_mentions(spark, demo.table(spark, sf, "documents", per_row_heavy=True),
                                                 config.NEWS_KEYWORDS + DEMO_WORDS, by=["source"]))
 
 
@@ -194,7 +194,7 @@ from lodestone.functions.keys import sanitize_column, sanitize_keys  # noqa: E40
 
 @register("sanitize_keys_map", CTE["sanitize_keys_map"])
 def q_sanitize_map(spark, sf):
-    li = demo.table(spark, sf, "lineitem")
+    li = demo.table(spark, sf, "lineitem", per_row_heavy=True)
     raw = F.map_from_arrays(
         F.array(F.concat_ws("-", "l_returnflag", "l_linestatus"), F.concat_ws("_", "l_returnflag", "l_linestatus"),
                 F.concat(F.col("l_linenumber").cast("string"), F.lit(" line"))),
@@ -210,7 +210,7 @@ STRUCT_DOC = ("`order-key` bigint, `1st priority` string, `total price` double,
 
 @register("sanitize_keys_struct", CTE["sanitize_keys_struct"])
 def q_sanitize_struct(spark, sf):
-    o = demo.table(spark, sf, "orders")
+    o = demo.table(spark, sf, "orders", per_row_heavy=True)
     doc = F.to_json(F.struct(F.col("o_orderkey").alias("order-key"), F.col("o_orderpriority").alias("1st priority"),
                              F.col("o_totalprice").alias("total price"),
                              F.struct(F.col("o_orderstatus").alias("code.value"),
@@ -228,7 +228,7 @@ from lodestone.sources.bronze import to_ndjson  # noqa: E402
 
 @register("ndjson_rows", with_(extra={"s": CTE["silver_fred"]}) + CTE["ndjson_rows"])
 def q_ndjson(spark, sf):
-    s = demo.silver_fred(spark, sf)
+    s = demo.silver_fred(spark, sf, per_row_heavy=True)
     lines = s.select(to_ndjson(s).alias("line"))
     return lines.select(F.get_json_object("line", "$.series_id").alias("series_id"),
                         F.get_json_object("line", "$.observation_date").alias("observation_date"),
