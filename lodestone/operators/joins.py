@@ -14,15 +14,48 @@ from pyspark.sql import functions as F
 
 from lodestone.session import materialize
 
-# Rows a broadcast side may hold (a few tens of MB of narrow rows).
+# Bounds of a broadcast side: rows, and bytes estimated from the row width.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` once and tell whether it is small enough to broadcast."""
+def _width(dt) -> int:
+    from pyspark.sql import types as T
+
+    if isinstance(dt, T.StructType):
+        return sum(_width(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _width(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _width(dt.keyType) + _width(dt.valueType)
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
+        return 20
+    if isinstance(dt, T.BinaryType):
+        return 100
+    return 8
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row (fixed widths; 20 bytes per string)."""
+    return max(1, _width(df.schema))
+
+
+def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+            max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` once and tell whether it is small enough to broadcast:
+    at most ``max_rows`` rows and ``max_bytes`` estimated bytes."""
     ck = materialize(df)
-    n = ck.limit(max_rows + 1).count()
-    return ck, n <= max_rows
+    limit = min(max_rows, max_bytes // row_width(df))
+    n = ck.limit(limit + 1).count()
+    return ck, n <= limit
 
 
 def left_join_sized(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],

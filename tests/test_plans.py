@@ -46,3 +46,13 @@ def test_silver_roundtrip_and_staging_prune_columns(spark):
     q = E.queries()["stg_currency_rates"](spark, SF_SMALL).select("rate_date")
     p = q._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in p
+
+
+def test_bounded_checks_rows_and_bytes(spark):
+    from lodestone.operators.joins import bounded, row_width
+
+    df = spark.range(100).selectExpr("id", "cast(id as string) as s")
+    assert row_width(df) == 8 + 20
+    assert bounded(df, max_rows=100)[1] is True
+    assert bounded(df, max_rows=99)[1] is False
+    assert bounded(df, max_rows=1000, max_bytes=28 * 50)[1] is False
