@@ -8,7 +8,9 @@ resolve the same way on every run and in every engine.
 a hash aggregate combines map-side, so each task ships one row per key to
 the shuffle. That matters when there are only a few keys (three macro
 series): a window ``partitionBy(key)`` would route a third of all rows to
-one task. The window form is kept for parity checks.
+one task. The window form is kept for parity checks; with the ``rn = 1``
+filter Spark plans a partial ``WindowGroupLimit`` before its exchange, so it
+also ships at most one row per key and task.
 """
 
 from __future__ import annotations
