@@ -30,9 +30,9 @@ def sanitize_name(name: str) -> str:
 
 
 def sanitize_key(k: Column) -> Column:
-    """Executor-side clean-up of one key column (used for map keys)."""
-    new = F.regexp_replace(k, _BAD_CHARS, "_")
-    return F.when(new.rlike(_DIGIT_START), F.concat(F.lit("_"), new)).otherwise(new)
+    """Executor-side clean-up of one key column (used for map keys); the
+    inner replacement is referenced once, so it is evaluated once."""
+    return F.regexp_replace(F.regexp_replace(k, _BAD_CHARS, "_"), "^([0-9])", "_$1")
 
 
 def _needs_work(dt: DataType) -> bool:
@@ -84,18 +84,38 @@ def sanitize_column(c: Column, dt: DataType) -> Column:
     vals = F.map_values(c)
     if _needs_work(dt.valueType):
         vals = F.transform(vals, lambda v: sanitize_column(v, dt.valueType))
+    return F.when(c.isNotNull(), _merge_last(keys, vals))
+
+
+def _merge_last(keys: Column, vals: Column) -> Column:
+    """Map from parallel key/value arrays: first position, last value per key."""
     distinct = F.array_distinct(keys)
     last = F.transform(distinct, lambda k: F.element_at(
         vals, (F.size(keys) - F.array_position(F.reverse(keys), k) + 1).cast("int")))
-    return F.when(c.isNotNull(), F.map_from_arrays(distinct, last))
+    return F.map_from_arrays(distinct, last)
 
 def sanitize_keys(df, *columns: str):
-    """Apply the clean-up to the named nested columns of ``df`` (all by default)."""
+    """Apply the clean-up to the named nested columns of ``df`` (all by default).
+
+    Top-level maps are done in two projections: the cleaned key array is
+    computed once per row, then merged (inline, a higher-order function would
+    re-evaluate it for every distinct key)."""
     targets = set(columns) if columns else {f.name for f in df.schema.fields}
-    out = []
+    staged, final = [], []
     for f in df.schema.fields:
-        if f.name in targets:
-            out.append(sanitize_column(F.col(f.name), f.dataType).alias(f.name))
+        dt = f.dataType
+        if f.name in targets and isinstance(dt, MapType) and isinstance(dt.keyType, StringType):
+            vals = F.map_values(f.name)
+            if _needs_work(dt.valueType):
+                vals = F.transform(vals, lambda v, t=dt.valueType: sanitize_column(v, t))
+            staged += [F.col(f.name), F.transform(F.map_keys(f.name), sanitize_key).alias(f"__k_{f.name}"),
+                       vals.alias(f"__v_{f.name}")]
+            final.append(F.when(F.col(f.name).isNotNull(),
+                                _merge_last(F.col(f"__k_{f.name}"), F.col(f"__v_{f.name}"))).alias(f.name))
+        elif f.name in targets:
+            staged.append(F.col(f.name))
+            final.append(sanitize_column(F.col(f.name), dt).alias(f.name))
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            staged.append(F.col(f.name))
+            final.append(F.col(f.name))
+    return df.select(*staged).select(*final)
