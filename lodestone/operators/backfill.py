@@ -41,14 +41,12 @@ def extract_day(key: Column) -> Column:
     return F.when(F.length(day) > 0, day)
 
 
-def manifest(listing: DataFrame) -> DataFrame:
-    """MIG-2..6, MIG-8: one row per listed object with its outcome and, when
-    migrated, the new key and whether it is the winner of that key (the
-    greatest old key among the migrated ones: listing order, last write wins)."""
+def classify(listing: DataFrame) -> DataFrame:
+    """MIG-2..6: one row per listed object with its feed, day, outcome and,
+    when migrated, the new key. Narrow: no shuffle."""
     key, layer = F.col("old_key"), F.col("layer")
     feed = classify_feed(key)
     day = extract_day(key)
-    ext = F.when(layer == "silver", F.lit("parquet")).otherwise(F.lit("json"))
     bad_content = F.lit(False)
     if "content" in listing.columns:
         # MIG-6: bronze content must parse as JSON (any value, as json.loads).
@@ -67,7 +65,14 @@ def manifest(listing: DataFrame) -> DataFrame:
     new_key = F.when(F.col("outcome") == "migrated", F.concat_ws(
         "/", "layer", "feed", F.concat(F.lit(config.PARTITION_MARKER), F.col("ingest_day")),
         F.concat(F.lit("data."), F.when(F.col("layer") == "silver", F.lit("parquet")).otherwise(F.lit("json")))))
-    m = m.withColumn("new_key", new_key)
+    return m.withColumn("new_key", new_key)
+
+
+def manifest(listing: DataFrame) -> DataFrame:
+    """MIG-8 on top of ``classify``: whether each migrated object is the winner
+    of its new key (the greatest old key among the migrated ones: listing
+    order, last write wins)."""
+    m = classify(listing)
     # Conditional max instead of a filter first: a filter on ``outcome`` would be
     # pushed to the scan and re-compute the whole classification there.
     # ``new_key`` is null exactly when the object is not migrated.

@@ -245,11 +245,12 @@ def _manifest(spark, sf):
 
 
 register("backfill_manifest", with_(extra={"m": CTE["backfill_manifest"]}) + "SELECT * FROM manifest")(_manifest)
+# The summary and the candidates need outcomes and new keys only, not winners.
 register("backfill_summary", with_(extra={"m": CTE["backfill_manifest"]}) + CTE["backfill_summary"])(
-    lambda spark, sf: backfill.summary(_manifest(spark, sf)))
+    lambda spark, sf: backfill.summary(backfill.classify(documents.backfill_listing(spark, sf))))
 register("backfill_delete_candidates", with_(extra={"m": CTE["backfill_manifest"]})
          + "SELECT layer, old_key, new_key FROM manifest WHERE outcome = 'migrated'")(
-    lambda spark, sf: backfill.delete_candidates(_manifest(spark, sf)))
+    lambda spark, sf: backfill.delete_candidates(backfill.classify(documents.backfill_listing(spark, sf))))
 
 
 # --- silver and mart tables written and read back (SRC-3..7, SRC-12) -------------
