@@ -65,3 +65,15 @@ def test_streaming_landing_processes_each_file_once(spark, tmp_dir):
     assert rows(got.where("metal_symbol = 'gold'"), "ingested_at", "price_usd") == [
         ("2026-04-07", 100.0), ("2026-04-08", 101.0)]
     assert got.count() == 8
+
+
+def test_cli_land_and_mart(spark, tmp_dir):
+    from lodestone import cli
+
+    b, s, m = (os.path.join(tmp_dir, x) for x in ("bronze", "silver", "mart"))
+    for feed, doc in fixture_docs("2026-04-08", 100.0, 16000, 4.3).items():
+        land(spark, b, feed, "2026-04-08", doc)
+    for feed in ("metal", "currency", "fred", "news"):
+        assert cli.main(["land", "--bronze", b, "--silver", s, "--feed", feed, "--run-date", "2026-04-08"]) == 0
+    assert cli.main(["build-mart", "--silver", s, "--mart", m, "--run-date", "2026-04-08"]) == 0
+    assert daily.read_mart(spark, m).count() == 4
