@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.session import materialize
+from lodestone.session import shared_root
 
 # Bounds of a broadcast side: rows, and bytes estimated from the row width.
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -51,11 +51,19 @@ def row_width(df: DataFrame) -> int:
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Materialise ``df`` once and tell whether it is small enough to broadcast:
-    at most ``max_rows`` rows and ``max_bytes`` estimated bytes."""
-    ck = materialize(df)
-    limit = min(max_rows, max_bytes // row_width(df))
-    n = ck.limit(limit + 1).count()
-    return ck, n <= limit
+    at most ``max_rows`` rows and ``max_bytes`` estimated bytes.
+
+    Persist + lazy reliable checkpoint + one count: the count fills the cache,
+    the checkpoint files are written from the cache right after that job, so
+    the plan runs once and the result survives executor loss."""
+    from pyspark import StorageLevel
+
+    shared_root(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ck = cached.checkpoint(eager=False)
+    n = ck.count()
+    cached.unpersist(blocking=False)
+    return ck, n <= min(max_rows, max_bytes // row_width(df))
 
 
 def left_join_sized(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
