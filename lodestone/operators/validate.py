@@ -96,8 +96,11 @@ def check(raw: DataFrame, feed: str) -> DataFrame:
     """Typed silver columns + ``ingested_at`` + ``reject_reasons`` (array of rule ids,
     empty when valid). Rows are never dropped here."""
     rules, typed = SPECS[feed]()
-    failed = F.filter(F.array(*[F.when(~F.coalesce(p, F.lit(False)), F.lit(rid)) for rid, p in rules]),
-                      lambda x: x.isNotNull())
+    # concat_ws skips the passed rules (nulls); no higher-order function, so the
+    # predicates stay in generated code and share the parsed values with the
+    # typed columns (common subexpressions).
+    joined = F.concat_ws(",", *[F.when(~F.coalesce(p, F.lit(False)), F.lit(rid)) for rid, p in rules])
+    failed = F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
     return raw.select(*[c.alias(n) for n, c in typed.items()], F.col("ingested_at"),
                       failed.alias("reject_reasons"))
 
