@@ -31,10 +31,12 @@ def flatten_checked(docs: DataFrame, feed: str, run_ts: str | None = None) -> Da
 
 
 def land_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, run_date: str,
-                   run_ts: str | None = None) -> dict:
+                   run_ts: str | None = None, whole_text: bool = False) -> dict:
     """Returns the accepted and rejected row counts. The checked rows are
-    materialised once, then split into the two outputs."""
-    docs = bronze.read_bronze(spark, os.path.join(bronze_root, feed), days=[run_date], whole_text=True)
+    materialised once, then split into the two outputs. Bronze files are
+    NDJSON (one document per line, as ``write_bronze`` writes them);
+    ``whole_text`` reads each file as one (pretty-printed) document."""
+    docs = bronze.read_bronze(spark, os.path.join(bronze_root, feed), days=[run_date], whole_text=whole_text)
     checked = materialize(flatten_checked(docs, feed, run_ts))
     valid, rejected = validate.split(checked)
     silver.write_silver(valid, os.path.join(silver_root, feed), feed)

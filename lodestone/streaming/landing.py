@@ -21,15 +21,19 @@ from lodestone.sources import silver
 from lodestone.sources.bronze import BRONZE_SCHEMA
 
 
-def bronze_stream(spark: SparkSession, bronze_root: str, feed: str, max_files_per_trigger: int | None = None):
-    reader = spark.readStream.schema(BRONZE_SCHEMA).option("wholetext", "true")
+def bronze_stream(spark: SparkSession, bronze_root: str, feed: str, max_files_per_trigger: int | None = None,
+                  whole_text: bool = False):
+    """NDJSON bronze files (one document per line); ``whole_text`` for
+    pretty-printed landing files (one document per file)."""
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.text(os.path.join(bronze_root, feed), wholetext=True)
+    docs = reader.text(os.path.join(bronze_root, feed), wholetext=whole_text)
+    return docs if whole_text else docs.where(F.length(F.trim("value")) > 0)
 
 
 def start_landing(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, checkpoint: str,
-                  available_now: bool = True, max_files_per_trigger: int | None = None):
+                  available_now: bool = True, max_files_per_trigger: int | None = None, whole_text: bool = False):
     """Start the stream; returns the StreamingQuery."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -40,7 +44,7 @@ def start_landing(spark: SparkSession, bronze_root: str, silver_root: str, feed:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingested_at")
          .parquet(os.path.join(silver_root, "_rejects", feed)))
 
-    writer = (bronze_stream(spark, bronze_root, feed, max_files_per_trigger).writeStream
+    writer = (bronze_stream(spark, bronze_root, feed, max_files_per_trigger, whole_text).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()

@@ -77,3 +77,11 @@ def test_cli_land_and_mart(spark, tmp_dir):
         assert cli.main(["land", "--bronze", b, "--silver", s, "--feed", feed, "--run-date", "2026-04-08"]) == 0
     assert cli.main(["build-mart", "--silver", s, "--mart", m, "--run-date", "2026-04-08"]) == 0
     assert daily.read_mart(spark, m).count() == 4
+
+
+def test_several_documents_in_one_day_file(spark, tmp_dir):
+    b, s = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "silver")
+    docs = [json.dumps(fixture_docs("2026-04-08", p, 1, 1)["metal"]) for p in (100.0, 101.0)]
+    df = spark.createDataFrame([("2026-04-08", d) for d in docs], "ingested_at string, value string")
+    bronze.write_bronze(df, os.path.join(b, "metal"))
+    assert daily.land_to_silver(spark, b, s, "metal", "2026-04-08") == {"accepted": 8, "rejected": 2}
