@@ -54,3 +54,29 @@ def test_t8_t9_dates(spark):
     fact = mart.build_fact(*frames(spark))
     by_day = {r["trade_date"]: r["usd_to_idr"] for r in fact.where("commodity_code = 'gold'").collect()}
     assert by_day == {D1: 16000.0, D2: 16100.0, D3: 16500.0}
+
+
+def test_t5_null_position_decides(spark):
+    from lodestone.schemas import STAGING
+
+    newest_null = spark.createDataFrame([("CPIAUCSL", D1, 300.0, "lin", D1), ("CPIAUCSL", D2, None, "lin", D2)],
+                                        STAGING["fred"])
+    oldest_null = spark.createDataFrame([("CPIAUCSL", D1, None, "lin", D1), ("CPIAUCSL", D2, 301.0, "lin", D2)],
+                                        STAGING["fred"])
+    assert mart.macro_pivot(newest_null).first()["cpi_index"] is None      # no "last non-null"
+    assert mart.macro_pivot(oldest_null).first()["cpi_index"] == 301.0
+
+
+def test_t17_a_failed_landing_write_raises(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from lodestone.sources import bronze
+
+    blocker = os.path.join(tmp_dir, "not_a_dir")
+    with open(blocker, "w") as f:
+        f.write("x")
+    docs = spark.createDataFrame([("2026-04-08", '{"a": 1}')], "ingested_at string, value string")
+    with pytest.raises(Exception):
+        bronze.write_bronze(docs, os.path.join(blocker, "metal"))
