@@ -368,3 +368,11 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,
 GROUP BY d HAVING count(*) = {len(DEMO_SYMBOLS)}"""
 
 CTE["metal_units"] = "SELECT unit, count(*) AS n_rows FROM stg_metal_prices GROUP BY unit"
+
+CTE["completeness_check"] = "SELECT load_day, n_present, missing FROM (\n  SELECT d.event_timestamp AS load_day, " \
+    "CAST(count(DISTINCT f.series_id) AS BIGINT) AS n_present,\n" \
+    "         (SELECT string_agg(s, ',' ORDER BY s) FROM (SELECT unnest(" + repr(list(config.FRED_SERIES)) + ") AS s) " \
+    "WHERE s NOT IN (SELECT series_id FROM stg_fred_data x WHERE x.event_timestamp = d.event_timestamp)) AS missing\n" \
+    "  FROM (SELECT DISTINCT event_timestamp FROM stg_fred_data) d\n" \
+    "  JOIN stg_fred_data f ON f.event_timestamp = d.event_timestamp\n" \
+    "  GROUP BY d.event_timestamp) WHERE missing IS NOT NULL"

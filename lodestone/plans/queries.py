@@ -300,3 +300,16 @@ def q_gather_news(spark, sf):
 @register("metal_units", with_("stg_metal_prices") + CTE["metal_units"])
 def q_metal_units(spark, sf):
     return demo.staged(spark, sf, "metal").groupBy("unit").agg(F.count("*").alias("n_rows"))
+
+
+# --- completeness per load day (ENV-4) ----------------------------------------------
+@register("completeness_check", with_("stg_fred_data") + CTE["completeness_check"])
+def q_completeness(spark, sf):
+    """Load days of the macro feed that lack a configured series, and which.
+    The per-day set is bounded by the configured list (pre-filtered)."""
+    fred = demo.staged(spark, sf, "fred").where(F.col("series_id").isin(list(config.FRED_SERIES)))
+    per_day = fred.groupBy("event_timestamp").agg(F.collect_set("series_id").alias("present"))
+    missing = F.array_except(envelope.domain_array(config.FRED_SERIES), F.col("present"))
+    return (per_day.select(F.col("event_timestamp").alias("load_day"), F.size("present").cast("bigint").alias("n_present"),
+                           F.array_join(F.array_sort(missing), ",").alias("missing"))
+            .where(F.col("missing") != ""))
