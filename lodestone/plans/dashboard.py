@@ -24,11 +24,16 @@ def price_vs(fact: DataFrame, column: str) -> DataFrame:
                                        F.max(column).alias(column))
 
 
+def news_price_pairs(fact: DataFrame) -> DataFrame:
+    """DASH-5 series: one (mentions, price) point per (day, commodity)."""
+    return fact.groupBy(*DAY_CODE).agg(F.max("news_hype_count").alias("mentions"),
+                                       F.max("price_usd_per_gr").alias("price"))
+
+
 def news_price_corr(fact: DataFrame) -> DataFrame:
     """DASH-5: one point per (day, commodity), then the Pearson coefficient
     between mentions and price per commodity (rounded to 6 places)."""
-    daily = fact.groupBy(*DAY_CODE).agg(F.max("news_hype_count").alias("mentions"),
-                                        F.max("price_usd_per_gr").alias("price"))
+    daily = news_price_pairs(fact)
     return daily.groupBy("commodity_code").agg(
         F.round(F.corr(F.col("mentions").cast("double"), "price"), 6).alias("corr_mentions_price"),
         F.count("*").alias("n_days"))

@@ -273,6 +273,9 @@ CTE["dash_price_daily"] = """SELECT trade_date, commodity_code, max(price_usd_pe
 FROM fact GROUP BY trade_date, commodity_code"""
 CTE["dash_price_vs"] = """SELECT trade_date, commodity_code, max(price_usd_per_gr) AS price_usd_per_gr, max({col}) AS {col}
 FROM fact GROUP BY trade_date, commodity_code"""
+CTE["dash_news_pairs"] = """SELECT trade_date, commodity_code, max(news_hype_count) AS mentions,
+       max(price_usd_per_gr) AS price
+FROM fact GROUP BY trade_date, commodity_code"""
 CTE["dash_news_corr"] = """SELECT commodity_code, round(corr(CAST(mentions AS DOUBLE), price), 6) AS corr_mentions_price,
        CAST(count(*) AS BIGINT) AS n_days
 FROM (SELECT trade_date, commodity_code, max(news_hype_count) AS mentions, max(price_usd_per_gr) AS price

@@ -160,6 +160,8 @@ for _col, _name in (("usd_index", "dash_price_vs_usd"), ("yield_10y", "dash_pric
                     ("cpi_index", "dash_price_vs_cpi")):
     register(_name, with_("fact") + CTE["dash_price_vs"].format(col=_col))(
         (lambda col: lambda spark, sf: dashboard.price_vs(fact(spark, sf), col))(_col))
+register("dash_news_pairs", with_("fact") + CTE["dash_news_pairs"])(
+    lambda spark, sf: dashboard.news_price_pairs(fact(spark, sf)))
 register("dash_news_corr", with_("fact") + CTE["dash_news_corr"])(
     lambda spark, sf: dashboard.news_price_corr(fact(spark, sf)))
 register("dash_usd_idr", with_("fact") + CTE["dash_usd_idr"])(
