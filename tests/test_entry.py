@@ -1,11 +1,14 @@
 """Driver contract: entry(), queries(), oracle_sql()."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-NO_ORACLE = set()
+# the training-data operators have tests of their own
+CORE = sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n))
 
 
 def test_entry_schema(spark):
@@ -16,11 +19,11 @@ def test_entry_schema(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(CORE) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", CORE)
 def test_query_runs_on_smallest_tables(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert len(df.columns) == len(set(df.columns))
