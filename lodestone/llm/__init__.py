@@ -1,2 +1,12 @@
 """Operators for building language-model training sets. Nothing else in the
-package imports this subpackage."""
+package imports this subpackage.
+
+Functions that run in Python workers are sent by value, so that executors need
+no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import chat_format, line_dedup, mixing, quality_rules, secret_scan
+from lodestone.llm import chat_format, decontaminate, line_dedup, mixing, quality_classifier, quality_rules, secret_scan
 from lodestone.llm.common import read_table
 from lodestone.llm.oracle import SQL
 
@@ -18,6 +18,8 @@ def _over(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", mixing.op1),
     "op2_quality_rules": _over("documents", quality_rules.op2),
+    "op3_quality_classifier": quality_classifier.op3,
+    "op4_decontamination": lambda spark, sf_dir: decontaminate.op4(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")),
     "op7_line_dedup": _over("documents", line_dedup.op7),
     "op9_secret_scan": _over("documents", secret_scan.op9),
     "op10_chat_format": _over("conversations", chat_format.op10),
