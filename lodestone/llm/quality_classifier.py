@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lodestone.llm.common import read_table, remainder
 
@@ -173,23 +174,24 @@ def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> dict |
     return fit(np.concatenate(xs).astype(np.float64), np.array(starts), y)
 
 
-def score(docs: DataFrame, model: dict | float, key: str = "doc_id") -> DataFrame:
-    """``key``, score of every document (``key`` a long column, ``text``)."""
+def score(docs: DataFrame, model: dict | float, column: str = "score") -> DataFrame:
+    """All columns of ``docs`` and ``column``, the score of its ``text``."""
     small = model if isinstance(model, float) else {k: v.astype(np.float32) for k, v in model.items()}
+    names = [*docs.columns, column]
+    at_text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = part.column(1).to_pylist()
+                texts = part.column(at_text).to_pylist()
                 if isinstance(small, float):
                     p = np.full(len(texts), small)
                 else:
-                    x, starts = enc.encode(texts)
-                    p = forward(small, x, starts)["p"].astype(np.float64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p, pa.float64())], names=[key, "score"])
-    return docs.select(key, "text").mapInArrow(run, f"{key} long, score double")
+                    p = forward(small, *enc.encode(texts))["p"].astype(np.float64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64())], names=names)
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import chat_format, decontaminate, line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, secret_scan, suffix_dedup
+from lodestone.llm import chat_format, decontaminate, line_dedup, lm_scoring, mixing, near_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup
 from lodestone.llm.common import read_table
 from lodestone.llm.oracle import SQL
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": quality_classifier.op3,
     "op4_decontamination": lambda spark, sf_dir: decontaminate.op4(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")),
     "op5_lm_scoring": _over("documents", lm_scoring.op5),
+    "op6_near_dedup": _over("documents", near_dedup.op6),
     "op7_line_dedup": _over("documents", line_dedup.op7),
     "op8_suffix_dedup": _over("documents", suffix_dedup.op8),
     "op9_secret_scan": _over("documents", secret_scan.op9),
