@@ -8,24 +8,28 @@ one, so that 1/0.8 children are expected, and a vertex goes to the child named
 by its minwise value there. Two sets of similarity s stay together with chance
 s at each choice, so pairs at 0.8 meet in a leaf of a tree with constant
 chance, and other pairs thin out. Nodes of one vertex end. After LEVELS levels
-nodes of at most SMALL vertices are compared; larger ones go LEVELS deeper, up
-to ROUNDS times, and are then compared at any size. With a share of 0.64 of
+nodes of at most SMALL vertices are compared, and so are larger ones whose
+pairs are similar on average (DENSE), which further choices would not split. The
+others go LEVELS deeper, up to ROUNDS times, and are then compared at any size. With a share of 0.64 of
 the pairs at 0.8 meeting in a tree of three levels, all but 0.36 ** TREES of them
 meet in some tree.
 
-A node is compared exhaustively, but not listed pair by pair:
+A node is compared exhaustively, but its pairs are never listed:
 
-* first every vertex of a node is paired with the leaders of its node (a
-  vertex no earlier leader's sketch is near to becomes one). These pairs are
-  confirmed on the full shingle sets and give components;
-* then, in the nodes that still hold several components, all pairs of vertices
-  of different components with near sketches are confirmed as well. A node
-  over CHUNK vertices is dealt out in chunks: the vertices outside its largest
-  component go to every chunk, the others to one.
+* first every vertex of a node is paired with one leader (the first vertex, in
+  large nodes the one closest to the most frequent value of each coordinate,
+  takes those near to it; the next leader comes from the rest). These pairs,
+  fewer than the vertices, are confirmed on the full shingle sets and give
+  components. Nodes over CHUNK vertices do so in chunks, and once more with
+  one vertex per component;
+* then, in the nodes that still hold several components, each pair of vertices
+  of different components is compared, first by sketch, then, inside the task,
+  by the full sets. Only links that join components are returned. The pairs are
+  dealt out as a grid of blocks (vertices outside the node's largest component
+  against all), so a block holds at most two chunks.
 
-So any two similar sets that meet in a node end in one component, and a group
-of n copies costs about n pairs. Sketches only exclude pairs whose estimate is
-4 standard errors below the threshold.
+So any two similar sets that meet in a node end in one component. Sketches
+only exclude pairs whose estimate is 4 standard errors below the threshold.
 
 Components spread the smallest vertex by label passing with pointer jumping;
 each round is written to the shared folder.
@@ -49,7 +53,7 @@ from lodestone.llm.blocks import mix64
 from lodestone.llm.common import by_rows, stored
 
 COORDS, TREES, LEVELS, ROUNDS, BRANCH = 128, 12, 3, 3, 0.25
-SMALL, CHUNK = 64, 4096
+SMALL, CHUNK, DENSE = 64, 4096, 0.5
 MAX_BROADCAST = 2_000_000  # vertex keys of 16 bytes, counted first
 SETS = "doc_id long, text_hash long, n_shingles long, set binary, sketch binary"
 
@@ -147,19 +151,35 @@ def _deeper(members: DataFrame) -> DataFrame:
     return members.select("node", "vid", "sketch").mapInArrow(run, "node long, vid long")
 
 
+def _dense(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The nodes whose pairs have an average similarity of DENSE or more, as
+    told by about CHUNK of their vertices."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            v = _matrix(t.column("sketch").combine_chunks())
+            shares = [np.unique(c, return_counts=True)[1] / len(v) for c in v.T]
+            if np.mean([s @ s for s in shares]) >= DENSE:
+                yield pa.RecordBatch.from_arrays([t.column("node").combine_chunks()[:1]], names=["node"])
+    some = rows.where(F.pmod(F.xxhash64("vid"), F.ceil(F.col("n") / CHUNK)) == 0).select("node", "vid", F.lit(0).cast("long").alias("chunk"))
+    return _dealt(some, table).mapInArrow(run, "node long")
+
+
 def nodes(vertices: DataFrame) -> DataFrame:
     """(node, vid) of all nodes that are compared."""
-    done, rows = None, _roots(vertices)
+    done, rows, table = None, _roots(vertices), vertices.select("vid", "sketch")
     for k in range(ROUNDS):
         shared = rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 1)
         rows = stored(rows.join(shared, "node"), "paths")
         small = rows if k == ROUNDS - 1 else rows.where(F.col("n") <= SMALL)
         done = small.select("node", "vid") if done is None else done.unionByName(small.select("node", "vid"))
         if k < ROUNDS - 1:
-            large = rows.where(F.col("n") > SMALL).select("node", "vid")
+            large = rows.where(F.col("n") > SMALL)
+            dense = stored(_dense(large, table), "dense")
+            done = done.unionByName(large.join(dense, "node", "left_semi").select("node", "vid"))
+            large = large.join(dense, "node", "left_anti").select("node", "vid")
             if large.isEmpty():
                 break
-            rows = _deeper(large.join(vertices.select("vid", "sketch"), "vid"))
+            rows = _deeper(large.join(table, "vid"))
     return done
 
 
@@ -193,7 +213,7 @@ def _least(percent: int) -> int:
 
 
 def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
-    least, close = _least(percent), int(COORDS * percent / 100)
+    close = int(COORDS * percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
@@ -202,50 +222,109 @@ def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
             ids, v = ids[order], v[order]
             left, a, b = np.arange(len(ids)), [], []
             while len(left) > 1:
-                lead, rest = left[0], left[1:]
-                same = _near(v[rest], v[lead])
-                hit = rest[same >= least]
-                a.append(np.full(len(hit), ids[lead]))
-                b.append(ids[hit])
-                left = rest[same < close]
+                lead = 0 if len(left) <= SMALL else _middle(v[left])
+                same = _near(v[left], v[left[lead]]) >= close
+                same[lead] = False
+                hit = left[same]
+                a.append(np.minimum(ids[hit], ids[left[lead]]))
+                b.append(np.maximum(ids[hit], ids[left[lead]]))
+                same[lead] = True
+                left = left[~same]
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
     return members.mapInArrow(run, "a long, b long").distinct()
 
 
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Near pairs of different components; of two ``wide`` rows (which every chunk has) only chunk 0 lists the pair."""
+def _middle(v: np.ndarray) -> int:
+    """The row that has the most frequent value at the most coordinates."""
+    agree = np.zeros(len(v), np.int64)
+    for column in v.T:
+        values, inv, n = np.unique(column, return_inverse=True, return_counts=True)
+        agree += inv == n.argmax()
+    return int(agree.argmax())
+
+
+def _split(t: pa.Table) -> tuple[pa.Table, pa.Table, np.ndarray]:
+    """Left and right rows of a block, and which pairs are asked for."""
+    side = t.column("left").to_numpy()
+    x, y = t.filter(pa.array(side)), t.filter(pa.array(~side))
+    cx, cy, ix, iy = x.column("comp").to_numpy(), y.column("comp").to_numpy(), x.column("vid").to_numpy(), y.column("vid").to_numpy()
+    asked = (cx[:, None] != cy) & (~y.column("wide").to_numpy() | (ix[:, None] < iy))
+    return x, y, asked
+
+
+def _near_rows(members: DataFrame, percent: int) -> DataFrame:
+    """The rows of a block that have a near row of another component on the other side."""
     least = _least(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
-            ids, comp, v = t.column("vid").to_numpy(), t.column("comp").to_numpy(), _matrix(t.column("sketch").combine_chunks())
-            wide, first = t.column("wide").to_numpy(), t.column("chunk")[0].as_py() == 0
-            for i in np.flatnonzero(wide):
-                other = comp != comp[i]
-                if not first:
-                    other &= ~wide
-                j = np.flatnonzero(other)
-                j = j[_near(v[j], v[i]) >= least]
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[j], ids[i])), pa.array(np.maximum(ids[j], ids[i]))], names=["a", "b"])
+            x, y, asked = _split(t)
+            vx, vy = _matrix(x.column("sketch").combine_chunks()), _matrix(y.column("sketch").combine_chunks())
+            for i in range(len(x)):
+                j = np.flatnonzero(asked[i])
+                asked[i, j[_near(vy[j], vx[i]) < least]] = False
+            for rows, keep in ((x, asked.any(axis=1)), (y, asked.any(axis=0))):
+                if keep.any():
+                    yield from rows.filter(pa.array(keep)).select(["node", "chunk", "vid", "comp", "wide", "left"]).to_batches()
+    return members.mapInArrow(run, "node long, chunk long, vid long, comp long, wide boolean, left boolean")
+
+
+def _joining_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links on the full sets that join components of a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            x, y, asked = _split(t)
+            if not len(x) or not len(y):
+                continue
+            sets = [np.frombuffer(v, "<u8") for v in y.column("items").to_pylist()]
+            size = np.array([len(v) for v in sets])
+            items, inv = np.unique(np.concatenate(sets), return_inverse=True)
+            owner = np.repeat(np.arange(len(sets)), size)[np.argsort(inv, kind="stable")]
+            end = np.cumsum(np.bincount(inv, minlength=len(items)))
+            n_of = np.diff(end, prepend=0)
+            ix, iy, root, out = x.column("vid").to_numpy(), y.column("vid").to_numpy(), {}, []
+
+            def find(c):
+                while c in root:
+                    c = root[c]
+                return c
+            cx, cy = x.column("comp").to_pylist(), y.column("comp").to_pylist()
+            for i, mine in enumerate(x.column("items").to_pylist()):
+                mine = np.frombuffer(mine, "<u8")
+                at = np.minimum(np.searchsorted(items, mine), len(items) - 1)
+                at = at[items[at] == mine]
+                k = n_of[at]
+                place = np.repeat(end[at] - np.cumsum(k), k) + np.arange(k.sum())
+                both = np.bincount(owner[place], minlength=len(sets))
+                for j in np.flatnonzero(asked[i] & (100 * both >= percent * (len(mine) + size - both))).tolist():
+                    one, other = find(cx[i]), find(cy[j])
+                    if one != other:
+                        root[max(one, other)] = min(one, other)
+                        out.append((min(ix[i], iy[j]), max(ix[i], iy[j])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], names=["a", "b"])
     return members.mapInArrow(run, "a long, b long").distinct()
 
 
-def _sorted_nodes(rows: DataFrame, vertices: DataFrame, *more: str) -> DataFrame:
-    d = rows.join(vertices.select("vid", "sketch"), "vid").select("node", "chunk", "vid", "sketch", *more)
-    return d.repartition("node", "chunk").sortWithinPartitions("node", "chunk")
+def _dealt(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` (node, chunk, vid, ...) with ``table``'s columns by vid, the rows of a (node, chunk) in one task and together."""
+    return rows.join(table, "vid").repartition("node", "chunk").sortWithinPartitions("node", "chunk")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those with 100 * intersection >= percent * union of the full sets."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("vid")).distinct()
-    need = stored(vertices.select("vid", "set", "doc").join(ends, "vid"), "needed")
+def _full_sets(vids: DataFrame, docs: DataFrame, vertices: DataFrame, width: int) -> DataFrame:
+    """(vid, items): the whole shingle sets of some vertices, each from one of its documents."""
+    need = stored(vertices.select("vid", "set", "doc").join(vids, "vid"), "needed")
     small = F.broadcast if need.count() <= MAX_BROADCAST else (lambda d: d)
     texts = by_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), small(need.select(F.col("doc").alias("doc_id"))), ["doc_id"], "left_semi")
     full = sets_of(texts, width, full=True).select("set", F.col("sketch").alias("items"))
-    full = full.join(small(need.select("vid", "set")), "set").select("vid", "items").dropDuplicates(["vid"])
-    full = stored(full, "sets")
+    return stored(full.join(small(need.select("vid", "set")), "set").select("vid", "items").dropDuplicates(["vid"]), "sets")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those with 100 * intersection >= percent * union of the full sets."""
+    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "vid")
+    full = _full_sets(ends, docs, vertices, width)
     d = pairs.join(full.select(F.col("vid").alias("a"), F.col("items").alias("x")), "a").join(
         full.select(F.col("vid").alias("b"), F.col("items").alias("y")), "b")
 
@@ -254,12 +333,33 @@ def confirm(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, width: int,
             ok = []
             for x, y in zip(t.column("x"), t.column("y"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = len(x) + len(y) - len(np.union1d(x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return stored(d.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def _open(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (node, vid, comp) of the nodes with several components, with
+    the node's size, its number of components and the largest one (top)."""
+    at = shared.join(comp, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
+    per = at.groupBy("node", "comp").agg(F.count("*").alias("n"))
+    several = per.groupBy("node").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp"))["comp"].alias("top"))
+    return at.join(several.where(F.col("comps") > 1), "node")
+
+
+def _grid(members: DataFrame) -> DataFrame:
+    """Blocks of the pairs (outside the largest component, any): a row is
+    left in the blocks of its line and right in those of its column."""
+    n = F.ceil(F.col("size") / CHUNK).cast("long")
+    mine = F.pmod(F.xxhash64("vid"), n)
+    d = members.withColumn("wide", F.col("comp") != F.col("top")).withColumn("n", n).withColumn("mine", mine)
+    each = F.sequence(F.lit(0).cast("long"), F.col("n") - 1)
+    left = d.where("wide").select("node", "vid", "comp", "wide", F.lit(True).alias("left"), F.explode(F.transform(each, lambda k: F.col("mine") * F.col("n") + k)).alias("chunk"))
+    right = d.select("node", "vid", "comp", "wide", F.lit(False).alias("left"), F.explode(F.transform(each, lambda k: k * F.col("n") + F.col("mine"))).alias("chunk"))
+    return left.unionByName(right)
+
+
 # ------------------------------------------------------------- components
 
 def components(links: DataFrame) -> DataFrame:
@@ -282,25 +382,24 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     sets = stored(sets_of(docs, width), "shingles")
     vertices = sets.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"))
     vertices = stored(vertices.withColumn("vid", F.monotonically_increasing_id()), "vertices")
+    table = vertices.select("vid", "sketch")
     shared = nodes(vertices)
-    chunk0 = F.lit(0).cast("long").alias("chunk")
-    first = stored(_leader_pairs(_sorted_nodes(shared.select("node", "vid", chunk0), vertices), percent), "pairs")
-    links = confirm(first, docs, vertices, width, percent)
+    size = shared.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK)
+    chunk = F.coalesce(F.pmod(F.xxhash64("vid"), F.ceil(F.col("size") / CHUNK).cast("long")), F.lit(0).cast("long"))
+    rows = shared.join(size, "node", "left").select("node", "vid", chunk.alias("chunk"))
+    links = confirm(stored(_leader_pairs(_dealt(rows, table), percent), "pairs"), docs, vertices, width, percent)
     comp = components(links)
-
-    # nodes that still hold several components
-    at = shared.join(comp, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
-    per = at.groupBy("node", "comp").agg(F.count("*").alias("n"))
-    open_nodes = per.groupBy("node").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where(F.col("comps") > 1)
-    rows = at.join(open_nodes.select("node", "size", F.col("top.comp").alias("top")), "node")
-    n_chunks = F.ceil(F.col("size") / CHUNK).cast("long")
-    wide = F.col("comp") != F.col("top")
-    rows = rows.select("node", "vid", "comp", wide.alias("wide"), F.explode(F.when(wide, F.sequence(F.lit(0).cast("long"), n_chunks - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("vid"), n_chunks)))).alias("chunk"))
-    cross = _cross_pairs(_sorted_nodes(rows, vertices, "comp", "wide"), percent)
-    second = stored(cross.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        comp = components(links.unionByName(confirm(second, docs, vertices, width, percent)))
+    if not size.isEmpty():
+        one = _open(shared, comp).join(size.select("node"), "node", "left_semi").groupBy("node", "comps", "comp").agg(F.min("vid").alias("vid"))
+        rows = one.select("node", "vid", F.pmod(F.xxhash64("vid"), F.ceil(F.col("comps") / CHUNK).cast("long")).alias("chunk"))
+        links = links.unionByName(confirm(stored(_leader_pairs(_dealt(rows, table), percent), "pairs"), docs, vertices, width, percent))
+        comp = components(links)
+
+    near = stored(_near_rows(_dealt(_grid(_open(shared, comp)), table), percent), "near")
+    if not near.isEmpty():
+        full = _full_sets(near.select("vid").distinct(), docs, vertices, width)
+        more = stored(_joining_links(_dealt(near, full), percent), "links")
+        comp = components(links.unionByName(more))
 
     member = vertices.select("vid", "set", "doc").join(comp, "vid")
     least = member.groupBy("comp").agg(F.min("doc").alias("component_id"))
