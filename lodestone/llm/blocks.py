@@ -75,7 +75,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shard_cuts(keys: np.ndarray, n_shards: int) -> np.ndarray:
-    """Where each shard's part of sorted uniform keys begins (and the end)."""
-    edges = [(s << 64) // n_shards for s in range(1, n_shards)]
+def shard_cuts(keys: np.ndarray, n_shards: int, bits: int = 64) -> np.ndarray:
+    """Where each shard's part of sorted uniform keys of so many bits begins (and the end)."""
+    edges = [(s << bits) // n_shards for s in range(1, n_shards)]
     return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)

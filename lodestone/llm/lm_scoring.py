@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lodestone.llm import blocks as B
 from lodestone.llm.common import count_blocks, remainder, stored
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 STEP = 4  # parts of an octave in the EM histogram
 RATIOS, COUNTS = 64 * STEP, 64 * STEP
 DOCS = "block int, doc_id long, held_out boolean, n_tokens long, n_known long, log_sum double, counts binary, cells array<int>, weights array<long>, distinct_words long"
@@ -66,7 +66,8 @@ def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pair(context: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return B.mix64(context * np.uint64(0x9E3779B97F4A7C15) + B.mix64(token))
+    """Hashes of word pairs; of the 64 bits 56 are kept, for shorter lists."""
+    return B.mix64(context * np.uint64(0x9E3779B97F4A7C15) + B.mix64(token)) >> np.uint64(8)
 
 
 def _question(n_shards: int):
@@ -74,9 +75,9 @@ def _question(n_shards: int):
         token, context, lens = _stream(pdf["text"].tolist())
         train = np.repeat(~pdf["held_out"].to_numpy(bool), lens)
         parts = []
-        for keys in (token, _pair(context, token)):
+        for keys, bits in ((token, 64), (_pair(context, token), 56)):
             u, inv = np.unique(keys, return_inverse=True)
-            parts.append((u, np.bincount(inv, train, len(u)).astype(np.uint64), B.shard_cuts(u, n_shards)))
+            parts.append((u, np.bincount(inv, train, len(u)).astype(np.uint64), B.shard_cuts(u, n_shards, bits)))
         out = []
         for s in range(n_shards):
             data, sizes = b"", []
@@ -167,7 +168,9 @@ def _last(pdf: pd.DataFrame, notes: pd.DataFrame) -> pd.DataFrame:
     cells, weights = _cells(doc, lens, cu, ch, cb, iu, ib, len(uu), len(ub), ~np.repeat(held, lens))
     known = np.add.reduceat((cu > 0).astype(np.int64), first)
     logs = np.add.reduceat(np.log10(cu + 1.0), first)
-    both = [B.planes(cu[s:s + n]) + B.planes(cb[s:s + n]) for s, n in zip(first, lens, strict=True)]
+    kind = np.uint32 if not len(cu) or cu.max() < 1 << 32 else np.uint64
+    ku, kb = cu.astype(kind), cb.astype(kind)
+    both = [B.planes(ku[s:s + n]) + B.planes(kb[s:s + n]) for s, n in zip(first, lens, strict=True)]
     out = pd.DataFrame({"block": block, "doc_id": pdf["doc_id"], "held_out": held, "n_tokens": lens, "n_known": known, "log_sum": logs, "counts": both,
                         "cells": None, "weights": None, "distinct_words": 0})
     note = pd.DataFrame([(block, None, None, 0, 0, 0.0, None, cells, weights, 0)], columns=cols)
@@ -199,7 +202,7 @@ def score(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFram
     n_blocks = count_blocks(docs, block_bytes)
     blocked = B.in_blocks(docs, n_blocks, held_out.alias("held_out"))
     answers = B.answer(B.ask(blocked, _question(max(1, n_blocks // 2))), _reply)
-    table = stored(B.finish(blocked, answers, _last, DOCS), "lm-counts")
+    table = stored(B.finish(blocked, answers, _last, DOCS), "lm-counts", compression="zstd")
 
     scored = table.where(F.col("counts").isNotNull())
     n_tokens = scored.where(~F.col("held_out")).agg(F.sum("n_tokens")).first()[0] or 0
@@ -214,7 +217,8 @@ def score(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFram
             total = []
             for n, data in zip(b.column("n_tokens").to_pylist(), b.column("counts"), strict=True):
                 view = memoryview(data.as_buffer())
-                cu, cb = B.unplanes(view, n, np.int64), B.unplanes(view[8 * n:], n, np.int64)
+                kind = np.uint32 if len(view) == 8 * n else np.uint64
+                cu, cb = B.unplanes(view, n, kind).astype(np.int64), B.unplanes(view[len(view) // 2:], n, kind).astype(np.int64)
                 ch = np.concatenate([cu[-1:], cu[:-1]])
                 m = mixture[np.log2(ch + 1).astype(np.int64)]
                 p = m[:, 0] * cb / np.maximum(ch, 1) + m[:, 1] * cu / max(n_tokens, 1) + m[:, 2] / (n_words + 1)
