@@ -315,8 +315,8 @@ def suffix_dedup(docs: DataFrame, texts: bool = True, block_bytes: int = BLOCK_B
     total = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n_blocks = max(1, -(-total // block_bytes))
     blocked = B.in_blocks(docs, n_blocks)
-    splitters = sample_splitters(docs, total, max(1, n_blocks // 2))
-    counted = B.answer(B.ask(blocked, _question(max(1, n_blocks // 4))), _count)
+    splitters = sample_splitters(docs, total, n_blocks)
+    counted = B.answer(B.ask(blocked, _question(max(1, n_blocks // 2))), _count)
     sent = blocked.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(_send(splitters, hot_runs), B.NOTE)
     compared = B.answer(sent, _compare)
     notes = counted.withColumn("kind", F.lit(0)).unionByName(compared.withColumn("kind", F.lit(1)))
