@@ -57,8 +57,6 @@ class Encoder:
         self.rows: list[tuple] = []
 
     def _ids(self, ws: list[str]) -> np.ndarray:
-        if len(self.rows) > 200_000:  # a bound on memory; meanings do not depend on it
-            self.known, self.rows = {}, []
         known, rows, out = self.known, self.rows, []
         for w in ws:
             i = known.get(w)
@@ -70,6 +68,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(passages x FEATURES, first passage of each text)."""
+        if len(self.rows) > 200_000:  # a bound on memory; no result depends on it
+            self.known, self.rows = {}, []
         passage, ids, starts, lines, n = [], [], [], [], 0
         for text in texts:
             text = text or ""
