@@ -94,7 +94,9 @@ def op9(docs: DataFrame) -> DataFrame:
     d = scan(docs, repository=F.concat_ws("/", "source", "lang"))
     spans = F.coalesce(F.col("spans"), F.array().cast("array<struct<start:int,kind:int,end:int,n_owners:bigint,n_repositories:bigint,live:boolean>>"))
     d = d.select("doc_id", spans.alias("spans"))
-    n = {f"n_{k}": F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long") for i, k in enumerate(KINDS[:3])}
+    # a lambda of two parameters would be given the index
+    of_kind = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
+    n = {f"n_{k}": of_kind(i) for i, k in enumerate(KINDS[:3])}
     base = _text(F.filter("spans", lambda s: s["kind"] < 3))
     return d.select("doc_id", *[c.alias(k) for k, c in n.items()], F.sha2(base, 256).alias("base_sha256"), _text(F.col("spans")).alias("spans"),
                     F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
