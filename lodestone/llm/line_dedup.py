@@ -9,8 +9,8 @@ Only (row key, position, 128-bit key hash) of long lines is exploded; keys are m
 distinct inside a row, so the count and the largest id per key combine
 map-side and a very common line is one partial row a task. The dropped
 positions of a document go back to its text through a join on the row key.
-The join of lines to their verdict is a plain inner join, whose hot keys the
-adaptive skew join may split.
+The common keys are stored, so their join with the lines has a shuffle of its
+own on either side, whose hot keys the adaptive skew join can split.
 
 Each row counts as a document; a row repeated whole is dropped or kept alike,
 and rows of the largest id all keep the line. Null ids are smaller than any
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import SPACES, ascii_lower, row_key
+from lodestone.llm.common import SPACES, ascii_lower, row_key, stored
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -35,8 +35,8 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
         ascii_lower(x)))).alias("key"))), lambda x: x["key"].isNotNull())
     rows = base.select("__row", "doc_id", pairs.alias("pairs"))
     keys = rows.select("doc_id", F.explode(F.array_distinct(F.transform("pairs", lambda x: x["key"]))).alias("key"))
-    common = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("holder")) \
-        .where(F.col("n") >= min_docs).select("key", "holder")
+    common = stored(keys.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("holder"))
+                    .where(F.col("n") >= min_docs).select("key", "holder"), "common-lines")
     lines = rows.select("__row", "doc_id", F.explode("pairs").alias("x")).select("__row", "doc_id", F.col("x.pos").alias("pos"), F.col("x.key").alias("key"))
     drop = lines.join(common, "key").where(~F.col("doc_id").eqNullSafe(F.col("holder"))) \
         .groupBy("__row").agg(F.collect_set("pos").alias("__drop"))
