@@ -1,57 +1,38 @@
 """Join strategies with a measured size bound.
 
 A side is broadcast only after it has been materialised (reliable
-checkpoint in the shared folder) and counted; above the bound the plain
-shuffle join is used, with AQE's skew handling.
+checkpoint in the shared folder) and counted; above the bound the same
+join shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.session import shared_root
 
-# Bounds of a broadcast side: rows, and bytes estimated from the row width.
+# Bounds of a broadcast side: rows, and bytes as counted.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _width(dt) -> int:
-    from pyspark.sql import types as T
-
-    if isinstance(dt, T.StructType):
-        return sum(_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return _width(dt.elementType)
-    if isinstance(dt, T.MapType):
-        return _width(dt.keyType) + _width(dt.valueType)
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
-        return 20
-    if isinstance(dt, T.BinaryType):
-        return 100
-    return 8
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row (fixed widths; 20 bytes per string)."""
-    return max(1, _width(df.schema))
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the length of its texts and binaries, 16 for every other column."""
+    text = [n for n, t in df.dtypes if t in ("string", "binary")]
+    total = F.lit(16 * (len(df.columns) - len(text)) + 8)
+    for n in text:
+        total = total + F.coalesce(F.octet_length(F.col(n)), F.lit(0)) + 8
+    return total
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Materialise ``df`` once and tell whether it is small enough to broadcast:
-    at most ``max_rows`` rows and ``max_bytes`` estimated bytes.
+    at most ``max_rows`` rows and ``max_bytes`` counted bytes. This runs a job
+    at once.
 
     Persist + lazy reliable checkpoint + one count: the count fills the cache,
     the checkpoint files are written from the cache right after that job, so
@@ -61,9 +42,9 @@ def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     shared_root(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     ck = cached.checkpoint(eager=False)
-    n = ck.count()
+    n, size = ck.agg(F.count("*"), F.sum(_bytes(df))).first()
     cached.unpersist(blocking=False)
-    return ck, n <= min(max_rows, max_bytes // row_width(df))
+    return ck, n <= max_rows and (size or 0) <= max_bytes
 
 
 def left_join_sized(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
@@ -75,7 +56,8 @@ def left_join_sized(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, s
 
 
 def preserving_join_small_left(small: DataFrame, big: DataFrame, on: Sequence[tuple[str, str]],
-                               big_columns: Sequence[str], small_ok: bool) -> DataFrame:
+                               big_columns: Sequence[str], small_ok: bool,
+                               keys: DataFrame | None = None) -> DataFrame:
     """``small LEFT JOIN big`` where the *preserved* side is the small one.
 
     Spark can only broadcast the non-preserved side of an outer join, so the
@@ -84,16 +66,17 @@ def preserving_join_small_left(small: DataFrame, big: DataFrame, on: Sequence[tu
     small the join is rewritten exactly as
         (big INNER JOIN broadcast(small))  UNION ALL  (small ANTI JOIN distinct big keys)
     which streams the big side without any shuffle; the distinct keys are
-    combined map-side. Output: ``small``'s columns, then ``big_columns``.
+    combined map-side. Above the bound the same form runs without the hint: an
+    inner join, of which the adaptive skew join can split either side, where
+    an outer join could not split the big one. ``keys`` may name a frame with
+    the distinct keys, if there is one. Output: ``small``'s columns, then ``big_columns``.
     """
     small_cols = small.columns
-    if not small_ok:
-        cond = [small[a] == big[b] for a, b in on]
-        return small.join(big, cond, "left").select(*[small[c] for c in small_cols],
-                                                      *[big[c] for c in big_columns])
-    s = F.broadcast(small)
+    s = F.broadcast(small) if small_ok else small
     cond = [s[a] == big[b] for a, b in on]
     matched = big.join(s, cond, "inner").select(*[s[c] for c in small_cols], *[big[c] for c in big_columns])
+    if keys is not None:
+        big = keys
     big_keys = big.select(*[F.col(b).alias(f"_k{i}") for i, (_, b) in enumerate(on)]).distinct()
     anti_cond = [small[a] == big_keys[f"_k{i}"] for i, (a, _) in enumerate(on)]
     types = dict(big.dtypes)

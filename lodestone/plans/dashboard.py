@@ -32,10 +32,10 @@ def news_price_pairs(fact: DataFrame) -> DataFrame:
 
 def news_price_corr(fact: DataFrame) -> DataFrame:
     """DASH-5: one point per (day, commodity), then the Pearson coefficient
-    between mentions and price per commodity (rounded to 6 places)."""
+    between mentions and price per commodity."""
     daily = news_price_pairs(fact)
     return daily.groupBy("commodity_code").agg(
-        F.round(F.corr(F.col("mentions").cast("double"), "price"), 6).alias("corr_mentions_price"),
+        F.corr(F.col("mentions").cast("double"), "price").alias("corr_mentions_price"),
         F.count("*").alias("n_days"))
 
 
@@ -45,7 +45,7 @@ def usd_idr(fact: DataFrame) -> DataFrame:
     once, so the latest-rate subquery reads it instead of the fact."""
     from lodestone.session import materialize
 
-    daily = materialize(fact.groupBy("trade_date").agg(F.round(F.avg("usd_to_idr"), 4).alias("avg_usd_to_idr"),
+    daily = materialize(fact.groupBy("trade_date").agg(F.avg("usd_to_idr").alias("avg_usd_to_idr"),
                                                        F.max("usd_to_idr").alias("day_max")))
     latest = daily.agg(F.max(F.struct("trade_date", "day_max")).getField("day_max").alias("v")).scalar()
     return daily.select("trade_date", "avg_usd_to_idr", latest.alias("latest_usd_to_idr"))

@@ -11,7 +11,7 @@ work grows with it:
 * macro series  <- lineitem: series from the return flag, observation date =
   ship date, value = extended price (null where the discount is 0, playing
   the ``"."`` marker), load date = ship date + line number days (re-fetches)
-* news counts   <- lineitem rows with quantity > 25: mentions = quantity
+* news counts   <- lineitem: mentions = quantity
 
 Every frame is in the silver string contract, ``ingested_at`` last.
 """
@@ -30,7 +30,6 @@ PRIORITY_CURRENCY = (("1-URGENT", "IDR"), ("2-HIGH", "EUR"), ("3-MEDIUM", "JPY")
                      ("4-NOT SPECIFIED", "GBP"), ("5-LOW", "USD"))
 FLAG_SERIES = (("A", "DGS10"), ("N", "DTWEXBGS"), ("R", "CPIAUCSL"))
 DEMO_SYMBOLS = ("AF", "AO", "NF", "NO", "RF", "RO")
-NEWS_MIN_QUANTITY = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, per_row_heavy: bool = False) -> DataFrame:
@@ -86,7 +85,7 @@ def silver_fred(spark: SparkSession, sf_dir: str, per_row_heavy: bool = False) -
 
 
 def silver_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > NEWS_MIN_QUANTITY)
+    li = table(spark, sf_dir, "lineitem")
     return li.select(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("news_timestamp"),
                      symbol().alias("keywords"),
                      F.col("l_quantity").cast("bigint").alias("total_mentions"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.plans.demo import FLAG_SERIES, NEWS_MIN_QUANTITY, PRIORITY_CURRENCY, _case, day_text, symbol, table
+from lodestone.plans.demo import FLAG_SERIES, PRIORITY_CURRENCY, _case, day_text, symbol, table
 
 
 
@@ -69,7 +69,7 @@ def fred_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > NEWS_MIN_QUANTITY)
+    li = table(spark, sf_dir, "lineitem")
     per = li.groupBy(F.to_date("l_shipdate").alias("d"), symbol().alias("sym")).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("total"))
     status = F.when(_dom() == 13, F.lit("error")).otherwise(F.lit("ok"))

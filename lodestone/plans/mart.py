@@ -35,6 +35,14 @@ def currency_daily(fx: DataFrame, target: str = config.TARGET_CURRENCY, dedupe:
     return c.select("rate_date", "exchange_rate")
 
 
+def currency_dates(fx: DataFrame, target: str = config.TARGET_CURRENCY) -> DataFrame:
+    """rate_date, event_timestamp, exchange_rate of the newest load per rate date."""
+    c = fx.where(F.col("currency_code") == target)
+    c = c.groupBy("rate_date", "event_timestamp").agg(F.max("exchange_rate").alias("exchange_rate"))
+    best = c.groupBy("rate_date").agg(F.max(F.struct("event_timestamp", "exchange_rate")).alias("b"))
+    return best.select("rate_date", "b.event_timestamp", "b.exchange_rate")
+
+
 def currency_latest(fx: DataFrame, target: str = config.TARGET_CURRENCY) -> DataFrame:
     """The newest IDR rate, at most one row (PRJ-3, SORT-1, LIM-1)."""
     c = fx.where(F.col("currency_code") == target)
@@ -66,15 +74,20 @@ def build_fact(metal: DataFrame, fx: DataFrame, fred: DataFrame, news: DataFrame
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Four staged frames -> the nine-column fact (PRJ-6)."""
     m, m_small = bounded(metal.select("trade_date", "commodity_code", "price_usd"), max_broadcast_rows)
-    rated = preserving_join_small_left(m, currency_daily(fx, target, dedupe_rates),
+    # One row per rate date: newest rate, the dates themselves and whether there
+    # is any rate at all come from here, so FX is read once more at most.
+    dates, _ = bounded(currency_dates(fx, target), max_broadcast_rows)
+    daily = dates.select("rate_date", "exchange_rate")
+    rated = preserving_join_small_left(m, daily if dedupe_rates else currency_daily(fx, target),
                                        on=[("trade_date", "rate_date")], big_columns=["exchange_rate"],
-                                       small_ok=m_small)
+                                       small_ok=m_small, keys=daily)
     n, n_small = bounded(news_daily(news), max_broadcast_rows)
     joined = left_join_sized(rated, n, [("trade_date", "news_date"), ("commodity_code", "topics")], n_small)
 
     # One scalar subquery carries every one-row value: the newest IDR rate
     # (null when there is none) and the three macro columns.
-    latest = currency_latest(fx, target)
+    latest = top1(dates, ["rate_date", "event_timestamp"], ["exchange_rate"]).select(
+        F.col("exchange_rate").alias("latest_rate"))
     macro_cols = [c for _, c in config.MACRO_COLUMNS]
     params = macro_pivot(fred).select(
         F.struct(latest.scalar().alias("latest_rate"), *macro_cols).alias("p")).scalar()
@@ -96,5 +109,5 @@ def build_fact(metal: DataFrame, fx: DataFrame, fred: DataFrame, news: DataFrame
     if not strict:
         return fact
     # The reference cross-joins the latest-rate row: no IDR row, no fact rows.
-    has_rate = currency_daily(fx, target).select(F.lit(1).alias("one")).limit(1)
+    has_rate = dates.select(F.lit(1).alias("one")).limit(1)
     return fact.where(has_rate.exists())

@@ -8,7 +8,7 @@ Each ``with_(...)`` call assembles the CTEs a query needs, in dependency order.
 from __future__ import annotations
 
 from lodestone import config
-from lodestone.plans.demo import FLAG_SERIES, NEWS_MIN_QUANTITY, PRIORITY_CURRENCY
+from lodestone.plans.demo import FLAG_SERIES, PRIORITY_CURRENCY
 
 
 def _case(col: str, pairs) -> str:
@@ -49,7 +49,7 @@ CTE["silver_news"] = f"""silver_news AS (
          l_returnflag || l_linestatus AS keywords,
          CAST(trunc(l_quantity) AS BIGINT) AS total_mentions, 'ok' AS status,
          strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS ingested_at
-  FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY})"""
+  FROM lineitem)"""
 
 CTE["stg_metal_prices"] = """stg_metal_prices AS (
   SELECT CAST(SUBSTRING(ingested_at, 1, 10) AS DATE) AS trade_date, metal_symbol AS commodity_code,
@@ -226,11 +226,11 @@ CTE["flat_news"] = f"""flat_news AS (
                    ELSE p.total END AS BIGINT) AS total_mentions,
          CASE WHEN p.sym IS NULL THEN 'unknown' WHEN day(nd.d) = 13 THEN 'error' ELSE 'ok' END AS status,
          strftime(nd.d, '%Y-%m-%d') AS ingested_at
-  FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY}) nd
+  FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem) nd
   CROSS JOIN {_SYMS}
   LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,
                     CAST(sum(CAST(trunc(l_quantity) AS BIGINT)) AS BIGINT) AS total
-             FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY} GROUP BY 1, 2) p
+             FROM lineitem GROUP BY 1, 2) p
          ON p.d = nd.d AND p.sym = syms.sym)"""
 
 CTE["validated_news"] = f"""SELECT strftime(CAST(news_timestamp AS TIMESTAMP), {_ISO_US}) AS news_timestamp,
@@ -255,7 +255,7 @@ CTE["envelope_summary"] = f"""SELECT feed, envelope_error, CAST(count(*) AS BIGI
   UNION ALL SELECT 'fred', 'ok' FROM lineitem
   UNION ALL SELECT 'news', CASE WHEN count(DISTINCT l_returnflag || l_linestatus) < {len(DEMO_SYMBOLS)}
                                 THEN 'incomplete' ELSE 'ok' END
-  FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY} GROUP BY CAST(l_shipdate AS DATE)
+  FROM lineitem GROUP BY CAST(l_shipdate AS DATE)
 ) GROUP BY feed, envelope_error"""
 
 _LOOKBACK = "CASE " + " ".join(f"WHEN series_id = '{s}' THEN {d}" for s, d in config.LOOKBACK_DAYS.items()) \
@@ -367,7 +367,7 @@ CTE["gather_news_documents"] = f"""SELECT strftime(d, '%Y-%m-%d') AS ingested_at
        CAST(sum(total) AS BIGINT) AS total_mentions
 FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,
              sum(CAST(trunc(l_quantity) AS BIGINT)) AS total
-      FROM lineitem WHERE l_quantity > {NEWS_MIN_QUANTITY} GROUP BY 1, 2)
+      FROM lineitem GROUP BY 1, 2)
 GROUP BY d HAVING count(*) = {len(DEMO_SYMBOLS)}"""
 
 CTE["metal_units"] = "SELECT unit, count(*) AS n_rows FROM stg_metal_prices GROUP BY unit"

@@ -50,11 +50,15 @@ def shared_root(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext, the server owns the setting
-        return configured or tempfile.gettempdir()
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0] if _is_uuid(current.rsplit("/", 1)[-1]) else current
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lodestone-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
