@@ -25,6 +25,9 @@ def main(argv: list[str] | None = None) -> int:
     land.add_argument("--feed", required=True, choices=config.FEEDS)
     land.add_argument("--run-date", required=True)
     land.add_argument("--run-ts", default=None, help="news timestamp (default: the run day)")
+    land.add_argument("--whole-text", action="store_true", help="each file is one (pretty-printed) document")
+    land.add_argument("--on-missing", choices=("fail", "skip"), default="fail", help="FX document without a configured currency")
+    land.add_argument("--incomplete", action="store_true", help="take macro and news documents that lack configured keys")
     mart = sub.add_parser("build-mart", help="silver tables -> fact mart (full rebuild)")
     mart.add_argument("--silver", required=True)
     mart.add_argument("--mart", required=True)
@@ -43,7 +46,8 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(app=f"lodestone-{args.cmd}")
     if args.cmd == "land":
-        out = daily.land_to_silver(spark, args.bronze, args.silver, args.feed, args.run_date, args.run_ts)
+        out = daily.land_to_silver(spark, args.bronze, args.silver, args.feed, args.run_date, args.run_ts,
+                                   args.whole_text, args.on_missing, not args.incomplete)
         print(json.dumps(out))
     elif args.cmd == "build-mart":
         daily.build_mart(spark, args.silver, args.mart, args.run_date, args.start,
@@ -51,10 +55,10 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from lodestone.operators import backfill
 
-        man = backfill.run_backfill(spark, args.root, args.out)
+        man = backfill.run_backfill(spark, args.root, args.out).persist()
         if args.manifest:
             man.write.mode("overwrite").parquet(args.manifest)
-        for r in backfill.summary(man).collect():   # one row per layer
+        for r in backfill.summary(man, backfill.listing_complete(spark, args.root, man)).collect():   # one row per layer
             print(json.dumps(r.asDict()))
     return 0
 

@@ -1,7 +1,7 @@
 """Back-fill of the old object layout into day partitions (MIG-1..10).
 
 Old key:  ``bronze/2026-04-08 08:00:00/metal_prices-2026-04-08 08:00:00.json``
-New key:  ``bronze/metal/ingested_at=2026-04-08/data.json``
+New key:  ``bronze/metal/ingested_at=2026-04-08`` (the day's folder; Spark names the files in it)
 
 The reference walks a listing one object at a time. Here the listing is a
 DataFrame (``layer``, ``old_key`` and, for bronze, the ``content`` text) and
@@ -12,6 +12,7 @@ pick the winner per new key, count. Files are then written in parallel by
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,8 +64,7 @@ def classify(listing: DataFrame) -> DataFrame:
         day.try_cast("date").isNotNull().alias("day_is_date"), outcome.alias("outcome"),
         *([F.col("content")] if "content" in listing.columns else []))
     new_key = F.when(F.col("outcome") == "migrated", F.concat_ws(
-        "/", "layer", "feed", F.concat(F.lit(config.PARTITION_MARKER), F.col("ingest_day")),
-        F.concat(F.lit("data."), F.when(F.col("layer") == "silver", F.lit("parquet")).otherwise(F.lit("json")))))
+        "/", "layer", "feed", F.concat(F.lit(config.PARTITION_MARKER), F.col("ingest_day"))))
     return m.withColumn("new_key", new_key)
 
 
@@ -72,7 +72,11 @@ def manifest(listing: DataFrame) -> DataFrame:
     """MIG-8 on top of ``classify``: whether each migrated object is the winner
     of its new key (the greatest old key among the migrated ones: listing
     order, last write wins)."""
-    m = classify(listing)
+    from lodestone.operators.joins import bounded
+    from lodestone.session import materialize
+
+    # Contents are judged once; only keys go on.
+    m = materialize(classify(listing).drop("content"))
     # Conditional max instead of a filter first: a filter on ``outcome`` would be
     # pushed to the scan and re-compute the whole classification there.
     # ``new_key`` is null exactly when the object is not migrated.
@@ -81,8 +85,6 @@ def manifest(listing: DataFrame) -> DataFrame:
                .where(F.col("new_key").isNotNull()))
     # One row per new key (feeds x days x layers): measured, then broadcast, so
     # the listing is not shuffled on new_key (null for every skipped object).
-    from lodestone.operators.joins import bounded
-
     w, small = bounded(winners)
     w = F.broadcast(w) if small else w
     return (m.join(w, "new_key", "left")
@@ -129,42 +131,80 @@ def relative_key(path: Column, base: str) -> Column:
     """``file:///r/bronze/a b.json`` -> ``bronze/a b.json`` for ``base='/r'``."""
     local = F.url_decode(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/"))
     prefix = "/" + base.lstrip("/").rstrip("/") + "/"
-    return F.when(local.startswith(prefix), F.substring(local, len(prefix) + 1, 1 << 20))
+    return F.when(local.startswith(prefix), F.substring(local, F.lit(len(prefix) + 1), F.length(local)))
+
+
+def listing_complete(spark: SparkSession, root: str, man: DataFrame) -> DataFrame:
+    """(layer, listing_complete): whether every object that is in the old
+    layout now is in the manifest (T-20)."""
+    found = None
+    for layer in ("bronze", "silver"):
+        now = list_objects(spark, root, layer).select("layer", "old_key").where(~F.col("old_key").contains(config.PARTITION_MARKER))
+        missing = now.join(man.select("old_key"), "old_key", "left_anti").agg(F.count("*").alias("n"))
+        one = missing.select(F.lit(layer).alias("layer"), (F.col("n") == 0).alias("listing_complete"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _winner_paths(man: DataFrame, root: str, feed: str) -> list[str]:
+    """Files that win a day of the feed: one per day at most, so the list is as long as the calendar."""
+    keys = man.where(F.col("is_winner") & (F.col("feed") == feed)).select("old_key").collect()
+    return sorted(f"{root}/{r['old_key']}" for r in keys)
+
+
+def _checked(man: DataFrame, written: DataFrame) -> DataFrame:
+    """Migrated objects whose folder was not written are failed: the winner was
+    unreadable or held nothing, and the others of its day rest on it."""
+    done = written.select(F.col("folder").alias("_folder")).distinct()
+    m = man.join(done, man["new_key"] == done["_folder"], "left")
+    lost = (F.col("outcome") == "migrated") & F.col("_folder").isNull()
+    return m.withColumns({"outcome": F.when(lost, F.lit("failed")).otherwise(F.col("outcome")),
+                          "new_key": F.when(lost, F.lit(None)).otherwise(F.col("new_key")),
+                          "is_winner": F.col("is_winner") & ~lost}).drop("_folder")
 
 
 def run_backfill(spark: SparkSession, root: str, out_root: str | None = None) -> DataFrame:
     """MIG-6/7: write every winner into the new layout under ``out_root``
-    (default ``root``) and return the manifest. Bronze documents are re-parsed
-    and written one per (feed, day); silver Parquet files are read with the
-    feed's silver schema and re-written into the day partition. One
-    distributed read and write per feed (the four feeds are a fixed list);
-    no per-file loop on the driver."""
-    from lodestone import schemas
-
-    out = (out_root or root).rstrip("/")
+    (default ``root``) and return the manifest.
+
+    The manifest alone decides: its winners' files are read, one distributed
+    read and write per feed and layer (the four feeds are a fixed list).
+    Bronze documents are written as one line each. Silver files keep all their
+    columns (schemas of a feed's files are merged). A silver file that cannot be
+    read, or has no row, does not stop the others; its day is then not written,
+    and every object that counts on it is reported as failed, which keeps the
+    deletion gate shut."""
     from lodestone.session import materialize
 
+    root, out = root.rstrip("/"), (out_root or root).rstrip("/")
     # The manifests are materialised first: the job writes below the folders
-    # it lists, and every later write must see the same listing.
-    bronze = list_objects(spark, root, "bronze", with_content=True)
-    man_b = materialize(manifest(bronze.drop("path")))
-    win_b = man_b.where("is_winner").select(
-        "feed", F.col("ingest_day").alias("ingested_at"),
-        F.to_json(F.try_parse_json("content")).alias("value"))   # one line, value types kept
-    for feed in config.FEEDS:
-        (win_b.where(F.col("feed") == feed).select("value", "ingested_at")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingested_at").text(f"{out}/bronze/{feed}"))
-
-    silver = list_objects(spark, root, "silver")
-    man_s = materialize(manifest(silver.drop("path")))
-    winners = man_s.where("is_winner").select("old_key", "feed", F.col("ingest_day").alias("ingested_at"))
-    for feed, patterns in config.FEED_PATTERNS:
-        files = (spark.read.schema(schemas.SILVER[feed]).option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet").parquet(f"{root.rstrip('/')}/silver")
-                 .where(F.col("_metadata.file_name").rlike("|".join(patterns))))
-        rows = files.withColumn("old_key", relative_key(F.col("_metadata.file_path"), root.rstrip("/")))
-        picked = rows.join(winners.where(F.col("feed") == feed), "old_key").drop("old_key", "feed")
-        (picked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingested_at").parquet(f"{out}/silver/{feed}"))
-    return man_b.drop("content").unionByName(man_s)
+    # it lists, and every later read must see the same listing.
+    manifests = {"bronze": materialize(manifest(list_objects(spark, root, "bronze", with_content=True).drop("path"))),
+                 "silver": materialize(manifest(list_objects(spark, root, "silver").drop("path")))}
+    result = None
+    for layer, man in manifests.items():
+        written = man.select(F.lit(None).cast("string").alias("folder")).limit(0)
+        for feed in config.FEEDS:
+            paths = _winner_paths(man, root, feed)
+            if not paths:
+                continue
+            if layer == "bronze":
+                rows = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+                rows = rows.select(F.to_json(F.try_parse_json("value")).alias("value"), F.col("_metadata.file_path").alias("_path"))
+            else:
+                reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").option("ignoreCorruptFiles", "true")
+                try:
+                    files = reader.parquet(*paths)
+                except AnalysisException:  # not one of the files has a readable schema
+                    continue
+                rows = files.select("*", F.col("_metadata.file_path").alias("_path"))
+            rows = rows.withColumn("ingested_at", extract_day(relative_key(F.col("_path"), root))).drop("_path")
+            writer = rows.hint("rebalance", "ingested_at").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingested_at")
+            target = f"{out}/{layer}/{feed}"
+            writer.text(target) if layer == "bronze" else writer.parquet(target)
+            there = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(target).select(F.col("_metadata.file_path").alias("p"))
+            folder = F.regexp_replace(relative_key(F.col("p"), out), "/[^/]*$", "")
+            written = written.unionByName(there.select(folder.alias("folder")))
+        done = materialize(_checked(man, written))
+        result = done if result is None else result.unionByName(done)
+    return result

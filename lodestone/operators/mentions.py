@@ -2,14 +2,16 @@
 
 The reference asks a news API for the number of articles matching each
 keyword. Here the articles are a document table and the count is the
-number of documents whose text contains the keyword as a word
-(case-insensitive, the whole text). Per document only the keyword hits are
-kept (an array filter against the literal keyword set, JVM-side), so the
-exploded rows are hits, not words; counts are combined map-side.
+number of documents whose text contains the keyword, a word or a phrase of
+words, between non-word characters (case-insensitive, the whole text). One
+regular expression scans a text and keeps the longest keyword at each place;
+keywords that such a phrase begins with are hits as well. Only hits are
+exploded; counts are combined map-side.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +25,15 @@ from lodestone.operators.envelope import clean_domain
 def keyword_hits(docs: DataFrame, keywords: Sequence[str], text_col: str = "text",
                  keep: Sequence[str] = ()) -> DataFrame:
     """One row per (document, keyword it mentions), with the ``keep`` columns."""
-    kws = [k.lower() for k in clean_domain(keywords, "keywords")]
-    words = F.split(F.lower(F.col(text_col)), WORD_SPLIT)
-    found = F.array_distinct(F.filter(words, lambda w: w.isin(kws)))
+    kws = sorted({" ".join(k.lower().split()) for k in clean_domain(keywords, "keywords")}, key=lambda k: (-len(k), k))
+    quoted = "|".join(r"[^\p{L}\p{N}]+".join(re.escape(w) for w in k.split()) for k in kws)
+    text = F.lower(F.col(text_col))
+    found = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?=({quoted})(?![\p{{L}}\p{{N}}]))"), 1)
+    found = F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, WORD_SPLIT, " ")))
+    begun = {k: [s for s in kws if k == s or k.startswith(s + " ")] for k in kws}
+    if any(len(v) > 1 for v in begun.values()):
+        table = F.create_map(*[x for k, v in begun.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+        found = F.array_distinct(F.flatten(F.transform(found, lambda x: table[x])))
     return explode_exact(docs, list(keep), found, ["keyword"])
 
 
@@ -37,6 +45,6 @@ def keyword_mentions(spark: SparkSession, docs: DataFrame, keywords: Sequence[st
         F.count("*").alias("mentions"))
     if by:
         return counts
-    domain = spark.createDataFrame([(k.lower(),) for k in clean_domain(keywords, "keywords")], "keyword string")
+    domain = spark.createDataFrame([(" ".join(k.lower().split()),) for k in clean_domain(keywords, "keywords")], "keyword string")
     return domain.join(counts, "keyword", "left").select(
         "keyword", F.coalesce("mentions", F.lit(0).cast("bigint")).alias("mentions"))

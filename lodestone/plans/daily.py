@@ -20,32 +20,57 @@ from lodestone.session import materialize
 from lodestone.sources import bronze, silver
 
 
-def flatten_checked(docs: DataFrame, feed: str, run_ts: str | None = None) -> DataFrame:
-    """Documents -> typed rows with ``reject_reasons`` (nothing dropped)."""
-    accepted = envelope.accepted_documents(docs, feed)
+def flatten_checked(docs: DataFrame, feed: str, run_ts: str | None = None, on_missing: str = "skip") -> DataFrame:
+    """Documents (with their envelope, see ``checked_documents``) -> typed rows
+    with ``reject_reasons`` (nothing dropped)."""
+    if "envelope_error" not in docs.columns:
+        docs = envelope.check_envelope(docs, feed)
+    accepted = docs.withColumn("accepted", F.col("envelope_error").isNull()).drop("envelope_error")
     if feed == "news":
         raw = flatten.flatten_news(accepted, news_timestamp=run_ts)
+    elif feed == "currency":
+        raw = flatten.flatten_currency(accepted, on_missing=on_missing)
     else:
         raw = flatten.FLATTENERS[feed](accepted)
     return validate.check(raw, feed)
 
 
-def land_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, run_date: str,
-                   run_ts: str | None = None, whole_text: bool = False) -> dict:
-    """Returns the accepted and rejected row counts. The checked rows are
-    materialised once, then split into the two outputs. Bronze files are
-    NDJSON (one document per line, as ``write_bronze`` writes them);
-    ``whole_text`` reads each file as one (pretty-printed) document."""
-    docs = bronze.read_bronze(spark, os.path.join(bronze_root, feed), days=[run_date], whole_text=whole_text)
-    checked = materialize(flatten_checked(docs, feed, run_ts))
-    valid, rejected = validate.split(checked)
+def land_documents(docs: DataFrame, silver_root: str, feed: str, days: list[str], run_ts: str | None = None,
+                   on_missing: str = "fail", complete: bool = True) -> dict:
+    """Write the silver rows and the rejects of whole days of documents.
+
+    A reject has a ``level``: ``document`` (its envelope failed; ``document``
+    holds the text and ``reject_reasons`` the error) or ``row``. Each day's
+    reject folder is replaced, also by nothing, so a repaired day keeps none.
+    Days are the caller's list (one for a daily run)."""
+    checked = materialize(envelope.check_envelope(docs, feed, complete=complete).drop("top"))
+    refused = checked.where(F.col("envelope_error").isNotNull()).select(
+        F.lit("document").alias("level"), F.col("envelope_error").alias("reject_reasons"), F.col("value").alias("document"), "ingested_at")
+    good = envelope.check_envelope(checked.where(F.col("envelope_error").isNull()).drop("envelope_error"), feed, complete=complete)
+    rows = materialize(flatten_checked(good, feed, run_ts, on_missing))
+    valid, rejected = validate.split(rows)
     silver.write_silver(valid, os.path.join(silver_root, feed), feed)
-    (rejected.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingested_at")
-     .parquet(os.path.join(silver_root, "_rejects", feed)))
-    counts = {r["ok"]: r["n"] for r in checked.groupBy((F.size("reject_reasons") == 0).alias("ok"))
+    rejects = rejected.withColumn("level", F.lit("row")).withColumn("reject_reasons", F.array_join("reject_reasons", ",")) \
+        .unionByName(refused, allowMissingColumns=True)
+    for day in days:
+        (rejects.where(F.col("ingested_at") == day).drop("ingested_at").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").parquet(os.path.join(silver_root, "_rejects", feed, f"ingested_at={day}")))
+    counts = {r["ok"]: r["n"] for r in rows.groupBy((F.size("reject_reasons") == 0).alias("ok"))
               .agg(F.count("*").alias("n")).collect()}
-    return {"accepted": counts.get(True, 0), "rejected": counts.get(False, 0)}
+    return {"accepted": counts.get(True, 0), "rejected": counts.get(False, 0) + refused.count()}
+
+
+def land_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, run_date: str,
+                   run_ts: str | None = None, whole_text: bool = False, on_missing: str = "fail",
+                   complete: bool = True) -> dict:
+    """Returns the accepted and rejected counts (rows, and documents refused
+    whole). Bronze files are NDJSON (one document per line, as
+    ``write_bronze`` writes them); ``whole_text`` reads each file as one
+    (pretty-printed) document. ``on_missing`` decides about an FX document
+    without a configured currency: ``fail`` (T-4) or ``skip``. With
+    ``complete`` a macro or news document must hold every configured key."""
+    docs = bronze.read_bronze(spark, os.path.join(bronze_root, feed), days=[run_date], whole_text=whole_text)
+    return land_documents(docs, silver_root, feed, [run_date], run_ts, on_missing, complete)
 
 
 def staged_from_silver(spark: SparkSession, silver_root: str, run_date: str,

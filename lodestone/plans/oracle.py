@@ -343,8 +343,7 @@ outcomes AS (
               ELSE 'migrated' END AS outcome
   FROM classified),
 keyed AS (
-  SELECT *, CASE WHEN outcome = 'migrated' THEN layer || '/' || feed || '/ingested_at=' || ingest_day || '/data.'
-                 || CASE WHEN layer = 'silver' THEN 'parquet' ELSE 'json' END END AS new_key
+  SELECT *, CASE WHEN outcome = 'migrated' THEN layer || '/' || feed || '/ingested_at=' || ingest_day END AS new_key
   FROM outcomes),
 manifest AS (
   SELECT k.*, coalesce(w.winner_key = k.old_key, false) AS is_winner

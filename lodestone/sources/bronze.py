@@ -35,23 +35,29 @@ def write_bronze(docs: DataFrame, feed_root: str) -> None:
     """SRC-2: one line per document, day partitions replaced on re-run; empty
     documents are not written (ENV-1)."""
     out = docs.where(F.length(F.trim("value")) > 0).select("value", "ingested_at")
-    (out.repartition("ingested_at").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.hint("rebalance", "ingested_at").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingested_at").text(feed_root))
 
 
 def gather_responses(responses: DataFrame, domain: Sequence[str], key_col: str = "key",
-                     body_col: str = "body") -> DataFrame:
+                     body_col: str = "body", fetched_col: str | None = None) -> DataFrame:
     """SRC-16/17: per-key responses of one load day -> one document
     ``{key: response}``. All-or-nothing: a day missing any configured key
     yields no document (ENV-4). Empty keys are skipped (ENV-3).
 
-    Input: (ingested_at, key, body JSON text). A day holds one response per
+    Input: (ingested_at, key, body JSON text) and, where a key may be fetched
+    again, the fetch time ``fetched_col``: the newest fetch of a day counts.
+    Several fetches without a time are an error, not a guess. A day holds one response per
     configured key, so the per-day group is bounded by the domain size."""
     keys = clean_domain(domain, "keys")
-    # One response per (day, key) first (a repeated fetch keeps the greatest
-    # body, deterministically), so the per-day list is bounded by the domain.
-    r = (responses.where(F.col(key_col).isin(list(keys)))
-         .groupBy("ingested_at", key_col).agg(F.max(body_col).alias(body_col)))
+    # One response per (day, key) first, so the per-day list is bounded by the domain.
+    wanted = responses.where(F.col(key_col).isin(list(keys)))
+    if fetched_col:
+        newest = F.max(F.struct(F.col(fetched_col).alias("at"), F.col(body_col).alias("body")))["body"]
+    else:
+        newest = F.when(F.min(body_col) == F.max(body_col), F.max(body_col)).otherwise(
+            F.raise_error(F.lit("several responses of one day and key: name the fetch time column")))
+    r = wanted.groupBy("ingested_at", key_col).agg(newest.alias(body_col))
     per_day = r.groupBy("ingested_at").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(key_col), F.col(body_col)))).alias("m"),
         F.count("*").alias("n"))

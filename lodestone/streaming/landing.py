@@ -3,7 +3,8 @@
 The reference runs the daily transform as a scheduled batch; the same work as
 an incremental file stream picks up every newly landed day exactly once (the
 file source keeps a log of processed files in the checkpoint), and re-runs
-are safe because each micro-batch replaces the day partitions it touches.
+are safe because each micro-batch rebuilds the days it touches from all files
+of those days, however the files are spread over batches.
 ``trigger(availableNow=True)`` processes what has landed and stops, so a
 scheduler can start it once a day; a long-running trigger works as well.
 """
@@ -15,10 +16,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.operators import validate
-from lodestone.plans.daily import flatten_checked
-from lodestone.sources import silver
-from lodestone.sources.bronze import BRONZE_SCHEMA
+from lodestone.plans.daily import land_documents
+from lodestone.sources.bronze import BRONZE_SCHEMA, read_bronze
 
 
 def bronze_stream(spark: SparkSession, bronze_root: str, feed: str, max_files_per_trigger: int | None = None,
@@ -33,16 +32,16 @@ def bronze_stream(spark: SparkSession, bronze_root: str, feed: str, max_files_pe
 
 
 def start_landing(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, checkpoint: str,
-                  available_now: bool = True, max_files_per_trigger: int | None = None, whole_text: bool = False):
+                  available_now: bool = True, max_files_per_trigger: int | None = None, whole_text: bool = False,
+                  on_missing: str = "fail", complete: bool = True):
     """Start the stream; returns the StreamingQuery."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = flatten_checked(batch.select("ingested_at", "value"), feed)
-        valid, rejected = validate.split(checked)
-        silver.write_silver(valid, os.path.join(silver_root, feed), feed)
-        (rejected.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingested_at")
-         .parquet(os.path.join(silver_root, "_rejects", feed)))
+        # the days of the batch (a handful of strings), then those days whole
+        days = sorted(r[0] for r in batch.select("ingested_at").distinct().collect())
+        if days:
+            docs = read_bronze(batch.sparkSession, os.path.join(bronze_root, feed), days=days, whole_text=whole_text)
+            land_documents(docs, silver_root, feed, days, on_missing=on_missing, complete=complete)
 
     writer = (bronze_stream(spark, bronze_root, feed, max_files_per_trigger, whole_text).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint))

@@ -29,15 +29,15 @@ def test_manifest_outcomes(spark):
     m = backfill.manifest(df)
     got = {r["old_key"]: (r["outcome"], r["new_key"], r["is_winner"]) for r in m.collect()}
     k = [x[1] for x in LISTING]
-    assert got[k[0]] == ("migrated", "bronze/metal/ingested_at=2026-04-08/data.json", False)
-    assert got[k[1]] == ("migrated", "bronze/metal/ingested_at=2026-04-08/data.json", True)   # last write wins
+    assert got[k[0]] == ("migrated", "bronze/metal/ingested_at=2026-04-08", False)
+    assert got[k[1]] == ("migrated", "bronze/metal/ingested_at=2026-04-08", True)   # last write wins
     assert got[k[2]][0] == "failed"                     # bad JSON
     assert got[k[3]][0] == "already_partitioned"
     assert got[k[4]][0] == "folder"
     assert got[k[5]][0] == "unclassified"
-    assert got[k[6]] == ("migrated", "bronze/fred/ingested_at=fred_data.json/data.json", True)  # not checked (parity)
+    assert got[k[6]] == ("migrated", "bronze/fred/ingested_at=fred_data.json", True)  # not checked (parity)
     assert got[k[7]][0] == "failed"
-    assert got[k[8]] == ("migrated", "silver/currency/ingested_at=2026-04-08/data.parquet", True)
+    assert got[k[8]] == ("migrated", "silver/currency/ingested_at=2026-04-08", True)
     assert got[k[9]][0] == "not_parquet"
     s = {r["layer"]: r for r in backfill.summary(m).collect()}
     assert s["bronze"]["n_migrated"] == 3 and s["bronze"]["n_failed"] == 2 and not s["bronze"]["ok_to_delete"]
@@ -71,3 +71,41 @@ def test_run_backfill_on_files(spark, tmp_dir):
     cur = spark.read.parquet(os.path.join(tmp_dir, "silver/currency"))
     assert rows(cur, "currency_code", "exchange_rate") == [("IDR", 16000.0)]
     assert os.path.isdir(os.path.join(tmp_dir, "silver/currency/ingested_at=2026-04-08"))
+
+
+def put_table(root, key, **columns):
+    p = os.path.join(root, key)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    pq.write_table(pa.table(columns), p)
+
+
+def test_backfill_loses_nothing(spark, tmp_dir):
+    """A feed named only by its folder, an extra column, an unreadable file, and the gate."""
+    put_table(tmp_dir, "silver/2026-04-08 08-00-00/currency/part-0.parquet", rate_date=["a"], exchange_rate=[1.0], extra=["kept"])
+    put_table(tmp_dir, "silver/2026-04-09 08-00-00/currency_rates.parquet", rate_date=["b"], exchange_rate=[2.0])
+    os.makedirs(os.path.join(tmp_dir, "bronze/2026-04-08 08-00-00"))
+    with open(os.path.join(tmp_dir, "bronze/2026-04-08 08-00-00/metal_prices.json"), "w") as f:
+        f.write('{"v": 1}')
+    man = backfill.run_backfill(spark, tmp_dir)
+    cur = spark.read.option("mergeSchema", "true").parquet(os.path.join(tmp_dir, "silver/currency"))
+    assert rows(cur, "rate_date", "extra") == [("a", "kept"), ("b", None)]
+    gate = {r["layer"]: r["ok_to_delete"] for r in backfill.summary(man, backfill.listing_complete(spark, tmp_dir, man)).collect()}
+    assert gate == {"bronze": True, "silver": True}
+    for r in man.where("outcome = 'migrated'").collect():
+        assert os.path.isdir(os.path.join(tmp_dir, r["new_key"]))
+    # an object that came after the listing shuts the gate
+    put_table(tmp_dir, "silver/2026-04-10 08-00-00/currency_rates.parquet", rate_date=["c"])
+    late = {r["layer"]: r["ok_to_delete"] for r in backfill.summary(man, backfill.listing_complete(spark, tmp_dir, man)).collect()}
+    assert late == {"bronze": True, "silver": False}
+
+
+def test_unreadable_silver_file_is_failed(spark, tmp_dir):
+    put_table(tmp_dir, "silver/2026-04-08 08-00-00/currency_rates.parquet", rate_date=["a"])
+    os.makedirs(os.path.join(tmp_dir, "bronze"))
+    bad = os.path.join(tmp_dir, "silver/2026-04-09 08-00-00/currency_rates.parquet")
+    os.makedirs(os.path.dirname(bad))
+    with open(bad, "w") as f:
+        f.write("not parquet")
+    man = backfill.run_backfill(spark, tmp_dir)
+    assert rows(man, "outcome") == [("failed",), ("migrated",)]
+    assert [r["ok_to_delete"] for r in backfill.summary(man).collect()] == [False]

@@ -85,3 +85,63 @@ def test_several_documents_in_one_day_file(spark, tmp_dir):
     df = spark.createDataFrame([("2026-04-08", d) for d in docs], "ingested_at string, value string")
     bronze.write_bronze(df, os.path.join(b, "metal"))
     assert daily.land_to_silver(spark, b, s, "metal", "2026-04-08") == {"accepted": 8, "rejected": 2}
+
+
+def metal(price):
+    return fixture_docs("2026-04-08", price, 1, 1)["metal"]
+
+
+def put_file(root, day, name, text):
+    os.makedirs(os.path.join(root, "metal", f"ingested_at={day}"), exist_ok=True)
+    with open(os.path.join(root, "metal", f"ingested_at={day}", name), "w") as f:
+        f.write(text)
+
+
+def test_stream_rebuilds_whole_days(spark, tmp_dir):
+    for cap in (None, 1):
+        b, s, ck = (os.path.join(tmp_dir, str(cap), x) for x in ("bronze", "silver", "ckpt"))
+        for k in range(3):
+            put_file(b, "2026-04-08", f"f{k}.txt", json.dumps(metal(100.0 + k)))
+        start_landing(spark, b, s, "metal", ck, max_files_per_trigger=cap).awaitTermination()
+        count = lambda: silver.read_silver(spark, os.path.join(s, "metal"), "metal").count()
+        assert count() == 12
+        put_file(b, "2026-04-08", "f3.txt", json.dumps(metal(104.0)))
+        for _ in range(2):
+            start_landing(spark, b, s, "metal", ck, max_files_per_trigger=cap).awaitTermination()
+            assert count() == 16
+
+
+def test_refused_documents_are_rejects_until_repaired(spark, tmp_dir):
+    b, s = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "silver")
+    put_file(b, "2026-04-08", "f.txt", json.dumps({"status": "error"}) + "\n{broken\n{}\n")
+    assert daily.land_to_silver(spark, b, s, "metal", "2026-04-08") == {"accepted": 0, "rejected": 3}
+    rejects = spark.read.parquet(os.path.join(s, "_rejects", "metal"))
+    assert rows(rejects, "level", "reject_reasons") == [("document", "empty_object"), ("document", "not_json"), ("document", "status")]
+    good = metal(100.0)
+    good["metals"]["platinum"] = 3.0
+    put_file(b, "2026-04-08", "f.txt", json.dumps(good))
+    assert daily.land_to_silver(spark, b, s, "metal", "2026-04-08") == {"accepted": 5, "rejected": 0}
+    assert spark.read.parquet(os.path.join(s, "_rejects", "metal")).count() == 0
+
+
+def test_whole_text_incomplete_and_missing_rates(spark, tmp_dir):
+    import pytest
+
+    b, s = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "silver")
+    put_file(b, "2026-04-08", "f.txt", json.dumps(metal(100.0), indent=1))
+    assert daily.land_to_silver(spark, b, s, "metal", "2026-04-08", whole_text=True) == {"accepted": 4, "rejected": 1}
+    land(spark, b, "news", "2026-04-08", {"gold": {"status": "ok", "totalResults": 1}})
+    assert daily.land_to_silver(spark, b, s, "news", "2026-04-08") == {"accepted": 0, "rejected": 1}
+    land(spark, b, "currency", "2026-04-08", {"date": "2026-04-08 00:00:00+00", "base": "USD", "rates": {"IDR": "1"}})
+    with pytest.raises(Exception, match="currency rate missing"):
+        daily.land_to_silver(spark, b, s, "currency", "2026-04-08")
+    assert daily.land_to_silver(spark, b, s, "currency", "2026-04-08", on_missing="skip")["accepted"] == 1
+
+
+def test_newest_fetch_counts(spark):
+    import pytest
+
+    df = spark.createDataFrame([("d", "k", '{"n":9}', 1), ("d", "k", '{"n":10}', 2)], "ingested_at string, key string, body string, at int")
+    assert rows(bronze.gather_responses(df, ["k"], fetched_col="at"), "value") == [('{"k":{"n":10}}',)]
+    with pytest.raises(Exception, match="fetch time"):
+        bronze.gather_responses(df, ["k"]).collect()

@@ -20,3 +20,9 @@ def test_whole_text_is_searched(spark):
     docs = spark.createDataFrame([(1, long_text)], "doc_id long, text string")
     got = {r["keyword"]: r["mentions"] for r in keyword_mentions(spark, docs, ["nickel"]).collect()}
     assert got == {"nickel": 1}
+
+
+def test_phrases_and_words_they_begin_with(spark):
+    docs = spark.createDataFrame([(1, "Crude oil up"), (2, "crude, OIL"), (3, "crudeoil crude"), (4, "oil"), (5, None)], "id int, text string")
+    got = {r["keyword"]: r["mentions"] for r in keyword_mentions(spark, docs, ["crude oil", "Crude", "oil", "a.b"]).collect()}
+    assert got == {"crude oil": 2, "crude": 3, "oil": 3, "a.b": 0}
