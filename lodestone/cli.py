@@ -1,6 +1,7 @@
 """Command line for the daily jobs (the steps a scheduler runs).
 
     python -m lodestone.cli land --bronze B --silver S --feed metal --run-date 2026-04-08
+    python -m lodestone.cli gather --responses P --bronze B --feed news --run-date 2026-04-08
     python -m lodestone.cli build-mart --silver S --mart M --run-date 2026-04-08
     python -m lodestone.cli backfill --root R [--out O]
 
@@ -28,6 +29,11 @@ def main(argv: list[str] | None = None) -> int:
     land.add_argument("--whole-text", action="store_true", help="each file is one (pretty-printed) document")
     land.add_argument("--on-missing", choices=("fail", "skip"), default="fail", help="FX document without a configured currency")
     land.add_argument("--incomplete", action="store_true", help="take macro and news documents that lack configured keys")
+    gather = sub.add_parser("gather", help="per-key responses (JSON lines: key, body, fetched_at) -> one bronze document")
+    gather.add_argument("--responses", required=True)
+    gather.add_argument("--bronze", required=True)
+    gather.add_argument("--feed", required=True, choices=("fred", "news"))
+    gather.add_argument("--run-date", required=True)
     mart = sub.add_parser("build-mart", help="silver tables -> fact mart (full rebuild)")
     mart.add_argument("--silver", required=True)
     mart.add_argument("--mart", required=True)
@@ -49,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
         out = daily.land_to_silver(spark, args.bronze, args.silver, args.feed, args.run_date, args.run_ts,
                                    args.whole_text, args.on_missing, not args.incomplete)
         print(json.dumps(out))
+    elif args.cmd == "gather":
+        daily.land_responses(spark.read.schema("key string, body string, fetched_at string").json(args.responses),
+                             args.bronze, args.feed, args.run_date)
     elif args.cmd == "build-mart":
         daily.build_mart(spark, args.silver, args.mart, args.run_date, args.start,
                          dedupe_rates=args.dedupe_rates, strict=not args.relaxed)

@@ -1,13 +1 @@
 """Column-level helpers (JVM-side expressions only, no Python UDFs)."""
-
-from lodestone.functions.casts import (  # noqa: F401
-    date_prefix,
-    flexible_timestamp,
-    iso_seconds,
-    is_iso_date_prefix,
-    safe_bigint,
-    safe_double,
-    timestamp_prefix,
-)
-from lodestone.functions.keys import sanitize_column, sanitize_key, sanitize_keys, sanitize_name, sanitized_type  # noqa: F401
-from lodestone.functions.text import word_set  # noqa: F401

@@ -14,13 +14,25 @@ from pyspark.sql import functions as F
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 # Integer, optionally with a zero fraction (a JSON 12.0 is a valid count).
 _INTEGER = r"^\s*[+-]?\d+(\.0*)?\s*$"
-_ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}"
 # ISO date, optional time, optional fraction, optional zone (Z, +07, +07:00, +0700).
 _ISO_DATETIME = (
     r"^(\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?)"
     r"\s*(Z|[+-]\d{2}(:?\d{2})?)?$"
 )
 
+# Further spellings of a date, as (pattern it must match, format).
+# A slashed date is month first, as date parsers for free text take it.
+_DATE_FORMS = (
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2} \d{4}$", "MMMM d yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+)
+_DATE_AND_TIME = r"^(.*?)(?:[T ](\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?))?$"
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -38,12 +50,9 @@ def safe_bigint(x) -> Column:
     return F.when(s.rlike(_INTEGER), F.regexp_replace(F.trim(s), r"\.0*$", "").try_cast("bigint"))
 
 
-def is_iso_date_prefix(x) -> Column:
-    return _c(x).rlike(_ISO_DATE)
-
-
 def flexible_timestamp(x) -> Column:
-    """Parse an ISO-8601 datetime (date only, ``T`` or blank, fraction, zone).
+    """Parse an ISO-8601 datetime (date only, ``T`` or blank, fraction, zone), or
+    a date in one of ``_DATE_FORMS`` with an optional time.
 
     The written wall clock is kept (zone-less result): a zone suffix is checked
     but not applied, which equals what cutting the first 10 or 19 characters
@@ -56,7 +65,14 @@ def flexible_timestamp(x) -> Column:
         body = F.regexp_extract(t, _ISO_DATETIME, 1)
         return F.when(body != "", body.try_cast("timestamp_ntz"))
 
-    return F.coalesce(parse(s), parse(F.trim(F.substring_index(s, "+", 1))))
+    def spelled(t: Column) -> Column:
+        day = F.replace(F.regexp_extract(t, _DATE_AND_TIME, 1), F.lit(","), F.lit(""))
+        time = F.regexp_extract(t, _DATE_AND_TIME, 2)
+        found = F.coalesce(*[F.when(day.rlike(form), F.try_to_timestamp(day, F.lit(fmt))) for form, fmt in _DATE_FORMS])
+        return F.concat(F.date_format(found, "yyyy-MM-dd"), F.lit(" "), F.when(time != "", time).otherwise(F.lit("00:00"))).try_cast("timestamp_ntz")
+
+    cut = F.trim(F.substring_index(s, "+", 1))
+    return F.coalesce(parse(s), parse(cut), spelled(cut))
 
 
 def date_prefix(x) -> Column:

@@ -1,15 +1,4 @@
 """Text helpers for the keyword-mention operator."""
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # A word is a run of Unicode letters or digits; matching is case-insensitive.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
-
-
-def word_set(text) -> Column:
-    """Distinct lower-cased words of the whole text (no prefix cut)."""
-    t = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.array_distinct(F.split(F.lower(t), WORD_SPLIT)), "")

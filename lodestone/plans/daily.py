@@ -73,6 +73,15 @@ def land_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, feed
     return land_documents(docs, silver_root, feed, [run_date], run_ts, on_missing, complete)
 
 
+def land_responses(responses: DataFrame, bronze_root: str, feed: str, run_date: str) -> None:
+    """SRC-16/17: the day's per-series or per-keyword responses (key, body,
+    fetched_at) become one bronze document of the run date, the newest fetch
+    of each key; nothing is written while a configured key is missing."""
+    domain = config.FRED_SERIES if feed == "fred" else config.NEWS_KEYWORDS
+    docs = bronze.gather_responses(envelope.stamp_load_date(responses, run_date), domain, fetched_col="fetched_at")
+    bronze.write_bronze(docs, os.path.join(bronze_root, feed))
+
+
 def staged_from_silver(spark: SparkSession, silver_root: str, run_date: str,
                        start: str = config.PROJECTION_START) -> dict[str, DataFrame]:
     out = {}

@@ -112,3 +112,61 @@ def backfill_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.when(layer == "bronze", F.when(small, F.lit("{broken")).otherwise(
         F.to_json(F.struct("o_orderkey", "o_totalprice"))))
     return o.select(layer.alias("layer"), key.alias("old_key"), content.alias("content"))
+
+
+# --- rows and documents with a fault in every so many, for every rule -------------
+
+def _n() -> F.Column:
+    return F.col("l_orderkey") * 8 + F.col("l_linenumber")
+
+
+def _unless(every: int, bad, good) -> F.Column:
+    """``bad`` on every so many rows, else ``good``."""
+    return F.when(_n() % every == 0, bad).otherwise(good)
+
+
+def raw_metal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem", per_row_heavy=True).select(
+        _unless(11, F.lit("soon"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("event_timestamp"),
+        _unless(13, F.lit(""), symbol()).alias("metal_symbol"), _unless(17, F.lit("-1"), F.col("l_extendedprice").cast("string")).alias("price_usd"),
+        _unless(19, F.lit(None), F.lit("USD")).alias("currency_base"), F.lit("g").alias("unit"), day_text("l_shipdate").alias("ingested_at"))
+
+
+def raw_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem", per_row_heavy=True).select(
+        _unless(11, F.lit("someday"), F.concat(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" +utc"))).alias("rate_date"),
+        _unless(13, F.lit(None), symbol()).alias("currency_code"), _unless(17, F.lit("n/a"), F.lit("2.5")).alias("exchange_rate"),
+        _unless(19, F.lit(None), F.lit("USD")).alias("base_currency"), day_text("l_shipdate").alias("ingested_at"))
+
+
+def raw_fred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem", per_row_heavy=True).select(
+        _unless(13, F.lit(None), symbol()).alias("series_id"), _unless(11, F.lit("2026-02-30"), day_text("l_shipdate")).alias("observation_date"),
+        _unless(17, F.lit("x"), _unless(7, F.lit("."), F.lit("1.5"))).alias("observation_values"), F.lit("lin").alias("units"),
+        day_text("l_shipdate").alias("ingested_at"))
+
+
+def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem", per_row_heavy=True).select(
+        day_text("l_shipdate").alias("news_timestamp"), _unless(13, F.lit(None), symbol()).alias("keywords"),
+        _unless(17, F.lit("-3"), F.lit("4.0")).alias("total_mentions"), _unless(19, F.lit("error"), F.lit("ok")).alias("status"),
+        day_text("l_shipdate").alias("ingested_at"))
+
+
+RAW = {"metal": raw_metal, "currency": raw_currency, "fred": raw_fred, "news": raw_news}
+
+
+def spelled_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_orderkey and its order date in one of nine spellings."""
+    forms = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy/MM/dd", "M/d/yyyy", "yyyyMMdd", "MMM d, yyyy", "MMMM d, yyyy HH:mm", "d MMM yyyy", "d MMMM yyyy HH:mm:ss")
+    o = table(spark, sf_dir, "orders", per_row_heavy=True)
+    spelled = F.coalesce(*[F.when(F.col("o_orderkey") % len(forms) == i, F.date_format("o_orderdate", f)) for i, f in enumerate(forms)])
+    return o.select("o_orderkey", spelled.alias("spelled"))
+
+
+def faulty_fred_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro documents, one per line item, some empty, broken or without content."""
+    li = table(spark, sf_dir, "lineitem", per_row_heavy=True)
+    series = F.create_map(_case("l_returnflag", FLAG_SERIES), F.struct(F.lit("lin").alias("units")))
+    value = _unless(11, F.lit("  "), _unless(13, F.lit("{broken"), _unless(17, F.lit("{}"), F.to_json(series))))
+    return li.select(day_text("l_shipdate").alias("ingested_at"), value.alias("value"))

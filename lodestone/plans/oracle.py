@@ -248,6 +248,26 @@ CTE["reject_summary"] = """SELECT feed, rule_id, CAST(count(*) AS BIGINT) AS n_r
   UNION ALL SELECT 'news', 'VAL-13' FROM flat_news WHERE status <> 'ok'
 ) GROUP BY feed, rule_id"""
 
+_RULES = (("metal", "VAL-1", 11), ("metal", "VAL-2", 13), ("metal", "VAL-3", 17), ("metal", "VAL-4", 19),
+          ("currency", "VAL-5", 11), ("currency", "VAL-7", 17), ("currency", "VAL-8", 13), ("currency", "VAL-8", 19),
+          ("fred", "VAL-9", 11), ("fred", "VAL-9", 13), ("fred", "VAL-11", 17),
+          ("news", "VAL-12", 17), ("news", "VAL-13", 19), ("news", "VAL-14", 13))
+CTE["reject_rules"] = ("WITH n AS (SELECT l_orderkey * 8 + l_linenumber AS n FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{feed}' AS feed, '{rule}' AS rule_id, CAST(count(*) AS BIGINT) AS n_rows FROM n WHERE "
+    + " OR ".join(f"n % {k} = 0" for f, r, k in _RULES if (f, r) == (feed, rule)) for feed, rule in dict.fromkeys((f, r) for f, r, _ in _RULES)))
+
+CTE["flexible_dates"] = """SELECT o_orderkey, CASE o_orderkey % 9 WHEN 1 THEN date_trunc('second', o_orderdate) WHEN 6 THEN date_trunc('minute', o_orderdate)
+  WHEN 8 THEN date_trunc('second', o_orderdate) ELSE date_trunc('day', o_orderdate) END AS parsed FROM orders"""
+
+CTE["rejected_documents"] = """SELECT strftime(l_shipdate, '%Y-%m-%d') AS ingested_at, e AS envelope_error, CAST(count(*) AS BIGINT) AS n_docs FROM (
+  SELECT l_shipdate, CASE WHEN n % 11 = 0 THEN 'empty' WHEN n % 13 = 0 THEN 'not_json' WHEN n % 17 = 0 THEN 'empty_object'
+    WHEN l_returnflag <> 'A' THEN 'incomplete' END AS e FROM (SELECT *, l_orderkey * 8 + l_linenumber AS n FROM lineitem))
+WHERE e IS NOT NULL GROUP BY ALL"""
+
+CTE["gather_macro_documents"] = ("SELECT ingested_at, " + ", ".join(f"max(v) FILTER (WHERE s = '{x}') AS {x.lower()}" for x in config.FRED_SERIES)
+    + f""" FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS ingested_at, {_case('l_returnflag', FLAG_SERIES)} AS s,
+  arg_max(l_extendedprice, l_orderkey * 8 + l_linenumber) AS v FROM lineitem GROUP BY ALL) GROUP BY ingested_at HAVING count(*) = 3""")
+
 CTE["envelope_summary"] = f"""SELECT feed, envelope_error, CAST(count(*) AS BIGINT) AS n_docs FROM (
   SELECT 'metal' AS feed, CASE WHEN day(d) = 31 THEN 'status' ELSE 'ok' END AS envelope_error
   FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)

@@ -115,6 +115,33 @@ def q_reject_summary(spark, sf):
     return out
 
 
+# Every rule of every feed, on rows straight from the tables with one fault in
+# so many rows (documents.RAW); reasons counted per rule.
+@register("reject_rules", CTE["reject_rules"])
+def q_reject_rules(spark, sf):
+    parts = [validate.reject_summary(validate.check(raw(spark, sf), f), f) for f, raw in documents.RAW.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("flexible_dates", CTE["flexible_dates"])
+def q_flexible_dates(spark, sf):
+    """Order dates in rotating spellings, parsed back (VAL-5, VAL-6)."""
+    from lodestone.functions.casts import flexible_timestamp
+    return documents.spelled_dates(spark, sf).select("o_orderkey", flexible_timestamp("spelled").alias("parsed"))
+
+
+@register("rejected_documents", CTE["rejected_documents"])
+def q_rejected_documents(spark, sf):
+    """Refused macro documents per load day and reason, empty, broken, empty
+    object and without the wanted series (ENV-1, ENV-4)."""
+    chk = envelope.check_envelope(documents.faulty_fred_docs(spark, sf), "fred", ("DGS10",), complete=True)
+    return (chk.where(F.col("envelope_error").isNotNull()).groupBy("ingested_at", "envelope_error")
+            .agg(F.count("*").alias("n_docs")))
+
+
 @register("envelope_summary", CTE["envelope_summary"])
 def q_envelope_summary(spark, sf):
     parts = []
@@ -147,8 +174,27 @@ def q_news_window(spark, sf):
 @register("partition_window", with_(extra={"s": CTE["silver_metal"]})
           + f"SELECT * FROM silver_metal WHERE ingested_at BETWEEN '1999-01-01' AND '{RUN_DATE}'")
 def q_partition_window(spark, sf):
-    from lodestone.sources.silver import partition_window
-    return partition_window(demo.silver_metal(spark, sf), RUN_DATE, start="1999-01-01")
+    """The window on a written, day-partitioned table: folders are pruned."""
+    from lodestone.session import shared_path
+    from lodestone.sources import silver
+    path = shared_path(spark, "silver-metal")
+    silver.write_silver(demo.silver_metal(spark, sf), path, "metal")
+    return silver.partition_window(silver.read_silver(spark, path, "metal"), RUN_DATE, start="1999-01-01").drop("loaded_at")
+
+
+@register("silver_catalog_table", with_(extra={"s": CTE["silver_currency"]})
+          + """SELECT ingested_at, currency_code, CAST(count(*) AS BIGINT) AS n_rows, max(exchange_rate) AS highest
+FROM silver_currency GROUP BY ALL""")
+def q_catalog(spark, sf):
+    """FX rows written as a silver table, registered and read through the catalog."""
+    from lodestone.session import shared_path
+    from lodestone.sources import silver
+    path = shared_path(spark, "silver-currency")
+    silver.write_silver(demo.silver_currency(spark, sf), path, "currency")
+    name = "t" + path.rsplit("-", 1)[-1]
+    silver.register_table(spark, "lodestone_demo", name, path, "currency")
+    return spark.table(f"lodestone_demo.{name}").groupBy("ingested_at", "currency_code").agg(
+        F.count("*").alias("n_rows"), F.max("exchange_rate").alias("highest"))
 
 
 # --- dashboard (DASH-1..6) ------------------------------------------------------
@@ -248,10 +294,9 @@ from lodestone.sources.bronze import to_ndjson  # noqa: E402
 def q_ndjson(spark, sf):
     s = demo.silver_fred(spark, sf, per_row_heavy=True)
     lines = s.select(to_ndjson(s).alias("line"))
-    return lines.select(F.get_json_object("line", "$.series_id").alias("series_id"),
-                        F.get_json_object("line", "$.observation_date").alias("observation_date"),
-                        F.get_json_object("line", "$.observation_values").cast("double").alias("observation_values"),
-                        F.size(F.json_object_keys("line")).alias("n_keys"))
+    m = lines.select(F.from_json("line", "map<string,string>").alias("m"))
+    return m.select(F.col("m.series_id"), F.col("m.observation_date"), F.col("m.observation_values").cast("double").alias("observation_values"),
+                    F.size("m").alias("n_keys"))
 
 
 # --- back-fill manifest (MIG-1..10) ----------------------------------------------
@@ -314,6 +359,17 @@ def q_gather_news(spark, sf):
         F.aggregate(F.map_values("m"), F.lit(0).cast("bigint"), lambda acc, x: acc + x["totalResults"]).alias("total_mentions"))
 
 
+@register("gather_macro_documents", CTE["gather_macro_documents"])
+def q_gather_macro(spark, sf):
+    """One response per line item: of the many fetches of a day and series the newest counts."""
+    li = demo.table(spark, sf, "lineitem")
+    resp = li.select(demo.day_text("l_shipdate").alias("ingested_at"), demo._case("l_returnflag", demo.FLAG_SERIES).alias("key"),
+                     F.to_json(F.struct(F.col("l_extendedprice").alias("v"))).alias("body"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("at"))
+    m = F.from_json("value", "map<string,struct<v:double>>")
+    return gather_responses(resp, config.FRED_SERIES, fetched_col="at").select("ingested_at", m.alias("m")).select(
+        "ingested_at", *[F.col("m")[s]["v"].alias(s.lower()) for s in config.FRED_SERIES])
+
+
 # --- data quality: price unit (T-15) ------------------------------------------------
 @register("metal_units", with_("stg_metal_prices") + CTE["metal_units"])
 def q_metal_units(spark, sf):

@@ -145,3 +145,21 @@ def test_newest_fetch_counts(spark):
     assert rows(bronze.gather_responses(df, ["k"], fetched_col="at"), "value") == [('{"k":{"n":10}}',)]
     with pytest.raises(Exception, match="fetch time"):
         bronze.gather_responses(df, ["k"]).collect()
+
+
+def test_gather_lands_one_document_or_none(spark, tmp_dir):
+    from lodestone import cli, config
+
+    b, p = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "responses.json")
+
+    def gather(keys):
+        with open(p, "w") as f:
+            for k in keys:
+                for n in (9, 10):
+                    f.write(json.dumps({"key": k, "body": json.dumps({"status": "ok", "totalResults": n}), "fetched_at": f"2026-04-08T0{n - 8}"}) + "\n")
+        assert cli.main(["gather", "--responses", p, "--bronze", b, "--feed", "news", "--run-date", "2026-04-08"]) == 0
+    gather(config.NEWS_KEYWORDS[:1])
+    assert not any(x.startswith("ingested_at") for x in os.listdir(os.path.join(b, "news")))
+    gather(config.NEWS_KEYWORDS)
+    doc = json.loads(bronze.read_bronze(spark, os.path.join(b, "news")).first()["value"])
+    assert {k: v["totalResults"] for k, v in doc.items()} == dict.fromkeys(config.NEWS_KEYWORDS, 10)

@@ -55,3 +55,31 @@ def test_bounded_checks_rows_and_bytes(spark):
     assert bounded(df, max_rows=100)[1] is True
     assert bounded(df, max_rows=99)[1] is False
     assert bounded(df, max_rows=1000, max_bytes=1000)[1] is False
+
+
+def test_fact_reads_fx_twice_and_never_outer_joins_it(spark):
+    from lodestone.plans import demo, mart
+
+    s = demo.staged_all(spark, SF_SMALL)
+    fx = s["currency"]
+    out = mart.build_fact(s["metal"], fx, s["fred"], s["news"], max_broadcast_rows=0)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    reads = p.count("o_orderpriority#") and p.count("FileScan parquet [o_orderdate")
+    assert reads <= 1       # the other one has already run, into the per-date frame
+    left = [line for line in p.splitlines() if "LeftOuter" in line]
+    assert not any("rate_date" in line for line in left)
+
+
+def test_fact_is_the_same_above_the_broadcast_bound(spark):
+    from lodestone.plans import demo, mart
+
+    s = demo.staged_all(spark, SF_SMALL)
+    frames = (s["metal"], s["currency"], s["fred"], s["news"])
+    for dedupe in (False, True):
+        one, two = (sorted(map(tuple, mart.build_fact(*frames, dedupe_rates=dedupe, **kw).collect()), key=repr) for kw in ({}, {"max_broadcast_rows": 0}))
+        assert one == two and one
+
+
+def test_partition_window_prunes_folders(spark):
+    p = E.queries()["partition_window"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingested_at" in p
