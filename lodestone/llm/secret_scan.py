@@ -74,11 +74,10 @@ def scan(docs: DataFrame, repository: Column | None = None, owner: Column | None
     each = d.where(F.size("spans") > 0).select("row", "owner", "repository", F.explode("spans").alias("s"))
     each = each.select("row", "owner", "repository", "s.start", "s.kind", "s.end", F.sha2("s.value", 256).alias("hash"))
     held = each.groupBy("hash", "repository", "owner").agg(F.lit(1).alias("x"))
-    pair = F.struct("owner").alias("owner")
-    by_owner = held.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    owners = by_owner.select("hash", pair, "n").groupBy("hash").agg(F.count("*").alias("n_owners"))
+    owners = held.groupBy("hash", "owner").agg(F.lit(1).alias("x")).groupBy("hash").agg(F.count("*").alias("n_owners"))
     repos = held.groupBy("hash", "repository").agg(F.lit(1).alias("x")).groupBy("hash").agg(F.count("*").alias("n_repositories"))
-    judged = each.join(owners.join(repos, "hash"), "hash")
+    # stored, so that the join has a shuffle of its own, whose hot hashes can be split
+    judged = each.join(stored(owners.join(repos, "hash"), "owners"), "hash")
     live = F.col("n_owners") <= max_owners
     spans = judged.withColumn("live", live).where((F.col("kind") < 3) | F.col("live")).groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", "n_owners", "n_repositories", "live"))).alias("found"))
