@@ -62,7 +62,8 @@ def quality_rules(docs: DataFrame, host: str = "source", min_words: int = 10, ma
     and kept, one row per document."""
     m = stored(measure(docs, host).withColumn("row", F.monotonically_increasing_id()), "rules")
     line = m.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    often = line.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs).select("host", "line")
+    # stored, so that the join has a shuffle of its own, whose hot lines can be split
+    often = stored(line.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs).select("host", "line"), "boilerplate")
     each = m.select("row", "host", F.explode("lines").alias("x")).select("row", "host", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
     lost = by_rows(each, often, ["host", "line"], "inner").groupBy("row").agg(F.sum("words").alias("n_frequent_words"))
     d = m.drop("lines").join(lost, "row", "left").withColumn("n_frequent_words", F.coalesce("n_frequent_words", F.lit(0)).cast("long"))
