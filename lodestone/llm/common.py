@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +56,19 @@ def count_blocks(docs: DataFrame, block_bytes: int, text: str = "text") -> int:
     return max(1, -(-int(total) // block_bytes))
 
 
+def pieces(batch: pa.RecordBatch, text: int, rows: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and, but for single longer
+    texts, ``size`` bytes in column ``text``: what a task holds at once does
+    not grow with the length of its texts."""
+    reach = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        most = size + (int(reach[at - 1]) if at else 0)
+        end = max(at + 1, min(at + rows, int(np.searchsorted(reach, most, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def by_rows(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Null-safe equi-join on equally named keys, keeping the left names."""
     renamed = right.select(*[F.col(k).alias(f"__{k}") if k in keys else F.col(k) for k in right.columns])

@@ -9,7 +9,8 @@ alone, with Adam, on the driver.
 
 The fit reads a bounded sample: the ``MAX_FIT`` labelled training rows with the
 smallest hashes of their ids, and of each at most ``FIT_PASSAGES`` passages spread
-evenly over it. The two classes count alike. Scoring covers every passage of
+evenly over it. Tasks encode the passages, so the driver gets at most MAX_FIT *
+FIT_PASSAGES rows of features (100 MB), however long the texts are. The two classes count alike. Scoring covers every passage of
 every document, batch by batch in ``mapInArrow``; the model is some 100 KB and goes
 out with the function. Only the text enters a score.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lodestone.llm.common import read_table, remainder
+from lodestone.llm.common import pieces, read_table, remainder
 
 PASSAGE, BINS, RATES, HIDDEN, GATE = 64, 192, 10, 32, 16
 MAX_FIT, FIT_PASSAGES, EPOCHS = 4000, 32, 30
@@ -159,19 +160,30 @@ def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> dict |
     number (the share of 1) where the labels have one class or none."""
     usable = labels.where(F.col("quality").isin(0, 1) & (remainder(F.col("doc_id"), 3) != 1) & F.col("doc_id").isNotNull())
     chosen = usable.select("doc_id", F.col("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_fit)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y", "text").limit(max_fit).collect()
+    bags = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        F.xxhash64("doc_id").alias("key"), F.col("doc_id").cast("string").alias("id"), F.col("y").cast("double").alias("y"),
+        F.xxhash64("text").alias("hash"), "text").mapInArrow(_bags, "key long, id string, y double, hash long, x binary")
+    rows = bags.orderBy("key", "id", "y", "hash").limit(max_fit).collect()
     y = np.array([r["y"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5
-    enc, xs, starts, n = Encoder(), [], [], 0
-    for r in rows:
-        x, _ = enc.encode([r["text"]])
-        if len(x) > FIT_PASSAGES:
-            x = x[np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int)]
-        xs.append(x)
-        starts.append(n)
-        n += len(x)
-    return fit(np.concatenate(xs).astype(np.float64), np.array(starts), y)
+    xs = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in rows]
+    starts = np.cumsum([0, *map(len, xs[:-1])])
+    return fit(np.concatenate(xs).astype(np.float64), starts, y)
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text, last column, as the features of the passages the fit takes of it."""
+    enc = Encoder()
+    for big in batches:
+        for b in pieces(big, big.num_columns - 1, 256):
+            data = []
+            for text in b.column(b.num_columns - 1).to_pylist():
+                x, _ = enc.encode([text])
+                if len(x) > FIT_PASSAGES:
+                    x = x[np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int)]
+                data.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(data, pa.binary())], names=["key", "id", "y", "hash", "x"])
 
 
 def score(docs: DataFrame, model: dict | float, column: str = "score") -> DataFrame:
@@ -183,8 +195,7 @@ def score(docs: DataFrame, model: dict | float, column: str = "score") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder()
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for part in pieces(b, at_text, 256):
                 texts = part.column(at_text).to_pylist()
                 if isinstance(small, float):
                     p = np.full(len(texts), small)

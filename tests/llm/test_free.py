@@ -5,11 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import blocks, decontaminate, lm_scoring, near_dedup, quality_classifier, suffix_dedup
-from lodestone.llm.common import remainder
+from lodestone.llm.common import pieces, remainder
 from tests.llm import brute
 from tests.llm.conftest import edge_rows, got, make, prose
 
@@ -45,6 +46,23 @@ def test_held_out_labels_are_not_read(spark):
     assert all((one[k] == two[k]).all() for k in one)
 
 
+def test_fit_takes_even_passages_of_long_texts():
+    """The bags that tasks send are those of whole texts, cut to FIT_PASSAGES."""
+    long = " ".join(prose(k, 64) for k in range(100))
+    table = pa.table({"key": [1, 2], "id": ["1", "2"], "y": [0.0, 1.0], "hash": [1, 2], "text": [long, None]})
+    bags = [b for r in quality_classifier._bags(iter(table.to_batches())) for b in r.column("x").to_pylist()]
+    whole, _ = quality_classifier.Encoder().encode([long])
+    assert len(whole) == 100 and len(bags[1]) == 4 * quality_classifier.FEATURES
+    assert bags[0] == whole[np.linspace(0, 99, quality_classifier.FIT_PASSAGES).astype(int)].tobytes()
+
+
+def test_pieces_are_bounded_and_whole():
+    batch = pa.record_batch({"i": list(range(8)), "text": ["a" * 5, None, "", "b" * 50, "c", "d" * 9, "e" * 9, "f"]})
+    got_ = [p.column(0).to_pylist() for p in pieces(batch, 1, rows=3, size=10)]
+    assert got_ == [[0, 1, 2], [3], [4, 5], [6, 7]]
+    assert list(pieces(batch.slice(0, 0), 1, rows=3)) == []
+
+
 def test_scores_of_odd_rows(spark, edges):
     docs, labels = labelled(spark, 60)
     model = quality_classifier.train(docs, labels)
