@@ -9,11 +9,12 @@ trade date (full rebuild, SRC-12).
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone import config
+from lodestone import config, schemas
 from lodestone.operators import envelope, flatten, staging, validate
 from lodestone.plans import mart
 from lodestone.session import materialize
@@ -91,21 +92,41 @@ def staged_from_silver(spark: SparkSession, silver_root: str, run_date: str,
     return out
 
 
-def write_mart(fact: DataFrame, path: str) -> None:
+BUILDS = "built_at timestamp, build string"
+
+
+def write_mart(fact: DataFrame, path: str) -> str:
     """SRC-12: full rebuild, Parquet, partitioned by trade date (rebalanced on
-    the day: small days coalesce, a hot day is split over several tasks)."""
-    fact.hint("rebalance", "trade_date").write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy("trade_date").parquet(path)
+    the day: small days coalesce, a hot day is split over several tasks).
+
+    Each build is a folder of its own below ``path`` and counts from the
+    moment its row stands in ``path/builds``, the last step. So a build that
+    fails leaves the mart as it was, and readers of the one before are not
+    disturbed. Returns the folder; earlier builds stay until someone removes them."""
+    folder = f"build-{uuid.uuid4().hex[:12]}"
+    fact.hint("rebalance", "trade_date").write.partitionBy("trade_date").parquet(os.path.join(path, folder))
+    done = fact.sparkSession.range(1).select(F.current_timestamp().alias("built_at"), F.lit(folder).alias("build"))
+    done.coalesce(1).write.mode("append").parquet(os.path.join(path, "builds"))
+    return os.path.join(path, folder)
 
 
 def build_mart(spark: SparkSession, silver_root: str, mart_path: str, run_date: str,
-               start: str = config.PROJECTION_START, **kw) -> None:
+               start: str = config.PROJECTION_START, **kw) -> str:
     s = staged_from_silver(spark, silver_root, run_date, start)
-    write_mart(mart.build_fact(s["metal"], s["currency"], s["fred"], s["news"], **kw), mart_path)
+    return write_mart(mart.build_fact(s["metal"], s["currency"], s["fred"], s["news"], **kw), mart_path)
 
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    from lodestone import schemas
+def current_build(spark: SparkSession, path: str) -> str:
+    """The folder of the newest complete build, for readers that want a path."""
+    builds = spark.read.schema(BUILDS).parquet(os.path.join(path, "builds"))
+    return os.path.join(path, builds.orderBy(F.col("built_at").desc(), "build").first()["build"])
 
+
+def read_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """One written fact table, with the fixed schema and column order."""
     cols = schemas.column_names(schemas.FACT)
-    return spark.read.schema(schemas.struct(schemas.FACT)).parquet(path).select(*cols)
+    return spark.read.schema(schemas.struct(schemas.FACT)).parquet(folder).select(*cols)
+
+
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    return read_fact(spark, current_build(spark, path))

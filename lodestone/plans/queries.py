@@ -212,7 +212,7 @@ def stored_mart(spark, sf):
         path = shared_path(spark, "dash-mart")
         fact(spark, sf).write.parquet(path)
         _MARTS[key] = path
-    return daily.read_mart(spark, _MARTS[key])
+    return daily.read_fact(spark, _MARTS[key])
 
 
 register("dash_price_daily", with_("fact") + CTE["dash_price_daily"])(
@@ -333,6 +333,17 @@ def q_silver_roundtrip(spark, sf):
     return stg_fred_data(silver_io.read_silver(spark, path, "fred"))
 
 
+@register("bronze_roundtrip", with_(extra={"x": CTE["flat_fred"]}) + "SELECT * FROM flat_fred")
+def q_bronze_roundtrip(spark, sf):
+    """Macro documents, one per line item, written as bronze day files (SRC-2),
+    read back as NDJSON (SRC-1) and flattened."""
+    from lodestone.sources import bronze
+    path = shared_path(spark, "bronze-fred")
+    bronze.write_bronze(documents.DOCS["fred"](spark, sf), path)
+    docs = envelope.accepted_documents(bronze.read_bronze(spark, path), "fred")
+    return TYPED_OUT["fred"](flatten.flatten_fred(docs))
+
+
 @register("mart_roundtrip", with_("fact") + "SELECT * FROM fact")
 def q_mart_roundtrip(spark, sf):
     """The fact written as the trade-date partitioned mart table and read back."""

@@ -55,6 +55,25 @@ def test_daily_batch_pipeline(spark, tmp_dir):
     assert {str(r["trade_date"]) for r in daily.read_mart(spark, m).collect()} == {"2026-04-08"}
 
 
+def test_failed_build_leaves_the_mart(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from lodestone import schemas
+
+    m = os.path.join(tmp_dir, "mart")
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.struct(schemas.FACT) if f.name != "trade_date"]
+    fact = spark.range(2).select(F.date_add(F.lit("2026-04-07").cast("date"), F.col("id").cast("int")).alias("trade_date"), *cols)
+    first = daily.write_mart(fact, m)
+    bad = fact.withColumn("trade_date", F.when(F.col("trade_date") > "2000-01-01", F.raise_error(F.lit("no rates"))).otherwise(F.col("trade_date")))
+    with pytest.raises(Exception, match="no rates"):
+        daily.write_mart(bad, m)
+    assert daily.current_build(spark, m) == first and daily.read_mart(spark, m).count() == 2
+    second = daily.write_mart(fact.limit(1), m)  # days that are gone do not stay
+    assert daily.current_build(spark, m) == second and daily.read_mart(spark, m).count() == 1
+    assert daily.read_fact(spark, first).count() == 2
+
+
 def test_streaming_landing_processes_each_file_once(spark, tmp_dir):
     b, s, ck = (os.path.join(tmp_dir, x) for x in ("bronze", "silver", "ckpt"))
     land(spark, b, "metal", "2026-04-07", fixture_docs("2026-04-07", 100.0, 1, 1)["metal"])
