@@ -16,17 +16,18 @@ exact phrase match. A proximity match needs every term of a window, with its
 count, inside ``n + slop`` consecutive words of one document in any order.
 
 The test set goes to every task with the search function: its size is checked
-against ``max_test_bytes`` first, and a larger one is cut into parts that are
-searched one after another over the same stored index.
+against MAX_TEST_BYTES first, and a larger one is cut into parts that are
+searched one after another over the same stored index, then of all terms.
 
 ASCII lower case; words are runs of letters, digits and non-ASCII characters.
 Null or empty texts have no words and are clean; items without words match
-nothing; repeated items and rows each count; null ids are kept.
+nothing; repeated items and rows each count; null ids of documents are kept,
+items without an id match nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import re
 from collections.abc import Iterator
 
@@ -41,6 +42,7 @@ from lodestone.llm.common import stored
 # on UTF-8 bytes: digits, ASCII letters and whatever is not ASCII
 WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")
 SHARD_BYTES = 4 << 20
+MAX_TEST_BYTES = 4 << 20  # of test texts in a task at once; its windows take some 50 times that
 INDEX = "shard string, term string, n int, postings binary, docs array<bigint>, rows array<bigint>, ends array<int>"
 MATCH = "row long, doc_id long, item_id string, start int, stop int, kind string"
 
@@ -179,12 +181,16 @@ def search_shard(pdf, wins: dict[tuple, list[str]], slop: int | None):
     return meta, out
 
 
-def test_items(benchmark: DataFrame, max_test_bytes: int = 64 << 20) -> list[list[tuple[str, str]]]:
-    """The test set, measured first, in parts of at most ``max_test_bytes``."""
+def count_parts(benchmark: DataFrame, max_test_bytes: int) -> int:
+    """Parts of about ``max_test_bytes`` the test set is cut into."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-int(total) // max_test_bytes))
+    return max(1, -(-int(total) // max_test_bytes))
+
+
+def test_items(benchmark: DataFrame, part: int, n_parts: int) -> list[tuple[str, str]]:
+    """(item_id, text) of one part of the test set."""
     items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
-    return [[(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()] for k in range(n)]
+    return [(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_parts)) == part).collect()]
 
 
 def search(index: DataFrame, items: list[tuple[str, str]], n: int = 10, slop: int | None = None) -> DataFrame:
@@ -201,51 +207,68 @@ def search(index: DataFrame, items: list[tuple[str, str]], n: int = 10, slop: in
     return index.groupBy("shard").applyInPandas(find, MATCH)
 
 
-VERDICT = "row long, doc_id long, n_words long, n_hit long, n_items long, items_sha256 string"
+FOUND = "shard string, number int, row long, doc_id long, n_words long, starts array<int>, stops array<int>, items array<string>"
 
 
-def verdicts(index: DataFrame, items: list[tuple[str, str]], n: int = 10) -> DataFrame:
-    """One row per indexed document: words, words inside exact matches, items."""
+def found(index: DataFrame, items: list[tuple[str, str]], n: int = 10) -> DataFrame:
+    """One row per indexed document: its place in the index, its words, the
+    stretches of them inside exact matches, and the items matched."""
     import pandas as pd
 
     wins = windows(items, n)
 
     def judge(pdf):
-        meta, found = search_shard(pdf, wins, None)
+        meta, matches = search_shard(pdf, wins, None)
         ends = [int(e) for e in meta["ends"]]
         spans: dict[int, dict] = {}
-        held: dict[int, set] = {}
-        for d, item, s, e, _ in found:
+        held: dict[int, dict] = {}
+        for d, item, s, e, _ in matches:
             spans.setdefault(d, {})[(s, e)] = None
-            held.setdefault(d, set()).add(item)
+            held.setdefault(d, {})[item] = None
         out = []
         for d, (row, doc_id) in enumerate(zip(meta["rows"], meta["docs"], strict=True)):
-            hit, reach = 0, 0
+            joined: list[list[int]] = []
             for s, e in sorted(spans.get(d, ())):
-                hit += max(0, e - max(s, reach))
-                reach = max(reach, e)
-            ids = sorted(held.get(d, ()))
-            out.append((int(row), doc_id, ends[d] - (ends[d - 1] if d else 0), hit, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()))
-        return pd.DataFrame(out, columns=["row", "doc_id", "n_words", "n_hit", "n_items", "items_sha256"]).astype({"doc_id": "Int64"})
-    return index.groupBy("shard").applyInPandas(judge, VERDICT)
+                if joined and s <= joined[-1][1]:
+                    joined[-1][1] = max(e, joined[-1][1])
+                else:
+                    joined.append([s, e])
+            out.append((meta["shard"], d, int(row), doc_id, ends[d] - (ends[d - 1] if d else 0), [s for s, _ in joined], [e for _, e in joined], list(held.get(d, ()))))
+        return pd.DataFrame(out, columns=["shard", "number", "row", "doc_id", "n_words", "starts", "stops", "items"]).astype({"doc_id": "Int64"})
+    return index.groupBy("shard").applyInPandas(judge, FOUND)
+
+
+def verdicts(rows: DataFrame) -> DataFrame:
+    """Count the words in the union of the stretches, and name the items."""
+    zero = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("reach"))
+
+    def add(acc, s):
+        new = F.greatest(F.lit(0), s["stops"] - F.greatest(s["starts"], acc["reach"]))
+        return F.struct((acc["hit"] + new).alias("hit"), F.greatest(acc["reach"], s["stops"]).alias("reach"))
+
+    items = F.array_sort(F.array_distinct("items"))
+    hit = F.aggregate(F.array_sort(F.arrays_zip("starts", "stops")), zero, add)["hit"]
+    return rows.select("row", "doc_id", "n_words", hit.cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                       F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_test_bytes: int = 64 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_test_bytes: int = MAX_TEST_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and row (the
-    given ``row`` column, or a number of this run) per document. With a test
-    set of several parts, n_hit adds up the parts' hits and items_sha256 joins
-    the parts' hashes."""
+    given ``row`` column, or a number of this run) per document. The parts of
+    a large test set are read, searched and stored one by one, and what they
+    found is joined per document: the result does not depend on the parts."""
     if "row" not in docs.columns:
         docs = docs.withColumn("row", F.monotonically_increasing_id())
-    parts = test_items(benchmark, max_test_bytes)
-    vocabulary = {w for items in parts for _, text in items for w in tokens(text)}
-    index = build_index(docs.select("row", F.col("doc_id").cast("long"), "text"), vocabulary)
-    d = verdicts(index, parts[0], n)
-    for items in parts[1:]:
-        more = verdicts(index, items, n).select("row", *[F.col(c).alias(f"_{c}") for c in ("n_hit", "n_items", "items_sha256")])
-        d = d.join(more, "row").select("row", "doc_id", "n_words", *[(F.col(c) + F.col(f"_{c}")).alias(c) for c in ("n_hit", "n_items")],
-                                       F.sha2(F.concat("items_sha256", "_items_sha256"), 256).alias("items_sha256"))
-    return d.withColumn("contaminated", F.col("n_hit") > 0)
+    docs = docs.select("row", F.col("doc_id").cast("long"), "text")
+    n_parts = count_parts(benchmark, max_test_bytes)
+    if n_parts == 1:
+        items = test_items(benchmark, 0, 1)
+        return verdicts(found(build_index(docs, {w for _, text in items for w in tokens(text)}), items, n))
+    index = build_index(docs)
+    parts = [stored(found(index, test_items(benchmark, k, n_parts), n), "found") for k in range(n_parts)]
+    every = functools.reduce(DataFrame.unionByName, parts).groupBy("shard", "number").agg(
+        *[F.first(c).alias(c) for c in ("row", "doc_id", "n_words")], *[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "stops", "items")])
+    return verdicts(every)
 
 
 def op4(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -112,6 +112,15 @@ def test_small_shards_and_parts_of_the_test_set(edges, items):
     assert {(r[0], r[1], r[5]) for r in got(parts)} == whole
 
 
+def test_parts_of_the_test_set_change_no_result(spark, edges, items):
+    again = spark.createDataFrame([(9, "ab cd"), (9, "cd ef"), (10, "cd")], "item_id long, text string")
+    tests = items.select("item_id", "text").unionByName(again)
+    docs = edges.select("doc_id", "text").unionByName(spark.createDataFrame([(900, "ab cd ef"), (900, "ab cd ef"), (901, "x ab cd")], "doc_id long, text string"))
+    parts = decontaminate.decontaminate(docs, tests, max_test_bytes=20).drop("row")
+    assert got(parts) == got(decontaminate.op4(docs, tests))
+    assert got(parts.where("doc_id >= 900"), "doc_id", "n_hit", "n_items") == [(900, 3, 2), (900, 3, 2), (901, 2, 2)]
+
+
 def test_index_without_vocabulary_gives_the_same_matches(edges, items):
     docs = edges.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     test = [(str(i), t) for i, t in ITEMS if i is not None]
