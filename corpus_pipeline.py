@@ -10,11 +10,16 @@ stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, line_dedup, mixing, near_dedup, quality_classifier
-from lodestone.llm.common import by_rows, read_table, row_key, stored
+from lodestone.llm.common import read_table, row_key, stored
+
+
+def _row(text_hash: Column) -> Column:
+    """``__row``, a key of a document's id and the hash of its text."""
+    return F.concat_ws(".", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash.cast("string")).alias("__row")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +37,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class (five-word shingles, similarity 0.8)."""
-    kept = near_dedup.near_dedup(docs).where("kept").select("doc_id", F.col("text_hash").alias("__hash")).distinct()
-    one = docs.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"])
-    return by_rows(one, kept, ["doc_id", "__hash"], "left_semi").select(docs.columns)
+    kept = near_dedup.near_dedup(docs).where("kept").select(_row(F.col("text_hash")))
+    # both steps on one key: the texts are shuffled once
+    one = docs.withColumn("__row", _row(F.xxhash64("text"))).dropDuplicates(["__row"])
+    return one.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold ten consecutive words of a benchmark item (or a whole shorter item)."""
     rows = docs.withColumn("row", F.xxhash64("text"))
     judged = decontaminate.decontaminate(rows, read_table(spark, sf_dir, "benchmark"))
-    bad = judged.where("contaminated").select("doc_id", F.col("row").alias("__hash")).distinct()
-    return by_rows(docs.withColumn("__hash", F.xxhash64("text")), bad, ["doc_id", "__hash"], "left_anti").select(docs.columns)
+    # stored, so that its size is known when the join with the texts is planned
+    bad = stored(judged.where("contaminated").select(_row(F.col("row"))).distinct(), "contaminated")
+    return docs.withColumn("__row", _row(F.xxhash64("text"))).join(bad, "__row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
