@@ -382,6 +382,10 @@ CTE["silver_roundtrip"] = """SELECT series_id, CAST(observation_date AS DATE) AS
        observation_values, units, CAST(ingested_at AS DATE) AS event_timestamp
 FROM flat_fred WHERE observation_values IS NULL OR observation_values > 0"""
 
+CTE["silver_roundtrip_news"] = """SELECT CAST(l_shipdate AS TIMESTAMP) AS news_timestamp, l_returnflag || l_linestatus AS topics,
+       CAST(4 AS BIGINT) AS total_mentions, 'ok' AS status, CAST(l_shipdate AS DATE) AS event_timestamp
+FROM (SELECT *, l_orderkey * 8 + l_linenumber AS n FROM lineitem) WHERE n % 13 <> 0 AND n % 17 <> 0 AND n % 19 <> 0"""
+
 CTE["gather_news_documents"] = f"""SELECT strftime(d, '%Y-%m-%d') AS ingested_at, count(*) AS n_keys,
        CAST(sum(total) AS BIGINT) AS total_mentions
 FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag || l_linestatus AS sym,

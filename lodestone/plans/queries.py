@@ -333,6 +333,18 @@ def q_silver_roundtrip(spark, sf):
     return stg_fred_data(silver_io.read_silver(spark, path, "fred"))
 
 
+@register("silver_roundtrip_news", CTE["silver_roundtrip_news"])
+def q_silver_roundtrip_news(spark, sf):
+    """News rows, one per line item and some faulty, validated, written as a
+    day-partitioned silver table (SRC-7) and read back into staging; rows the
+    rules reject must not be in it."""
+    path = shared_path(spark, "silver-news")
+    valid, _ = validate.split(validate.check(documents.RAW["news"](spark, sf), "news"))
+    silver_io.write_silver(valid, path, "news")
+    from lodestone.operators.staging import stg_news_data
+    return stg_news_data(silver_io.read_silver(spark, path, "news"))
+
+
 @register("bronze_roundtrip", with_(extra={"x": CTE["flat_fred"]}) + "SELECT * FROM flat_fred")
 def q_bronze_roundtrip(spark, sf):
     """Macro documents, one per line item, written as bronze day files (SRC-2),
