@@ -10,9 +10,14 @@ s at each choice, so pairs at 0.8 meet in a leaf of a tree with constant
 chance, and other pairs thin out. Nodes of one vertex end. After LEVELS levels
 nodes of at most SMALL vertices are compared, and so are larger ones whose
 pairs are similar on average (DENSE), which further choices would not split. The
-others go LEVELS deeper, up to ROUNDS times, and are then compared at any size. With a share of 0.64 of
-the pairs at 0.8 meeting in a tree of three levels, all but 0.36 ** TREES of them
-meet in some tree.
+others go LEVELS deeper, up to ROUNDS times, and are then compared at any size.
+
+A pair at 0.8 meets in one tree with chance 0.64, 0.48 or 0.38 at 3, 6 or 9 levels, so
+trees that end at three levels are enough and deeper ones are not. The vertices of
+nodes that go deeper therefore walk FURTHER more trees from the root, over a
+second sketch with coordinates of its own; both ends of a pair that met in such a node do. With the
+errors of both sketches and of the comparison counted, a pair at 0.8 is missed
+with chance 3e-6 where nodes end at 3 or 6 levels and 4e-6 where all go to 9.
 
 A node is compared exhaustively, but its pairs are never listed:
 
@@ -29,7 +34,7 @@ A node is compared exhaustively, but its pairs are never listed:
   against all), so a block holds at most two chunks.
 
 So any two similar sets that meet in a node end in one component. Sketches
-only exclude pairs whose estimate is 4 standard errors below the threshold.
+only exclude pairs whose estimate is ERRORS standard errors below the threshold.
 
 Components spread the smallest vertex by label passing with pointer jumping;
 each round is written to the shared folder.
@@ -52,8 +57,8 @@ from pyspark.sql import functions as F
 from lodestone.llm.blocks import mix64
 from lodestone.llm.common import by_rows, stored
 
-COORDS, TREES, LEVELS, ROUNDS, BRANCH = 128, 12, 3, 3, 0.25
-SMALL, CHUNK, DENSE = 64, 4096, 0.5
+COORDS, TREES, FURTHER, LEVELS, ROUNDS, BRANCH = 128, 15, 24, 3, 3, 0.25
+SMALL, CHUNK, DENSE, ERRORS = 64, 4096, 0.5, 5
 MAX_BROADCAST = 2_000_000  # vertex keys of 16 bytes, counted first
 SETS = "doc_id long, text_hash long, n_shingles long, set binary, sketch binary"
 
@@ -78,6 +83,8 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
 _RNG = np.random.default_rng(20)
 _MUL = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64)
+_MUL_2 = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD_2 = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64)
 
 
 def sketch(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
@@ -88,10 +95,10 @@ def sketch(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
     return (mix64(low) & np.uint64(0xFFFF)).astype("<u2")
 
 
-def sets_of(docs: DataFrame, width: int, full: bool = False) -> DataFrame:
+def sets_of(docs: DataFrame, width: int, full: bool = False, second: bool = False) -> DataFrame:
     """doc_id, text_hash, n_shingles, a 16-byte name of the set (null: no set), and the
-    sketch; with ``full`` the sorted hashes of the set in its place."""
-    mul, add = _MUL, _ADD
+    sketch (``second``: that of the further trees); with ``full`` the sorted hashes of the set in its place."""
+    mul, add = (_MUL_2, _ADD_2) if second else (_MUL, _ADD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -130,13 +137,15 @@ def descend(node: np.ndarray, values: np.ndarray, levels: int) -> tuple[np.ndarr
     return node, row
 
 
-def _roots(vertices: DataFrame) -> DataFrame:
+def _roots(vertices: DataFrame, first: int, trees: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            v, ids = _matrix(b.column(1)), b.column(0).to_numpy()
-            root = np.tile(mix64(np.arange(TREES, dtype=np.uint64)), len(ids))
-            node, row = descend(root, np.repeat(v, TREES, axis=0), LEVELS)
-            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[row // TREES])], names=["node", "vid"])
+        for big in batches:
+            for at in range(0, big.num_rows, 4096):
+                b = big.slice(at, 4096)
+                v, ids = _matrix(b.column(1)), b.column(0).to_numpy()
+                root = np.tile(mix64(np.arange(first, first + trees, dtype=np.uint64)), len(ids))
+                node, row = descend(root, np.repeat(v, trees, axis=0), LEVELS)
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[row // trees])], names=["node", "vid"])
     return vertices.select("vid", "sketch").mapInArrow(run, "node long, vid long")
 
 
@@ -164,9 +173,19 @@ def _dense(rows: DataFrame, table: DataFrame) -> DataFrame:
     return _dealt(some, table).mapInArrow(run, "node long")
 
 
-def nodes(vertices: DataFrame) -> DataFrame:
+def nodes(vertices: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(node, vid) of all nodes that are compared."""
-    done, rows, table = None, _roots(vertices), vertices.select("vid", "sketch")
+    done, deep = _walk(vertices.select("vid", "sketch"), 0, TREES)
+    if deep is not None:
+        table = _sets_again(deep.distinct(), docs, vertices, width, second=True)
+        done = done.unionByName(_walk(table, TREES, FURTHER)[0])
+    return done
+
+
+def _walk(table: DataFrame, first: int, trees: int) -> tuple[DataFrame, DataFrame | None]:
+    """(node, vid) of the nodes of some trees that are compared, and the vid
+    of the rows that went deeper than LEVELS (None: there are none)."""
+    done, deep, rows = None, None, _roots(table, first, trees)
     for k in range(ROUNDS):
         shared = rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 1)
         rows = stored(rows.join(shared, "node"), "paths")
@@ -179,8 +198,9 @@ def nodes(vertices: DataFrame) -> DataFrame:
             large = large.join(dense, "node", "left_anti").select("node", "vid")
             if large.isEmpty():
                 break
+            deep = large.select("vid") if deep is None else deep
             rows = _deeper(large.join(table, "vid"))
-    return done
+    return done, deep
 
 
 # ------------------------------------------------------------- comparing
@@ -207,9 +227,9 @@ def _near(v: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 def _least(percent: int) -> int:
-    """Equal coordinates below which a pair cannot be at the threshold (4 standard errors)."""
+    """Equal coordinates below which a pair is taken not to be at the threshold (ERRORS standard errors)."""
     p = percent / 100
-    return int(np.floor(COORDS * (p - 4 * np.sqrt(p * (1 - p) / COORDS))))
+    return int(np.floor(COORDS * (p - ERRORS * np.sqrt(p * (1 - p) / COORDS))))
 
 
 def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -312,13 +332,18 @@ def _dealt(rows: DataFrame, table: DataFrame) -> DataFrame:
     return rows.join(table, "vid").repartition("node", "chunk").sortWithinPartitions("node", "chunk")
 
 
-def _full_sets(vids: DataFrame, docs: DataFrame, vertices: DataFrame, width: int) -> DataFrame:
-    """(vid, items): the whole shingle sets of some vertices, each from one of its documents."""
+def _sets_again(vids: DataFrame, docs: DataFrame, vertices: DataFrame, width: int, **how: bool) -> DataFrame:
+    """(vid, sketch): what ``sets_of`` gives for some vertices, each from one of its documents."""
     need = stored(vertices.select("vid", "set", "doc").join(vids, "vid"), "needed")
     small = F.broadcast if need.count() <= MAX_BROADCAST else (lambda d: d)
     texts = by_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), small(need.select(F.col("doc").alias("doc_id"))), ["doc_id"], "left_semi")
-    full = sets_of(texts, width, full=True).select("set", F.col("sketch").alias("items"))
-    return stored(full.join(small(need.select("vid", "set")), "set").select("vid", "items").dropDuplicates(["vid"]), "sets")
+    again = sets_of(texts, width, **how).select("set", "sketch")
+    return stored(again.join(small(need.select("vid", "set")), "set").select("vid", "sketch").dropDuplicates(["vid"]), "sets")
+
+
+def _full_sets(vids: DataFrame, docs: DataFrame, vertices: DataFrame, width: int) -> DataFrame:
+    """(vid, items): the whole shingle sets of some vertices."""
+    return _sets_again(vids, docs, vertices, width, full=True).withColumnRenamed("sketch", "items")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, width: int, percent: int) -> DataFrame:
@@ -383,7 +408,7 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     vertices = sets.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"))
     vertices = stored(vertices.withColumn("vid", F.monotonically_increasing_id()), "vertices")
     table = vertices.select("vid", "sketch")
-    shared = nodes(vertices)
+    shared = nodes(vertices, docs, width)
     size = shared.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK)
     chunk = F.coalesce(F.pmod(F.xxhash64("vid"), F.ceil(F.col("size") / CHUNK).cast("long")), F.lit(0).cast("long"))
     rows = shared.join(size, "node", "left").select("node", "vid", chunk.alias("chunk"))

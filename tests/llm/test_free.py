@@ -210,6 +210,38 @@ def test_chains_and_large_groups(spark, monkeypatch):
     assert got(near_dedup.op6(make(spark, rows))) == want
 
 
+def test_pairs_in_large_families_meet_at_the_last_level(spark, monkeypatch):
+    """Isolated pairs at 0.8 (80 of 100 words), 20 in each of 40 families of mean similarity 0.45, all sent down to the last level."""
+    rows = []
+    for i in range(800):
+        both = [f"c{i % 40}x{k}" for k in range(56)] + [f"b{i}x{k}" for k in range(24)]
+        rows += [(2 * i + h, " ".join(both + [f"u{i}x{h}x{k}" for k in range(10)]), "s") for h in (0, 1)]
+    monkeypatch.setattr(near_dedup, "SMALL", 0)
+    monkeypatch.setattr(near_dedup, "_dense", lambda rows, table: rows.select("node").limit(0))
+    docs = make(spark, rows)
+    vertices = near_dedup.sets_of(docs, 1).select("set", "sketch", F.col("doc_id").alias("doc"), F.col("doc_id").alias("vid"))
+    met = near_dedup.nodes(vertices, docs, 1).distinct().groupBy("node", F.expr("vid div 2").alias("pair")).count().where("count = 2")
+    assert met.select("pair").distinct().count() == 800
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_miss_chance_of_a_pair_at_the_threshold(rounds):
+    """All errors counted: trees, both sketches, the screen of the comparison; at most 5 in a million."""
+    n, same = near_dedup.COORDS, np.arange(near_dedup.COORDS + 1) / near_dedup.COORDS
+    share = np.array([math.comb(n, k) * 0.8 ** k * 0.2 ** (n - k) for k in range(n + 1)])
+
+    def apart(levels):
+        meet = np.ones(n + 1)
+        for _ in range(levels):
+            meet = 1 - (1 - same * meet) * (1 - near_dedup.BRANCH * same * meet)
+        return 1 - meet
+    early, late = (apart(near_dedup.LEVELS * r) for r in (1, rounds))
+    never = early ** near_dedup.TREES
+    miss = never + (late ** near_dedup.TREES - never) * (share * late ** near_dedup.FURTHER).sum()
+    least = near_dedup._least(80)
+    assert share[:least].sum() + (share * miss)[least:].sum() < 5e-6
+
+
 def test_threshold_is_met_exactly(spark):
     words = prose(11, 203).split()  # 200 shingles
     cut = " ".join(words[:163])     # 160 of them: similarity 0.8
