@@ -8,9 +8,10 @@ scores the weighted sum z = sum a h. Weights are learned from document labels
 alone, with Adam, on the driver.
 
 The fit reads a bounded sample: the ``MAX_FIT`` labelled training rows with the
-smallest hashes of their ids, and of each at most ``FIT_PASSAGES`` passages spread
-evenly over it. Tasks encode the passages, so the driver gets at most MAX_FIT *
-FIT_PASSAGES rows of features (100 MB), however long the texts are. The two classes count alike. Scoring covers every passage of
+smallest hashes of their ids, each with all its passages, in this order until they
+have MAX_FIT * FIT_PASSAGES passages or more together; the row that reaches this number is
+the last one and is whole too. Tasks count and encode the passages, so the driver gets at most that
+many rows of features (100 MB) and those of one text more. The two classes count alike. Scoring covers every passage of
 every document, batch by batch in ``mapInArrow``; the model is some 100 KB and goes
 out with the function. Only the text enters a score.
 
@@ -155,33 +156,48 @@ def fit(x: np.ndarray, starts: np.ndarray, y: np.ndarray, epochs: int = EPOCHS,
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> dict | float:
-    """Fit on at most ``max_fit`` labelled rows that are not held out; a plain
+def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, budget: int = MAX_FIT * FIT_PASSAGES) -> dict | float:
+    """Fit on at most ``max_fit`` labelled rows that are not held out, whole
+    rows until they have ``budget`` passages; a plain
     number (the share of 1) where the labels have one class or none."""
     usable = labels.where(F.col("quality").isin(0, 1) & (remainder(F.col("doc_id"), 3) != 1) & F.col("doc_id").isNotNull())
     chosen = usable.select("doc_id", F.col("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_fit)
-    bags = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
         F.xxhash64("doc_id").alias("key"), F.col("doc_id").cast("string").alias("id"), F.col("y").cast("double").alias("y"),
-        F.xxhash64("text").alias("hash"), "text").mapInArrow(_bags, "key long, id string, y double, hash long, x binary")
-    rows = bags.orderBy("key", "id", "y", "hash").limit(max_fit).collect()
+        F.xxhash64("text").alias("hash"), "text")
+    order = ["key", "id", "y", "hash"]
+    rows = found.mapInArrow(_sizes, "key long, id string, y double, hash long, n long").orderBy(*order).limit(max_fit).collect()
+    reach = np.cumsum([r["n"] for r in rows])
+    rows = rows[:int(np.searchsorted(reach, budget)) + 1]
     y = np.array([r["y"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5
-    xs = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in rows]
+    last = F.struct(*[F.lit(rows[-1][c]).cast(t).alias(c) for c, t in zip(order, ("long", "string", "double", "long"), strict=True)])
+    bags = found.where(F.struct(*order) <= last).dropDuplicates(order).mapInArrow(
+        lambda batches: _bags(batches, None), "key long, id string, y double, hash long, x binary")
+    x_of = {tuple(r[c] for c in order): np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in bags.collect()}
+    xs = [x_of[tuple(r[c] for c in order)] for r in rows]
     starts = np.cumsum([0, *map(len, xs[:-1])])
     return fit(np.concatenate(xs).astype(np.float64), starts, y)
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text, last column, as the features of the passages the fit takes of it."""
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text, last column, as its number of passages."""
+    for b in batches:
+        n = [max(1, -(-len((t.as_py() or "").split()) // PASSAGE)) for t in b.column(b.num_columns - 1)]
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=["key", "id", "y", "hash", "n"])
+
+
+def _bags(batches: Iterator[pa.RecordBatch], most: int | None = FIT_PASSAGES) -> Iterator[pa.RecordBatch]:
+    """The text, last column, as the features of its passages: all of them (None, as the fit asks), or ``most`` spread evenly."""
     enc = Encoder()
     for big in batches:
         for b in pieces(big, big.num_columns - 1, 256):
             data = []
             for text in b.column(b.num_columns - 1).to_pylist():
                 x, _ = enc.encode([text])
-                if len(x) > FIT_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int)]
+                if most is not None and len(x) > most:
+                    x = x[np.linspace(0, len(x) - 1, most).astype(int)]
                 data.append(x.tobytes())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(data, pa.binary())], names=["key", "id", "y", "hash", "x"])
 

@@ -56,6 +56,17 @@ def test_fit_takes_even_passages_of_long_texts():
     assert bags[0] == whole[np.linspace(0, 99, quality_classifier.FIT_PASSAGES).astype(int)].tobytes()
 
 
+def test_fit_learns_whole_bags_up_to_a_budget(spark, monkeypatch):
+    docs = make(spark, [(i, prose(i, 64 * (100 if i % 2 else 3)), "s") for i in range(20)])
+    labels = spark.createDataFrame([(i, i // 2 % 2) for i in range(20)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit", lambda x, starts, y: seen.append(np.diff([*starts, len(x)]).tolist()) or {})
+    quality_classifier.train(docs, labels)
+    assert sorted(seen[0]) == sorted(100 if i % 2 else 3 for i in range(20) if brute.mod(i, 3) != 1)
+    quality_classifier.train(docs, labels, budget=250)  # a prefix of whole rows
+    assert seen[1] == seen[0][:len(seen[1])] and sum(seen[1]) >= 250 > sum(seen[1][:-1])
+
+
 def test_pieces_are_bounded_and_whole():
     batch = pa.record_batch({"i": list(range(8)), "text": ["a" * 5, None, "", "b" * 50, "c", "d" * 9, "e" * 9, "f"]})
     got_ = [p.column(0).to_pylist() for p in pieces(batch, 1, rows=3, size=10)]
