@@ -76,6 +76,34 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all({ALOW.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+tok AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT t.lang, t.source, t.term, count(*) AS c FROM tok t JOIN kept k ON t.lang = k.lang AND t.term = k.term GROUP BY t.lang, t.source, t.term),
+lang_n AS (SELECT lang, sum(c) AS n FROM cnt GROUP BY lang),
+source_n AS (SELECT lang, source, sum(c) AS n FROM cnt GROUP BY lang, source),
+lang_p AS (SELECT c.lang, c.term, CAST(1 + (1000000000 * (sum(c.c) + 1)) // (any_value(l.n) + any_value(v.v)) AS BIGINT) AS q
+  FROM cnt c JOIN lang_n l ON c.lang = l.lang JOIN vocabulary v ON c.lang = v.lang GROUP BY c.lang, c.term),
+group_p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+  CAST(1 + (1000000000 * (coalesce(c.c, 0) + 1)) // (coalesce(n.n, 0) + v.v) AS BIGINT) AS p
+  FROM grp g JOIN kept k ON g.lang = k.lang JOIN vocabulary v ON g.lang = v.lang
+  LEFT JOIN source_n n ON g.lang = n.lang AND g.source = n.source
+  LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+summed AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM group_p a JOIN group_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT g.lang, g.source, 'term' AS part, g.term AS item, CAST((g.p - l.q) * (g.p - l.q) // l.q AS BIGINT) AS value
+  FROM group_p g JOIN lang_p l ON g.lang = l.lang AND g.term = l.term WHERE g.c > 0 AND g.p > l.q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 FIM = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
@@ -93,4 +121,4 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
 FROM part
 """
 
-SQL = {"op1_mixing": MIX, "op2_quality_rules": RULES, "op7_line_dedup": LINES, "op10_chat_format": CHAT, "op13_fill_in_middle": FIM}
+SQL = {"op1_mixing": MIX, "op2_quality_rules": RULES, "op7_line_dedup": LINES, "op10_chat_format": CHAT, "op11_divergence": DIVERGENCE, "op13_fill_in_middle": FIM}
