@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import chat_format, decontaminate, divergence, fill_in_middle, line_dedup, lm_scoring, mixing, near_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup
+from lodestone.llm import chat_format, decontaminate, divergence, fill_in_middle, line_dedup, lm_scoring, mixing, near_dedup, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup
 from lodestone.llm.common import read_table
 from lodestone.llm.oracle import SQL
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": _over("documents", secret_scan.op9),
     "op10_chat_format": _over("conversations", chat_format.op10),
     "op11_divergence": _over("documents", divergence.op11),
+    "op12_packing": _over("documents", packing.op12),
     "op13_fill_in_middle": _over("documents", fill_in_middle.op13),
 }
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}
