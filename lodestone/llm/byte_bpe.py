@@ -32,6 +32,7 @@ from lodestone.llm.runs import cut, flat, owners
 
 KNOWN_WORDS = 400_000  # encoded words a task keeps
 PART = 1 << 20
+_MARK = "\uffff"  # no character
 _SAFE = re.compile(rb"[A-Za-z](?= [A-Za-z])")
 _LETTER, _DIGIT, _SPACE, _OTHER, _UNSURE = range(5)
 _WHITE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -85,15 +86,15 @@ def _byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def _word_encoder(vocab: dict[str, int], merges: list) -> Callable[[str], list[int]] | None:
-    """The ids of a single word; None if the ids do not follow the order of the merges."""
+def _word_encoder(vocab: dict[str, int], merges: list) -> Callable[[str], np.ndarray] | None:
+    """The ids of words that ``_MARK`` parts, marks included; None if the ids do not follow the order of the merges."""
     joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
     if [vocab.get(m) for m in joined] != list(range(256, 256 + len(joined))):
         return None
     import tiktoken
     names = _byte_names()
     ranks = {bytes(names[c] for c in t): i for t, i in vocab.items() if i < 256 + len(joined)}
-    return tiktoken.Encoding("words", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("words", pat_str=f"[^{_MARK}]+|{_MARK}", mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
 
 
 class Encoder:
@@ -124,12 +125,25 @@ class Encoder:
             self._forget()
         new = [w for w in distinct if w not in self.known]
         if new:
-            got = list(map(self.word or self._whole, [w.decode() for w in new]))
-            self.ids = np.concatenate([self.ids, np.array([i for ids in got for i in ids], np.uint32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(ids) for ids in got])])
+            ids, size = self._encoded(new)
+            self.ids = np.concatenate([self.ids, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
 
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, one after the other, and how many each has."""
+        text = _MARK.encode().join(words)
+        if self.word is None or text.count(_MARK.encode()) != len(words) - 1:
+            got = [self._whole(w.decode()) for w in words]
+            return np.array([i for ids in got for i in ids], np.uint32), np.array([len(ids) for ids in got])
+        ids, mark = self.word(text.decode()), self.word(_MARK)
+        at = np.flatnonzero(np.all([ids[k:len(ids) - len(mark) + 1 + k] == m for k, m in enumerate(mark)], axis=0))
+        keep = np.ones(len(ids), bool)
+        for k in range(len(mark)):
+            keep[at + k] = False
+        return ids[keep], np.append(at, len(ids)) - np.append(0, at + len(mark))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty), and where each text's begin (and the end)."""
         data, at = flat(texts)
@@ -165,7 +179,9 @@ class Encoder:
             hard |= np.asarray(pc.match_substring(texts, name), bool)
         begin = words(chars, kind, at_char)
         coded = cut(data, np.append(byte_of[begin], len(data))).dictionary_encode()
-        number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        found, edge = flat(coded.dictionary)
+        found, edge = found.tobytes(), edge.tolist()
+        number = self._numbers([found[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)])[coded.indices.to_numpy()]
         size = self.ends[number + 1] - self.ends[number]
         stop = np.cumsum(size)
         out = self.ids[np.repeat(self.ends[number] - stop + size, size) + np.arange(stop[-1])]
