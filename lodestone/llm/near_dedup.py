@@ -12,6 +12,14 @@ nodes of at most SMALL vertices are compared, and so are larger ones whose
 pairs are similar on average (DENSE), which further choices would not split. The
 others go LEVELS deeper, up to ROUNDS times, and are then compared at any size.
 
+The trees are walked in two waves. The nodes of the FIRST trees are compared
+by leaders (below) and give components, so most members of a large group of
+near copies are in one component before the other trees are walked; there, a
+node whose members are all of one component is dropped when its members are
+counted, before it is stored or joined with anything. Pairs of one component
+need no further link, so this loses nothing. Large nodes of the FIRST trees
+that are not alike go deeper with those of the others.
+
 A pair at 0.8 meets in one tree with chance 0.64, 0.48 or 0.38 at 3, 6 or 9 levels, so
 trees that end at three levels are enough and deeper ones are not. The vertices of
 nodes that go deeper therefore walk FURTHER more trees from the root, over a
@@ -57,7 +65,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.blocks import mix64
 from lodestone.llm.common import by_rows, stored
 
-COORDS, TREES, FURTHER, LEVELS, ROUNDS, BRANCH = 128, 15, 24, 3, 3, 0.25
+COORDS, FIRST, TREES, FURTHER, LEVELS, ROUNDS, BRANCH = 128, 3, 15, 24, 3, 3, 0.25
 SMALL, CHUNK, DENSE, ERRORS = 64, 4096, 0.5, 5
 MAX_BROADCAST = 2_000_000  # vertex keys of 16 bytes, counted first
 SETS = "doc_id long, text_hash long, n_shingles long, set binary, sketch binary"
@@ -137,16 +145,24 @@ def descend(node: np.ndarray, values: np.ndarray, levels: int) -> tuple[np.ndarr
     return node, row
 
 
+MEMBERS = "node long, vid long, comp long"
+
+
+def _members(node: np.ndarray, ids: np.ndarray, comp: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids), pa.array(comp)], names=["node", "vid", "comp"])
+
+
 def _roots(vertices: DataFrame, first: int, trees: int) -> DataFrame:
+    """MEMBERS of some trees after LEVELS, of (vid, sketch, comp)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, 4096):
                 b = big.slice(at, 4096)
-                v, ids = _matrix(b.column(1)), b.column(0).to_numpy()
+                v, ids, comp = _matrix(b.column("sketch")), b.column("vid").to_numpy(), b.column("comp").to_numpy()
                 root = np.tile(mix64(np.arange(first, first + trees, dtype=np.uint64)), len(ids))
                 node, row = descend(root, np.repeat(v, trees, axis=0), LEVELS)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[row // trees])], names=["node", "vid"])
-    return vertices.select("vid", "sketch").mapInArrow(run, "node long, vid long")
+                yield _members(node, ids[row // trees], comp[row // trees])
+    return vertices.select("vid", "sketch", "comp").mapInArrow(run, MEMBERS)
 
 
 def _deeper(members: DataFrame) -> DataFrame:
@@ -154,10 +170,20 @@ def _deeper(members: DataFrame) -> DataFrame:
         for big in batches:
             for at in range(0, big.num_rows, 4096):
                 b = big.slice(at, 4096)
-                v, ids = _matrix(b.column("sketch")), b.column("vid").to_numpy()
-                node, row = descend(b.column("node").to_numpy().view(np.uint64), v, LEVELS)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[row])], names=["node", "vid"])
-    return members.select("node", "vid", "sketch").mapInArrow(run, "node long, vid long")
+                node, row = descend(b.column("node").to_numpy().view(np.uint64), _matrix(b.column("sketch")), LEVELS)
+                yield _members(node, b.column("vid").to_numpy()[row], b.column("comp").to_numpy()[row])
+    return members.select("node", "vid", "comp", "sketch").mapInArrow(run, MEMBERS)
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """MEMBERS of the nodes with more than one component, and each node's size n. Stored."""
+    per = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return stored(rows.join(per.where(F.col("low") < F.col("high")).select("node", "n"), "node"), "paths")
+
+
+def _labelled(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the component of each vid (its own number if it has no link)."""
+    return rows.drop("comp").join(comp, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
 
 
 def _dense(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -173,33 +199,43 @@ def _dense(rows: DataFrame, table: DataFrame) -> DataFrame:
     return _dealt(some, table).mapInArrow(run, "node long")
 
 
-def nodes(vertices: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, vid) of all nodes that are compared."""
-    done, deep = _walk(vertices.select("vid", "sketch"), 0, TREES)
+def _alike(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the members of nodes (node, vid, comp, n): those of nodes to compare now, and of those to go deeper."""
+    large = rows.where(F.col("n") > SMALL)
+    dense = stored(_dense(large, table), "dense")
+    now = rows.where(F.col("n") <= SMALL).unionByName(large.join(dense, "node", "left_semi"))
+    return now.select("node", "vid"), large.join(dense, "node", "left_anti").select("node", "vid", "comp")
+
+
+def first_nodes(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the first wave's nodes: members (node, vid) of those that are compared, and of those that go deeper with the second wave."""
+    return _alike(_several(_roots(table.withColumn("comp", F.col("vid")), 0, FIRST)), table)
+
+
+def nodes(vertices: DataFrame, deeper: DataFrame, comp: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, vid) of all nodes of the second wave that are compared: those of
+    the other trees, and of nodes of the first trees that go ``deeper``."""
+    table = vertices.select("vid", "sketch")
+    rows = _roots(_labelled(table, comp), FIRST, TREES - FIRST).unionByName(_labelled(deeper, comp).select("node", "vid", "comp"))
+    done, deep = _walk(rows, table)
     if deep is not None:
         table = _sets_again(deep.distinct(), docs, vertices, width, second=True)
-        done = done.unionByName(_walk(table, TREES, FURTHER)[0])
+        done = done.unionByName(_walk(_roots(_labelled(table, comp), TREES, FURTHER), table)[0])
     return done
 
 
-def _walk(table: DataFrame, first: int, trees: int) -> tuple[DataFrame, DataFrame | None]:
+def _walk(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(node, vid) of the nodes of some trees that are compared, and the vid
     of the rows that went deeper than LEVELS (None: there are none)."""
-    done, deep, rows = None, None, _roots(table, first, trees)
+    done, deep = None, None
     for k in range(ROUNDS):
-        shared = rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-        rows = stored(rows.join(shared, "node"), "paths")
-        small = rows if k == ROUNDS - 1 else rows.where(F.col("n") <= SMALL)
-        done = small.select("node", "vid") if done is None else done.unionByName(small.select("node", "vid"))
-        if k < ROUNDS - 1:
-            large = rows.where(F.col("n") > SMALL)
-            dense = stored(_dense(large, table), "dense")
-            done = done.unionByName(large.join(dense, "node", "left_semi").select("node", "vid"))
-            large = large.join(dense, "node", "left_anti").select("node", "vid")
-            if large.isEmpty():
-                break
-            deep = large.select("vid") if deep is None else deep
-            rows = _deeper(large.join(table, "vid"))
+        rows = _several(rows)
+        now, further = (rows.select("node", "vid"), None) if k == ROUNDS - 1 else _alike(rows, table)
+        done = now if done is None else done.unionByName(now)
+        if further is None or further.isEmpty():
+            break
+        deep = further.select("vid") if deep is None else deep
+        rows = _deeper(further.join(table, "vid"))
     return done, deep
 
 
@@ -364,6 +400,33 @@ def confirm(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, width: int,
     return stored(d.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def _apart(pairs: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """The pairs (a, b) that are not in one component yet."""
+    if comp is None:
+        return pairs
+    x, y = (comp.select(F.col("vid").alias(v), F.col("comp").alias(f"comp_{v}")) for v in ("a", "b"))
+    both = pairs.join(x, "a", "left").join(y, "b", "left")
+    return both.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
+
+
+def _linked(shared: DataFrame, table: DataFrame, links: DataFrame | None, comp: DataFrame | None, docs: DataFrame, vertices: DataFrame,
+            width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components after the leaders of some nodes (node, vid) are compared with their members."""
+    size = shared.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK)
+    chunk = F.coalesce(F.pmod(F.xxhash64("vid"), F.ceil(F.col("size") / CHUNK).cast("long")), F.lit(0).cast("long"))
+    rows = shared.join(size, "node", "left").select("node", "vid", chunk.alias("chunk"))
+    pairs = stored(_apart(_leader_pairs(_dealt(rows, table), percent), comp), "pairs")
+    found = confirm(pairs, docs, vertices, width, percent)
+    links = found if links is None else links.unionByName(found)
+    comp = components(links)
+    if not size.isEmpty():
+        one = _open(shared, comp).join(size.select("node"), "node", "left_semi").groupBy("node", "comps", "comp").agg(F.min("vid").alias("vid"))
+        rows = one.select("node", "vid", F.pmod(F.xxhash64("vid"), F.ceil(F.col("comps") / CHUNK).cast("long")).alias("chunk"))
+        links = links.unionByName(confirm(stored(_apart(_leader_pairs(_dealt(rows, table), percent), comp), "pairs"), docs, vertices, width, percent))
+        comp = components(links)
+    return links, comp
+
+
 def _open(shared: DataFrame, comp: DataFrame) -> DataFrame:
     """Members (node, vid, comp) of the nodes with several components, with
     the node's size, its number of components and the largest one (top)."""
@@ -408,17 +471,11 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     vertices = sets.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"))
     vertices = stored(vertices.withColumn("vid", F.monotonically_increasing_id()), "vertices")
     table = vertices.select("vid", "sketch")
-    shared = nodes(vertices, docs, width)
-    size = shared.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK)
-    chunk = F.coalesce(F.pmod(F.xxhash64("vid"), F.ceil(F.col("size") / CHUNK).cast("long")), F.lit(0).cast("long"))
-    rows = shared.join(size, "node", "left").select("node", "vid", chunk.alias("chunk"))
-    links = confirm(stored(_leader_pairs(_dealt(rows, table), percent), "pairs"), docs, vertices, width, percent)
-    comp = components(links)
-    if not size.isEmpty():
-        one = _open(shared, comp).join(size.select("node"), "node", "left_semi").groupBy("node", "comps", "comp").agg(F.min("vid").alias("vid"))
-        rows = one.select("node", "vid", F.pmod(F.xxhash64("vid"), F.ceil(F.col("comps") / CHUNK).cast("long")).alias("chunk"))
-        links = links.unionByName(confirm(stored(_leader_pairs(_dealt(rows, table), percent), "pairs"), docs, vertices, width, percent))
-        comp = components(links)
+    now, deeper = first_nodes(table)
+    links, comp = _linked(now, table, None, None, docs, vertices, width, percent)
+    then = nodes(vertices, deeper, comp, docs, width)
+    links, comp = _linked(then, table, links, comp, docs, vertices, width, percent)
+    shared = now.unionByName(then)
 
     near = stored(_near_rows(_dealt(_grid(_open(shared, comp)), table), percent), "near")
     if not near.isEmpty():

@@ -231,10 +231,24 @@ def test_pairs_in_large_families_meet_at_the_last_level(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "_dense", lambda rows, table: rows.select("node").limit(0))
     docs = make(spark, rows)
     vertices = near_dedup.sets_of(docs, 1).select("set", "sketch", F.col("doc_id").alias("doc"), F.col("doc_id").alias("vid"))
-    met = near_dedup.nodes(vertices, docs, 1).distinct().groupBy("node", F.expr("vid div 2").alias("pair")).count().where("count = 2")
+    now, deeper = near_dedup.first_nodes(vertices.select("vid", "sketch"))
+    then = near_dedup.nodes(vertices, deeper, spark.createDataFrame([], "vid long, comp long"), docs, 1)
+    met = now.unionByName(then).distinct().groupBy("node", F.expr("vid div 2").alias("pair")).count().where("count = 2")
     assert met.select("pair").distinct().count() == 800
 
 
+def test_nodes_of_one_component_are_dropped_before_they_are_stored(spark):
+    """A large group of near copies, joined by the first wave, is in no node of the second."""
+    base = prose(21, 200)
+    docs = make(spark, [(i, edited(base, i, 1), "s") for i in range(300)] + [(1000 + i, prose(700 + i, 50), "s") for i in range(20)])
+    vertices = near_dedup.sets_of(docs, 4).select("set", "sketch", F.col("doc_id").alias("doc"), F.col("doc_id").alias("vid")).cache()
+    table = vertices.select("vid", "sketch")
+    now, deeper = near_dedup.first_nodes(table)
+    _, comp = near_dedup._linked(now, table, None, None, docs, vertices, 4, 80)
+    assert comp.where("vid < 300").select("comp").distinct().count() == 1 and comp.where("vid < 300").count() == 300
+    assert near_dedup.nodes(vertices, deeper, comp, docs, 4).count() == 0
+
+
 @pytest.mark.parametrize("rounds", [1, 2, 3])
 def test_miss_chance_of_a_pair_at_the_threshold(rounds):
     """All errors counted: trees, both sketches, the screen of the comparison; at most 5 in a million."""
