@@ -201,10 +201,10 @@ def _dense(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 def _alike(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the members of nodes (node, vid, comp, n): those of nodes to compare now, and of those to go deeper."""
-    large = rows.where(F.col("n") > SMALL)
-    dense = stored(_dense(large, table), "dense")
-    now = rows.where(F.col("n") <= SMALL).unionByName(large.join(dense, "node", "left_semi"))
-    return now.select("node", "vid"), large.join(dense, "node", "left_anti").select("node", "vid", "comp")
+    dense = stored(_dense(rows.where(F.col("n") > SMALL), table), "dense")
+    told = rows.join(dense.withColumn("dense", F.lit(True)), "node", "left")
+    now = (F.col("n") <= SMALL) | F.col("dense").isNotNull()
+    return told.where(now).select("node", "vid"), told.where(~now).select("node", "vid", "comp")
 
 
 def first_nodes(table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -420,7 +420,7 @@ def _linked(shared: DataFrame, table: DataFrame, links: DataFrame | None, comp:
     links = found if links is None else links.unionByName(found)
     comp = components(links)
     if not size.isEmpty():
-        one = _open(shared, comp).join(size.select("node"), "node", "left_semi").groupBy("node", "comps", "comp").agg(F.min("vid").alias("vid"))
+        one = _open(shared, comp).where(F.col("size") > CHUNK).groupBy("node", "comps", "comp").agg(F.min("vid").alias("vid"))
         rows = one.select("node", "vid", F.pmod(F.xxhash64("vid"), F.ceil(F.col("comps") / CHUNK).cast("long")).alias("chunk"))
         links = links.unionByName(confirm(stored(_apart(_leader_pairs(_dealt(rows, table), percent), comp), "pairs"), docs, vertices, width, percent))
         comp = components(links)
@@ -466,9 +466,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per document, and text_hash
-    (xxhash64, to tell rows of one id apart); links are pairs with 100 * intersection >= ``percent`` * union of ``width``-word shingles."""
+    (xxhash64, to tell rows of one id apart); ``leads`` is true for one (doc_id,
+    text_hash) of each class, the smallest with null ids last, and for every row without a set; links are pairs with 100 * intersection >= ``percent`` * union of ``width``-word shingles."""
     sets = stored(sets_of(docs, width), "shingles")
-    vertices = sets.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"))
+    vertices = sets.where(F.col("set").isNotNull()).groupBy("set").agg(
+        F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("lead"))
     vertices = stored(vertices.withColumn("vid", F.monotonically_increasing_id()), "vertices")
     table = vertices.select("vid", "sketch")
     now, deeper = first_nodes(table)
@@ -483,14 +485,16 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         more = stored(_joining_links(_dealt(near, full), percent), "links")
         comp = components(links.unionByName(more))
 
-    member = vertices.select("vid", "set", "doc").join(comp, "vid")
-    least = member.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    named = member.join(least, "comp").select("set", "component_id")
-    alone = vertices.join(comp, "vid", "left_anti").select("set", F.col("doc").alias("component_id"))
+    member = vertices.select("vid", "set", "doc", "lead").join(comp, "vid")
+    least = member.groupBy("comp").agg(F.min("doc").alias("component_id"), F.min("lead").alias("leader"))
+    named = member.select("comp", "set").join(least, "comp").select("set", "component_id", "leader")
+    alone = vertices.join(comp, "vid", "left_anti").select("set", F.col("doc").alias("component_id"), F.col("lead").alias("leader"))
     d = sets.select("doc_id", "text_hash", "n_shingles", "set").join(named.unionByName(alone), "set", "left")
     comp_id = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return d.select("doc_id", "text_hash", "n_shingles", comp_id.alias("component_id"), F.col("doc_id").eqNullSafe(comp_id).alias("kept"))
+    leads = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    one = F.col("set").isNull() | leads.eqNullSafe(F.col("leader"))
+    return d.select("doc_id", "text_hash", "n_shingles", comp_id.alias("component_id"), F.col("doc_id").eqNullSafe(comp_id).alias("kept"), one.alias("leads"))
 
 
 def op6(docs: DataFrame) -> DataFrame:
-    return near_dedup(docs.select("doc_id", "text"), width=4).drop("text_hash")
+    return near_dedup(docs.select("doc_id", "text"), width=4).drop("text_hash", "leads")

@@ -7,14 +7,14 @@ import __spark_entry__ as E
 import corpus_pipeline as P
 from lodestone.llm import quality_classifier
 from tests.llm import brute
-from tests.llm.conftest import edge_rows, make
+from tests.llm.conftest import edge_rows, make, prose
 
 SF = "/root/testdata/sf0.001"
 OPS = sorted(n for n in E.queries() if n.startswith("op"))
 
 
 def test_all_queries_are_there():
-    assert {n.split("_")[0] for n in OPS} == {f"op{k}" for k in range(1, 11)} and "pipeline" in E.queries()
+    assert {n.split("_")[0] for n in OPS} == {f"op{k}" for k in range(1, 14)} and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", OPS)
@@ -23,6 +23,12 @@ def test_one_row_per_document(spark, name):
     if name.startswith("op10"):
         ids = {r[0] for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").collect()} | {-7}
         assert {r["conv_id"] for r in df.collect()} == ids
+    elif name.startswith("op11"):
+        groups = {tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("lang", "source").distinct().collect()}
+        assert {(r["lang"], r["source"]) for r in df.where("part = 'pair'").collect()} == groups
+    elif name.startswith("op12"):
+        sums = df.groupBy("doc_id", "doc_tokens").agg(F.sum("length").alias("n"))
+        assert sums.where("n = doc_tokens").count() == sums.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     else:
         ids = sorted(r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
         assert sorted(r["doc_id"] for r in df.select("doc_id").collect()) == ids
@@ -68,6 +74,14 @@ def test_stages_by_brute_force(spark):
     assert all(abs(per.get(s, 0) - t) <= 1 for s, t in water_fill(sizes).items())
 
 
+def test_one_document_of_each_class_stays(spark):
+    """Near copies that share one id, or have none, and copies of one text under several ids."""
+    one, two = prose(31, 100), prose(32, 100)
+    docs = make(spark, [(1, one, "a"), (1, one + " tail", "a"), (None, two, "a"), (None, two + " tail", "b"), (3, one, "b"), (4, prose(33, 40), "b"), (4, prose(34, 40), "b")])
+    out = dict(P.STAGES)["near_dedup"](spark, docs, SF)
+    assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1, 4, 4]
+
+
 def test_run_gives_what_the_stages_give(spark):
     out = P.run(spark, SF)
     assert out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and out.count() > 0
