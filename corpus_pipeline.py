@@ -37,7 +37,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class (five-word shingles, similarity 0.8)."""
-    kept = near_dedup.near_dedup(docs).where("kept").select(_row(F.col("text_hash")))
+    kept = near_dedup.near_dedup(docs).where("leads").select(_row(F.col("text_hash")))
     # both steps on one key: the texts are shuffled once
     one = docs.withColumn("__row", _row(F.xxhash64("text"))).dropDuplicates(["__row"])
     return one.join(kept, "__row", "left_semi").select(docs.columns)
