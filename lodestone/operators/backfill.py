@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone import config
+from lodestone.sources import inventory
 
+PARTITION = config.PARTITION_MARKER.rstrip("=")
 OUTCOMES = ("migrated", "failed", "unclassified", "already_partitioned", "folder", "not_parquet")
 
 
@@ -112,25 +114,28 @@ def delete_candidates(man: DataFrame) -> DataFrame:
     return man.where(F.col("outcome") == "migrated").select("layer", "old_key", "new_key")
 
 
-def list_objects(spark: SparkSession, root: str, layer: str, with_content: bool = False) -> DataFrame:
-    """MIG-1: listing of ``<root>/<layer>`` as keys relative to ``root``.
-    Without content only file metadata is read (binaryFile prunes ``content``);
-    with content each file is one row of text (``wholetext``)."""
+def list_objects(spark: SparkSession, root: str, layer: str, with_content: bool = False,
+                 previous: DataFrame | None = None) -> DataFrame:
+    """MIG-1: the objects of ``<root>/<layer>`` with keys relative to ``root``,
+    listed in tasks (``sources.inventory``; ``previous`` is an earlier inventory of
+    the layer to bring up to date). With content, tasks read each object as
+    text (null where it is not UTF-8). Names that begin with ``_`` or ``.``
+    are not objects of the layout."""
     base = root.rstrip("/")
+    found = inventory.inventory(spark, f"{base}/{layer}", previous).where("NOT is_dir")
+    key = F.substring("path", F.lit(len(inventory.store(base)[1]) + 2), F.length("path"))
+    found = found.withColumn("old_key", key).where(~F.col("old_key").rlike("(^|/)[_.]"))
     if with_content:
-        df = (spark.read.option("recursiveFileLookup", "true")
-              .text(f"{base}/{layer}", wholetext=True).select(F.col("_metadata.file_path").alias("path"),
-                                               F.col("value").alias("content")))
-    else:
-        df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .load(f"{base}/{layer}").select(F.col("_metadata.file_path").alias("path")))
-    return df.select(F.lit(layer).alias("layer"), relative_key(F.col("path"), base).alias("old_key"), "*")
+        texts = inventory.contents(base, found).withColumn("old_key", key)
+        text = F.col("content").cast("string")
+        return texts.select(F.lit(layer).alias("layer"), "old_key", F.when(F.is_valid_utf8(text), text).alias("content"), "path")
+    return found.select(F.lit(layer).alias("layer"), "old_key", "path")
 
 
 def relative_key(path: Column, base: str) -> Column:
-    """``file:///r/bronze/a b.json`` -> ``bronze/a b.json`` for ``base='/r'``."""
+    """``file:///r/bronze/a b.json`` -> ``bronze/a b.json`` for ``base='/r'`` (or its URI)."""
     local = F.url_decode(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/"))
-    prefix = "/" + base.lstrip("/").rstrip("/") + "/"
+    prefix = "/" + inventory.store(base)[1].strip("/") + "/"
     return F.when(local.startswith(prefix), F.substring(local, F.lit(len(prefix) + 1), F.length(local)))
 
 
@@ -146,16 +151,118 @@ def listing_complete(spark: SparkSession, root: str, man: DataFrame) -> DataFram
     return found
 
 
-def _winner_paths(man: DataFrame, root: str, feed: str) -> list[str]:
-    """Files that win a day of the feed: one per day at most, so the list is as long as the calendar."""
-    keys = man.where(F.col("is_winner") & (F.col("feed") == feed)).select("old_key").collect()
-    return sorted(f"{root}/{r['old_key']}" for r in keys)
+def _winners(man: DataFrame, feed: str) -> DataFrame:
+    """(old_key, ingest_day) of the objects that win a day of the feed: one per day at most, so as many as the calendar has days."""
+    return man.where(F.col("is_winner") & (F.col("feed") == feed)).select("old_key", "ingest_day")
+
+
+# --------------------------------------------------------------------------
+# Reconciliation (MIG-6, MIG-7): every winner is proven by itself. Counts and
+# content sums are per day folder, which is per winner, since a folder has one.
+
+LEDGER = ("layer string, feed string, ingest_day string, n_expected bigint, n_read bigint, n_written bigint, "
+          "content_read decimal(38,0), content_written decimal(38,0)")
+
+
+def _content(columns: list[str]) -> Column:
+    """Order-free sum of row hashes over ``columns`` (by name, so that files
+    with other column orders or further columns agree)."""
+    return F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in sorted(columns)]).cast("decimal(38,0)"))
+
+
+def expected_rows(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
+    """(ingest_day, n_expected) as the Parquet footers say: no column is read,
+    so Spark takes the row counts of the row groups. Files without a readable
+    footer have no row here."""
+    files = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(*paths)
+    day = extract_day(relative_key(F.col("_metadata.file_path"), root))
+    return files.select(day.alias("ingest_day")).groupBy("ingest_day").agg(F.count("*").alias("n_expected"))
+
+
+def _by_day(rows: DataFrame, day: str, columns: list[str], n: str, content: str) -> DataFrame:
+    return rows.groupBy(F.col(day).cast("string").alias("ingest_day")).agg(F.count("*").alias(n), _content(columns).alias(content))
+
 
+def silver_rows(spark: SparkSession, paths: list[str], root: str, tolerant: bool) -> DataFrame:
+    """The rows of some old silver files with their new partition, columns
+    merged. ``tolerant`` gives up a damaged file where its damage begins;
+    otherwise it fails the job."""
+    files = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true") \
+        .option("ignoreCorruptFiles", str(tolerant).lower()).parquet(*paths)
+    return files.withColumn(PARTITION, extract_day(relative_key(F.col("_metadata.file_path"), root)))
 
-def _checked(man: DataFrame, written: DataFrame) -> DataFrame:
-    """Migrated objects whose folder was not written are failed: the winner was
-    unreadable or held nothing, and the others of its day rest on it."""
-    done = written.select(F.col("folder").alias("_folder")).distinct()
+
+def bronze_rows(winners: DataFrame, root: str) -> DataFrame:
+    """The documents of some old bronze objects (old_key), one line each."""
+    base = inventory.store(root)[1]
+    texts = inventory.contents(root, winners.select(F.concat(F.lit(base + "/"), "old_key").alias("path")))
+    key = F.substring("path", F.lit(len(base) + 2), F.length("path"))
+    return texts.select(F.to_json(F.try_parse_json(F.col("content").cast("string"))).alias("value"), extract_day(key).alias(PARTITION))
+
+
+def _write_days(rows: DataFrame, target: str, layer: str) -> None:
+    writer = rows.hint("rebalance", PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION)
+    writer.text(target) if layer == "bronze" else writer.parquet(target)
+
+
+def move_feed(spark: SparkSession, man: DataFrame, root: str, out: str, layer: str, feed: str) -> DataFrame | None:
+    """Write the winners of one feed and layer and return their ledger
+    (None: the feed has no winner).
+
+    Silver: footers give the expected rows; every column of every row is then
+    read once, tolerating damage, for count and content sum. Only files that
+    give all their rows are written, by a read that tolerates nothing, so a
+    half-damaged file publishes no half day. Bronze: one document per file.
+    Last, the written days are read back. The write replaces whole
+    day folders, so what stands in a written day is of this run; days that
+    were not written are not looked at, whatever an earlier run left there."""
+    from lodestone.session import materialize
+
+    target = f"{out}/{layer}/{feed}"
+    winners = materialize(_winners(man, feed))
+    days = winners.select("ingest_day")
+    keys = {r["ingest_day"]: r["old_key"] for r in winners.collect()}
+    if not keys:
+        return None
+    # Spark's file readers take no colon in a name: such Parquet files are not read, and so not proven
+    paths = {d: f"{root}/{k}" for d, k in keys.items() if ":" not in k}
+    rows, columns, read = None, ["value"], days
+    if layer == "bronze":
+        rows = bronze_rows(winners, root)
+        read = days.withColumn("n_expected", F.lit(1).cast("bigint"))
+    elif paths:
+        try:
+            rows = silver_rows(spark, sorted(paths.values()), root, tolerant=True)
+            columns = [c for c in rows.columns if c != PARTITION]
+            read = days.join(expected_rows(spark, sorted(paths.values()), root), "ingest_day", "left")
+        except AnalysisException:  # not one of the files has a readable schema
+            rows = None
+    if rows is None:
+        return days.select(F.lit(layer).alias("layer"), F.lit(feed).alias("feed"), "ingest_day", *[
+            F.lit(None).cast(t).alias(c) for c, t in (part.split(" ") for part in LEDGER.split(", ")[3:])])
+    read = materialize(read.join(_by_day(rows, PARTITION, columns, "n_read", "content_read"), "ingest_day", "left"))
+    whole = sorted(r["ingest_day"] for r in read.where("n_read = n_expected AND n_expected > 0").select("ingest_day").collect())
+    written = read.select("ingest_day", F.lit(None).cast("bigint").alias("n_written"), F.lit(None).cast("decimal(38,0)").alias("content_written")).limit(0)
+    if whole:
+        _write_days(bronze_rows(winners.where(F.col("ingest_day").isin(whole)), root) if layer == "bronze"
+                    else silver_rows(spark, [paths[d] for d in whole], root, tolerant=False), target, layer)
+        back = spark.read.schema(rows.schema)  # the partition stays text
+        back = (back.text(target) if layer == "bronze" else back.parquet(target)).where(F.col(PARTITION).isin(whole))
+        written = materialize(_by_day(back, PARTITION, columns, "n_written", "content_written"))
+    return read.join(written, "ingest_day", "left").select(
+        F.lit(layer).alias("layer"), F.lit(feed).alias("feed"), "ingest_day", "n_expected", "n_read", "n_written", "content_read", "content_written")
+
+
+def proven(ledger: DataFrame) -> DataFrame:
+    """The ledger with ``is_proven``: as many rows as the file's footer says
+    (bronze: one document) were read and stand in the new folder, with the same content."""
+    same = (F.col("n_expected") == F.col("n_read")) & (F.col("n_read") == F.col("n_written")) & (F.col("content_read") == F.col("content_written"))
+    return ledger.withColumn("is_proven", F.coalesce(same, F.lit(False)))
+
+
+def _checked(man: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Migrated objects whose winner is not proven are failed: they all rest on it."""
+    done = proven(ledger).where("is_proven").select(F.concat_ws("/", "layer", "feed", F.concat(F.lit(config.PARTITION_MARKER), "ingest_day")).alias("_folder"))
     m = man.join(done, man["new_key"] == done["_folder"], "left")
     lost = (F.col("outcome") == "migrated") & F.col("_folder").isNull()
     return m.withColumns({"outcome": F.when(lost, F.lit("failed")).otherwise(F.col("outcome")),
@@ -164,16 +271,20 @@ def _checked(man: DataFrame, written: DataFrame) -> DataFrame:
 
 
 def run_backfill(spark: SparkSession, root: str, out_root: str | None = None) -> DataFrame:
-    """MIG-6/7: write every winner into the new layout under ``out_root``
-    (default ``root``) and return the manifest.
-
-    The manifest alone decides: its winners' files are read, one distributed
-    read and write per feed and layer (the four feeds are a fixed list).
-    Bronze documents are written as one line each. Silver files keep all their
-    columns (schemas of a feed's files are merged). A silver file that cannot be
-    read, or has no row, does not stop the others; its day is then not written,
-    and every object that counts on it is reported as failed, which keeps the
-    deletion gate shut."""
+    """MIG-6/7: ``backfill_ledger``'s manifest."""
+    return backfill_ledger(spark, root, out_root)[0]
+
+
+def backfill_ledger(spark: SparkSession, root: str, out_root: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write every winner into the new layout under ``out_root`` (default
+    ``root``) and return the manifest and the ledger (LEDGER, ``is_proven``).
+
+    The manifest alone decides what is moved: one distributed read and write per feed and
+    layer (the four feeds are a fixed list). Bronze documents are written as
+    one line each. Silver files keep all their columns (schemas of a feed's
+    files are merged). A winner that cannot be read, is damaged part way, has no row, or
+    does not stand whole in its new folder, does not stop the others; every
+    object that counts on it is reported as failed, which keeps the deletion gate shut."""
     from lodestone.session import materialize
 
     root, out = root.rstrip("/"), (out_root or root).rstrip("/")
@@ -181,30 +292,12 @@ def run_backfill(spark: SparkSession, root: str, out_root: str | None = None) ->
     # it lists, and every later read must see the same listing.
     manifests = {"bronze": materialize(manifest(list_objects(spark, root, "bronze", with_content=True).drop("path"))),
                  "silver": materialize(manifest(list_objects(spark, root, "silver").drop("path")))}
+    ledger = spark.createDataFrame([], LEDGER)
     result = None
     for layer, man in manifests.items():
-        written = man.select(F.lit(None).cast("string").alias("folder")).limit(0)
         for feed in config.FEEDS:
-            paths = _winner_paths(man, root, feed)
-            if not paths:
-                continue
-            if layer == "bronze":
-                rows = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
-                rows = rows.select(F.to_json(F.try_parse_json("value")).alias("value"), F.col("_metadata.file_path").alias("_path"))
-            else:
-                reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").option("ignoreCorruptFiles", "true")
-                try:
-                    files = reader.parquet(*paths)
-                except AnalysisException:  # not one of the files has a readable schema
-                    continue
-                rows = files.select("*", F.col("_metadata.file_path").alias("_path"))
-            rows = rows.withColumn("ingested_at", extract_day(relative_key(F.col("_path"), root))).drop("_path")
-            writer = rows.hint("rebalance", "ingested_at").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingested_at")
-            target = f"{out}/{layer}/{feed}"
-            writer.text(target) if layer == "bronze" else writer.parquet(target)
-            there = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(target).select(F.col("_metadata.file_path").alias("p"))
-            folder = F.regexp_replace(relative_key(F.col("p"), out), "/[^/]*$", "")
-            written = written.unionByName(there.select(folder.alias("folder")))
-        done = materialize(_checked(man, written))
+            moved = move_feed(spark, man, root, out, layer, feed)
+            ledger = ledger if moved is None else ledger.unionByName(moved)
+        done = materialize(_checked(man, ledger.where(F.col("layer") == layer)))
         result = done if result is None else result.unionByName(done)
-    return result
+    return result, materialize(proven(ledger))

@@ -1,5 +1,6 @@
 """Back-fill of the old layout (MIG-1..10)."""
 
+import decimal
 import json
 import os
 
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from lodestone.operators import backfill
+from lodestone.plans.oldtree import damage
 from lodestone.sources.bronze import read_bronze
 from tests.conftest import rows
 
@@ -109,3 +111,50 @@ def test_unreadable_silver_file_is_failed(spark, tmp_dir):
     man = backfill.run_backfill(spark, tmp_dir)
     assert rows(man, "outcome") == [("failed",), ("migrated",)]
     assert [r["ok_to_delete"] for r in backfill.summary(man).collect()] == [False]
+
+
+def put_groups(root, key, n, per_group=100):
+    """A file of several row groups; returns its path."""
+    p = os.path.join(root, key)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    pq.write_table(pa.table({"rate_date": [f"d{i}-{'x' * (i % 37)}" for i in range(n)], "exchange_rate": [i * 0.5 for i in range(n)]}), p, row_group_size=per_group)
+    return p
+
+
+def test_half_damaged_file_is_failed_and_not_published(spark, tmp_dir):
+    """A readable footer and first row groups, then damage: no half day, gate shut, and an earlier run's day does not hide it."""
+    os.makedirs(os.path.join(tmp_dir, "bronze"))
+    put_groups(tmp_dir, "silver/2026-04-08 08-00-00/currency_rates.parquet", 1000)
+    bad = put_groups(tmp_dir, "silver/2026-04-09 08-00-00/currency_rates.parquet", 1000)
+    put_groups(tmp_dir, "silver/2026-04-09 07-00-00/currency_rates.parquet", 10)  # not the winner of its day, rests on it
+    out = os.path.join(tmp_dir, "new")
+    put_groups(out, "silver/currency/ingested_at=2026-04-09/old.parquet", 5)  # of an earlier run
+    damage(spark, bad)
+    man, ledger = backfill.backfill_ledger(spark, tmp_dir, out)
+    got = {r["ingest_day"]: (r["n_expected"], r["n_written"], r["is_proven"]) for r in ledger.collect()}
+    assert got == {"2026-04-08": (1000, 1000, True), "2026-04-09": (1000, None, False)}
+    read = {r["ingest_day"]: r["n_read"] for r in ledger.collect()}
+    assert 0 < read["2026-04-09"] < 1000  # it was half readable
+    assert sorted((r["old_key"][7:20], r["outcome"]) for r in man.collect()) == [
+        ("2026-04-08 08", "migrated"), ("2026-04-09 07", "failed"), ("2026-04-09 08", "failed")]
+    assert [r["ok_to_delete"] for r in backfill.summary(man).collect()] == [False]
+    cur = spark.read.parquet(os.path.join(out, "silver/currency"))
+    assert {str(r[0]): r[1] for r in cur.groupBy("ingested_at").count().collect()} == {"2026-04-08": 1000, "2026-04-09": 5}
+
+
+def test_ledger_compares_contents(spark):
+    """Equal counts with other contents are no proof; neither is a missing side."""
+    one = ("silver", "currency", "2026-04-08", 2, 2, 2)
+    rows_ = [(*one, 7, 7), (*one, 7, 8), (*one[:5], None, 7, None), ("bronze", "metal", "x", None, None, None, None, None)]
+    df = spark.createDataFrame([(*r[:6], *[None if v is None else decimal.Decimal(v) for v in r[6:]]) for r in rows_], backfill.LEDGER)
+    assert [r["is_proven"] for r in backfill.proven(df).collect()] == [True, False, False, False]
+
+
+def test_backfill_of_empty_files_and_odd_days(spark, tmp_dir):
+    """A file without rows is failed; a day text that is no date keeps its folder."""
+    os.makedirs(os.path.join(tmp_dir, "bronze"))
+    put_table(tmp_dir, "silver/2026-04-08 08-00-00/currency_rates.parquet", rate_date=pa.array([], pa.string()))
+    put_table(tmp_dir, "silver/20=6%a 08-00-00/news_data.parquet", keywords=["a", None])
+    man, ledger = backfill.backfill_ledger(spark, tmp_dir)
+    assert sorted((r["ingest_day"], r["outcome"]) for r in man.collect()) == [("2026-04-08", "failed"), ("20=6%a", "migrated")]
+    assert {r["ingest_day"]: r["n_written"] for r in ledger.collect()} == {"2026-04-08": None, "20=6%a": 2}
