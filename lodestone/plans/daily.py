@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone import config, schemas
@@ -36,6 +37,36 @@ def flatten_checked(docs: DataFrame, feed: str, run_ts: str | None = None, on_mi
     return validate.check(raw, feed)
 
 
+COUNTERS = "feed string, accepted bigint, rejected bigint, wrote_nothing boolean"
+
+
+def write_counted(checked: DataFrame, path: str, feed: str) -> tuple[str, int, int, bool]:
+    """FLT-7, FLT-9: write the valid rows of ``checked`` and return their count
+    and that of the rejected ones, and whether nothing was written. Both are
+    observed while the write reads the rows; no second job counts them. (Should an executor be
+    lost, a task that runs again is observed again, as with any Spark metric.)
+
+    The rows are rebalanced before they are observed, so that the metric is
+    part of the last stage, which stays when no row is valid. Without any
+    row Spark leaves the stage and its metric out: that is a count of zero."""
+    ok = F.size("reject_reasons") == 0
+    seen = Observation(f"{feed}-{uuid.uuid4().hex[:8]}")
+    watched = checked.hint("rebalance", schemas.PARTITION_COLUMN) \
+        .observe(seen, F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"))
+    silver.write_silver(watched.where(ok).drop("reject_reasons"), path, feed, balance=False)
+    try:
+        accepted, rejected = seen.get["accepted"], seen.get["rejected"]
+    except Py4JJavaError:
+        accepted = rejected = 0
+    return feed, accepted, rejected, accepted == 0
+
+
+def land_feeds(checked: dict[str, DataFrame], silver_root: str) -> DataFrame:
+    """Write the valid rows of several feeds and return one row of COUNTERS for each."""
+    rows = [write_counted(df, os.path.join(silver_root, feed), feed) for feed, df in checked.items()]
+    return next(iter(checked.values())).sparkSession.createDataFrame(rows, COUNTERS)
+
+
 def land_documents(docs: DataFrame, silver_root: str, feed: str, days: list[str], run_ts: str | None = None,
                    on_missing: str = "fail", complete: bool = True) -> dict:
     """Write the silver rows and the rejects of whole days of documents.
@@ -49,16 +80,14 @@ def land_documents(docs: DataFrame, silver_root: str, feed: str, days: list[str]
         F.lit("document").alias("level"), F.col("envelope_error").alias("reject_reasons"), F.col("value").alias("document"), "ingested_at")
     good = envelope.check_envelope(checked.where(F.col("envelope_error").isNull()).drop("envelope_error"), feed, complete=complete)
     rows = materialize(flatten_checked(good, feed, run_ts, on_missing))
-    valid, rejected = validate.split(rows)
-    silver.write_silver(valid, os.path.join(silver_root, feed), feed)
+    _, rejected = validate.split(rows)
+    _, n_accepted, n_rejected, _ = write_counted(rows, os.path.join(silver_root, feed), feed)
     rejects = rejected.withColumn("level", F.lit("row")).withColumn("reject_reasons", F.array_join("reject_reasons", ",")) \
         .unionByName(refused, allowMissingColumns=True)
     for day in days:
         (rejects.where(F.col("ingested_at") == day).drop("ingested_at").write.mode("overwrite")
          .option("partitionOverwriteMode", "static").parquet(os.path.join(silver_root, "_rejects", feed, f"ingested_at={day}")))
-    counts = {r["ok"]: r["n"] for r in rows.groupBy((F.size("reject_reasons") == 0).alias("ok"))
-              .agg(F.count("*").alias("n")).collect()}
-    return {"accepted": counts.get(True, 0), "rejected": counts.get(False, 0) + refused.count()}
+    return {"accepted": n_accepted, "rejected": n_rejected + refused.count()}
 
 
 def land_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, run_date: str,
@@ -87,8 +116,7 @@ def staged_from_silver(spark: SparkSession, silver_root: str, run_date: str,
                        start: str = config.PROJECTION_START) -> dict[str, DataFrame]:
     out = {}
     for feed in config.FEEDS:
-        df = silver.read_silver(spark, os.path.join(silver_root, feed), feed)
-        out[feed] = staging.STAGERS[feed](silver.partition_window(df, run_date, start))
+        out[feed] = staging.STAGERS[feed](silver.read_days(spark, os.path.join(silver_root, feed), feed, start, run_date))
     return out
 
 

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from lodestone import schemas
 from lodestone.sources import silver
 from tests.conftest import rows
 
@@ -76,3 +77,36 @@ def test_load_instant_is_written(spark, tmp_dir):
     silver.write_silver(metal(spark, "2026-04-08", [("gold", 2.0)]), path, "metal")
     r = silver.read_silver(spark, path, "metal").first()
     assert r["loaded_at"] is not None and r["ingested_at"] == "2026-04-08"
+
+
+def test_days_are_computed_not_listed(spark, tmp_dir):
+    """Absent days have no rows; folders that a listing would stumble over are not seen."""
+    path = os.path.join(tmp_dir, "metal")
+    days = ("2025-12-31", "2026-01-01", "2026-01-03", "2026-02-01")
+    df = spark.createDataFrame([("t", "gold", 1.0 * k, "USD", "g", d) for k, d in enumerate(days)], schemas.SILVER["metal"] + ", ingested_at string")
+    silver.write_silver(df, path, "metal")
+    for stray in ("ingested_at=notes", "ingested_at=2026-03-01/hour=1", "other"):
+        os.makedirs(os.path.join(path, stray))
+        with open(os.path.join(path, stray, "x.parquet"), "w") as f:
+            f.write("not parquet")
+    got = silver.read_days(spark, path, "metal", "2026-01-01", "2026-02-28")
+    assert rows(got, "ingested_at", "price_usd") == [("2026-01-01", 1.0), ("2026-01-03", 2.0), ("2026-02-01", 3.0)]
+    files = got.inputFiles()
+    assert len(files) == 3 and not any("notes" in f or "2025" in f for f in files)
+    assert silver.read_days(spark, path, "metal", "2027-01-01", "2027-02-28").count() == 0
+    assert silver.read_days(spark, path, "metal", "2026-02-01", "2026-01-01").count() == 0
+    assert silver.calendar("2026-02-27", "2026-03-01") == ["2026-02-27", "2026-02-28", "2026-03-01"]
+
+
+def test_catalog_knows_days_in_batches(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "news")
+    df = spark.createDataFrame([("t", "gold", k, "ok", f"2026-01-{k:02d}") for k in range(1, 8)], schemas.SILVER["news"] + ", ingested_at string")
+    silver.write_silver(df, path, "news")
+    name = "days_" + os.path.basename(tmp_dir).replace("-", "_").lower()
+    silver.register_table(spark, "commodity_staged_test", name, path, "news", end="2026-01-05")
+    t = f"commodity_staged_test.{name}"
+    assert spark.table(t).count() == 5
+    silver.add_days(spark, t, path, [f"2026-01-{k:02d}" for k in range(4, 8)], batch=2)
+    assert spark.table(t).count() == 7
+    assert spark.sql(f"SHOW PARTITIONS {t}").count() == 7
+    spark.sql(f"DROP TABLE {t}")
