@@ -15,8 +15,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from lodestone.plans.daily import land_documents
+from lodestone import schemas
+from lodestone.operators import envelope, validate
+from lodestone.plans.daily import flatten_checked, land_documents
+from lodestone.session import materialize
 from lodestone.sources.bronze import BRONZE_SCHEMA, read_bronze
 
 
@@ -47,3 +51,83 @@ def start_landing(spark: SparkSession, bronze_root: str, silver_root: str, feed:
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()
+
+
+# --------------------------------------------------------------------------
+# Landing by document. ``start_landing`` rebuilds the days that a batch touches
+# from all their files. Here only the batch's own documents are read: a state
+# store knows the documents that have come, and a batch writes under its own number.
+
+BATCH = "batch"
+
+
+def documents_once(docs: DataFrame, delay: str) -> DataFrame:
+    """Each document (load day and text) of a file stream once, however often
+    it is delivered. The state holds a 16-byte name of every document that
+    arrived within ``delay`` of the newest file; time is that of arrival (the
+    file's), not the load day, so a document of a day long past is not late."""
+    named = docs.withColumn("document", F.md5(F.concat_ws("\n", "ingested_at", "value")))
+    return named.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["document"]).select("value", "ingested_at")
+
+
+def write_batch(docs: DataFrame, silver_root: str, feed: str, batch_id: int, on_missing: str = "fail", complete: bool = True) -> None:
+    """Valid rows to ``<feed>/ingested_at=<day>/batch=<n>``, rejects and refused
+    documents likewise below ``_rejects``. A batch that is run again after a
+    failure replaces exactly what it wrote before."""
+    checked = materialize(envelope.check_envelope(docs, feed, complete=complete).drop("top"))
+    refused = checked.where(F.col("envelope_error").isNotNull()).select(
+        F.lit("document").alias("level"), F.col("envelope_error").alias("reject_reasons"), F.col("value").alias("document"), "ingested_at")
+    good = envelope.check_envelope(checked.where(F.col("envelope_error").isNull()).drop("envelope_error"), feed, complete=complete)
+    valid, rejected = validate.split(materialize(flatten_checked(good, feed, on_missing=on_missing)))
+    rejects = rejected.withColumn("level", F.lit("row")).withColumn("reject_reasons", F.array_join("reject_reasons", ",")) \
+        .unionByName(refused, allowMissingColumns=True)
+    for rows, path in ((valid.withColumn("loaded_at", F.current_timestamp()), os.path.join(silver_root, feed)),
+                       (rejects, os.path.join(silver_root, "_rejects", feed))):
+        (rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", "ingested_at").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("ingested_at", BATCH).parquet(path))
+
+
+def start_document_landing(spark: SparkSession, bronze_root: str, silver_root: str, feed: str, checkpoint: str, delay: str = "30 days",
+                           available_now: bool = True, max_files_per_trigger: int | None = None, on_missing: str = "fail", complete: bool = True):
+    """Land NDJSON bronze files document by document, each exactly once: the
+    file source gives every file to one batch, the state drops documents that
+    came before in another file, and batches overwrite themselves. Cost is that
+    of the new files. Returns the StreamingQuery; its progress has the metric
+    ``documents`` (see ``Counters``). A table is landed this way or by
+    ``start_landing``, not by both: their folders differ."""
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    docs = reader.text(os.path.join(bronze_root, feed)).where(F.length(F.trim("value")) > 0) \
+        .select("value", "ingested_at", F.col("_metadata.file_modification_time").alias("arrived"))
+    new = documents_once(docs.observe("delivered", F.count(F.lit(1)).alias("n")), delay).observe("documents", F.count(F.lit(1)).alias("n"))
+    writer = new.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, batch_id: write_batch(batch, silver_root, feed, batch_id, on_missing, complete))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    return writer.start()
+
+
+def read_landed(spark: SparkSession, silver_root: str, feed: str) -> DataFrame:
+    """The silver rows that ``start_document_landing`` wrote, in the table's own columns."""
+    schema = schemas.silver_with_partition(feed)
+    return spark.read.schema(schema).parquet(os.path.join(silver_root, feed)).select(*schema.names)
+
+
+class Counters(StreamingQueryListener):
+    """FLT-7 for streams: (batch, metric, n) of every observed count of the
+    queries of a session, as they make progress; no job counts anything."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[int, str, int]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows += [(event.progress.batchId, name, row["n"]) for name, row in event.progress.observedMetrics.items()]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
