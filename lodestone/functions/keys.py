@@ -94,6 +94,12 @@ def _merge_last(keys: Column, vals: Column) -> Column:
         vals, (F.size(keys) - F.array_position(F.reverse(keys), k) + 1).cast("int")))
     return F.map_from_arrays(distinct, last)
 
+
+def _each(values: Column, dt: DataType) -> Column:
+    """The cleaned elements of an array of ``dt`` (a lambda of two parameters would be given the index)."""
+    return F.transform(values, lambda v: sanitize_column(v, dt))
+
+
 def sanitize_keys(df, *columns: str):
     """Apply the clean-up to the named nested columns of ``df`` (all by default).
 
@@ -107,7 +113,7 @@ def sanitize_keys(df, *columns: str):
         if f.name in targets and isinstance(dt, MapType) and isinstance(dt.keyType, StringType):
             vals = F.map_values(f.name)
             if _needs_work(dt.valueType):
-                vals = F.transform(vals, lambda v, t=dt.valueType: sanitize_column(v, t))
+                vals = _each(vals, dt.valueType)
             staged += [F.col(f.name), F.transform(F.map_keys(f.name), sanitize_key).alias(f"__k_{f.name}"),
                        vals.alias(f"__v_{f.name}")]
             final.append(F.when(F.col(f.name).isNotNull(),
@@ -119,3 +125,40 @@ def sanitize_keys(df, *columns: str):
             staged.append(F.col(f.name))
             final.append(F.col(f.name))
     return df.select(*staged).select(*final)
+
+
+# --------------------------------------------------------------------------
+# JSON text of any shape. Nothing is declared: objects and arrays may nest as
+# deep as they like and differ from row to row.
+
+_QUOTE, _BACKSLASH = "\x02", "\x01"  # JSON text holds no raw control characters
+
+
+def _clean_json_key(k: Column) -> Column:
+    """One key as it stands between its quotes in canonical JSON: an escape is one character."""
+    return F.regexp_replace(F.regexp_replace(k, r"\\u[0-9a-fA-F]{4}|\\.|[^a-zA-Z0-9_]", "_"), "^([0-9])", "_$1")
+
+
+def sanitize_json(df, column: str):
+    """Clean the keys of a JSON text column at every depth (null where the
+    text is not JSON). The text is parsed as VARIANT, which also decides between keys that are, or
+    become, equal: the last one wins. Keys come out in order.
+
+    Between the two parses the canonical text is split at its quotes, which
+    puts strings at the odd places of an array; those that a colon follows are
+    keys. So the work is linear in the text and no depth needs a plan node of
+    its own. Numbers keep their value up to 38 digits. The JSON parser takes names
+    of up to 50,000 characters and a thousand levels; other texts count as not JSON.
+
+    Sets ``spark.sql.variant.allowDuplicateKeys`` for the session: without it
+    the parser refuses documents with equal keys."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    hidden = F.replace(F.replace(F.to_json(F.try_parse_json(F.col(column))), F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    parts = F.split(hidden, '"', -1)
+
+    def piece(x: Column, i: Column) -> Column:
+        is_key = (i % 2 == 1) & F.get(F.col("__parts"), i + 1).startswith(":")
+        return F.when(is_key, _clean_json_key(x)).otherwise(x)
+    joined = F.array_join(F.transform("__parts", piece), '"')
+    shown = F.replace(F.replace(joined, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return df.withColumn("__parts", parts).withColumn(column, F.to_json(F.try_parse_json(shown))).drop("__parts")
