@@ -25,4 +25,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from lodestone.plans import queries  # noqa: F401
+    from lodestone.plans import queries, queries_jobs, queries_text  # noqa: F401

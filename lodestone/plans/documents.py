@@ -156,11 +156,21 @@ def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW = {"metal": raw_metal, "currency": raw_currency, "fred": raw_fred, "news": raw_news}
 
 
+# Spellings of an instant, as the pattern that writes it and what is left of the time: day, minute, second.
+SPELLINGS = (
+    ("yyyy-MM-dd", "day"), ("yyyy-MM-dd'T'HH:mm:ss'Z'", "second"), ("yyyy/MM/dd", "day"), ("M/d/yyyy", "day"), ("yyyyMMdd", "day"),
+    ("MMM d, yyyy", "day"), ("MMMM d, yyyy HH:mm", "minute"), ("d MMM yyyy", "day"), ("d MMMM yyyy HH:mm:ss", "second"),
+    ("EEE MMM d HH:mm:ss yyyy", "second"), ("EEE, d MMM yyyy HH:mm:ss 'GMT'", "second"), ("EEEE, MMMM d, yyyy", "day"), ("d-MMM-yyyy", "day"),
+    ("d-MMM-yy", "day"), ("dd.MMM.yyyy", "day"), ("yyyy MMM d", "day"), ("yyyy.MM.dd HH:mm", "minute"), ("M-d-yyyy HH:mm", "minute"), ("M/d/yy", "day"),
+    ("yyyyMMddHHmmss", "second"), ("yyyyMMddHHmm", "minute"), ("yyyyMMdd'T'HH:mm:ss", "second"), ("h:mm a, MMMM d, yyyy", "minute"), ("MMM d yyyy h:mm:ss a", "second"),
+    ("HH:mm:ss d MMM yyyy", "second"), ("'on' MMMM d'th' yyyy 'at' HH:mm 'UTC'", "minute"), ("yyyy-MM-dd HH:mm:ss '+0000'", "second"),
+    ("yyyy-M-d H:mm", "minute"), ("MMM/d/yyyy", "day"), ("dMMMyyyy", "day"), ("d 'of' MMMM yyyy", "day"), ("yyyy-MM-dd HH:mm:ss.SSS", "second"))
+
+
 def spelled_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """o_orderkey and its order date in one of nine spellings."""
-    forms = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy/MM/dd", "M/d/yyyy", "yyyyMMdd", "MMM d, yyyy", "MMMM d, yyyy HH:mm", "d MMM yyyy", "d MMMM yyyy HH:mm:ss")
+    """o_orderkey and its order date in one of SPELLINGS."""
     o = table(spark, sf_dir, "orders", per_row_heavy=True)
-    spelled = F.coalesce(*[F.when(F.col("o_orderkey") % len(forms) == i, F.date_format("o_orderdate", f)) for i, f in enumerate(forms)])
+    spelled = F.coalesce(*[F.when(F.col("o_orderkey") % len(SPELLINGS) == i, F.date_format("o_orderdate", f)) for i, (f, _) in enumerate(SPELLINGS)])
     return o.select("o_orderkey", spelled.alias("spelled"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from lodestone import config
 from lodestone.plans.demo import FLAG_SERIES, PRIORITY_CURRENCY
+from lodestone.plans.documents import SPELLINGS
 
 
 def _case(col: str, pairs) -> str:
@@ -87,43 +88,36 @@ CTE["currency_daily_dedup"] = f"""currency_daily_dedup AS (
                               exchange_rate DESC NULLS LAST) AS rn
     FROM stg_currency_rates WHERE currency_code = '{T}') WHERE rn = 1)"""
 
-CTE["currency_latest"] = f"""currency_latest AS (
-  SELECT exchange_rate AS latest_rate FROM stg_currency_rates WHERE currency_code = '{T}'
-  ORDER BY rate_date DESC NULLS LAST, event_timestamp DESC NULLS LAST, exchange_rate DESC NULLS LAST
-  LIMIT 1)"""
+CTE["newest_rate"] = f"""newest_rate AS (
+  SELECT first(exchange_rate ORDER BY rate_date DESC, event_timestamp DESC, exchange_rate DESC) AS latest_rate
+  FROM stg_currency_rates WHERE currency_code = '{T}')"""
 
 CTE["news_daily"] = """news_daily AS (
   SELECT event_timestamp AS news_date, topics, CAST(sum(total_mentions) AS BIGINT) AS daily_mentions
   FROM stg_news_data GROUP BY 1, 2)"""
 
-CTE["fred_latest"] = f"""fred_latest AS (
-  SELECT series_id, observation_values FROM (
-    SELECT series_id, observation_values,
-           row_number() OVER (PARTITION BY series_id ORDER BY observation_date DESC NULLS LAST,
-                              event_timestamp DESC NULLS LAST, observation_values DESC NULLS LAST) AS rn
-    FROM stg_fred_data WHERE series_id IN {_in(config.FRED_SERIES)}) WHERE rn = 1)"""
+CTE["macro_newest"] = f"""macro_newest AS (
+  SELECT series_id, first(observation_values ORDER BY observation_date DESC, event_timestamp DESC, observation_values DESC NULLS LAST) AS observation_values
+  FROM stg_fred_data WHERE series_id IN {_in(config.FRED_SERIES)} GROUP BY series_id)"""
 
-CTE["fred_pivoted"] = "fred_pivoted AS (\n  SELECT " + ",\n         ".join(
-    f"max(CASE WHEN series_id = '{s}' THEN observation_values END) AS {c}" for s, c in config.MACRO_COLUMNS
-) + "\n  FROM fred_latest)"
+CTE["macro_wide"] = "macro_wide AS (SELECT " + ", ".join(
+    f"any_value(observation_values) FILTER (WHERE series_id = '{s}') AS {c}" for s, c in config.MACRO_COLUMNS) + " FROM macro_newest)"
 
 
-def _fact_sql(daily: str) -> str:
-    return f"""fact AS (
-  SELECT m.commodity_code, m.price_usd AS price_usd_per_gr,
-         coalesce(c.exchange_rate, cl.latest_rate) AS usd_to_idr,
-         m.price_usd * coalesce(c.exchange_rate, cl.latest_rate) AS price_idr_per_gr,
-         CAST(coalesce(n.daily_mentions, 0) AS BIGINT) AS news_hype_count,
-         f.yield_10y, f.usd_index, f.cpi_index, m.trade_date
-  FROM stg_metal_prices m
-  LEFT JOIN {daily} c ON m.trade_date = c.rate_date
-  LEFT JOIN news_daily n ON m.trade_date = n.news_date AND m.commodity_code = n.topics
-  CROSS JOIN currency_latest cl
-  CROSS JOIN fred_pivoted f)"""
+def _fact_sql(name: str, daily: str) -> str:
+    macro = ", ".join(f"(SELECT {c} FROM macro_wide) AS {c}" for _, c in config.MACRO_COLUMNS)
+    return f"""{name} AS (
+  SELECT code AS commodity_code, usd AS price_usd_per_gr, idr AS usd_to_idr, usd * idr AS price_idr_per_gr,
+         CAST(coalesce(hits.daily_mentions, 0) AS BIGINT) AS news_hype_count, {macro}, day AS trade_date
+  FROM (SELECT metal.trade_date AS day, metal.commodity_code AS code, metal.price_usd AS usd,
+               coalesce(fx.exchange_rate, (SELECT latest_rate FROM newest_rate)) AS idr
+        FROM {daily} AS fx RIGHT JOIN stg_metal_prices AS metal ON fx.rate_date = metal.trade_date) AS priced
+  LEFT JOIN news_daily AS hits ON hits.topics = code AND hits.news_date = day
+  WHERE (SELECT latest_rate FROM newest_rate) IS NOT NULL)"""
 
 
-CTE["fact"] = _fact_sql("currency_daily")
-CTE["fact_dedup"] = _fact_sql("currency_daily_dedup").replace("fact AS (", "fact_dedup AS (", 1)
+CTE["fact"] = _fact_sql("fact", "currency_daily")
+CTE["fact_dedup"] = _fact_sql("fact_dedup", "currency_daily_dedup")
 
 DEPS = {
     "stg_metal_prices": ["silver_metal"],
@@ -132,12 +126,12 @@ DEPS = {
     "stg_news_data": ["silver_news"],
     "currency_daily": ["stg_currency_rates"],
     "currency_daily_dedup": ["stg_currency_rates"],
-    "currency_latest": ["stg_currency_rates"],
+    "newest_rate": ["stg_currency_rates"],
     "news_daily": ["stg_news_data"],
-    "fred_latest": ["stg_fred_data"],
-    "fred_pivoted": ["fred_latest"],
-    "fact": ["stg_metal_prices", "currency_daily", "news_daily", "currency_latest", "fred_pivoted"],
-    "fact_dedup": ["stg_metal_prices", "currency_daily_dedup", "news_daily", "currency_latest", "fred_pivoted"],
+    "macro_newest": ["stg_fred_data"],
+    "macro_wide": ["macro_newest"],
+    "fact": ["stg_metal_prices", "currency_daily", "news_daily", "newest_rate", "macro_wide"],
+    "fact_dedup": ["stg_metal_prices", "currency_daily_dedup", "news_daily", "newest_rate", "macro_wide"],
 }
 
 
@@ -256,8 +250,8 @@ CTE["reject_rules"] = ("WITH n AS (SELECT l_orderkey * 8 + l_linenumber AS n FRO
     f"SELECT '{feed}' AS feed, '{rule}' AS rule_id, CAST(count(*) AS BIGINT) AS n_rows FROM n WHERE "
     + " OR ".join(f"n % {k} = 0" for f, r, k in _RULES if (f, r) == (feed, rule)) for feed, rule in dict.fromkeys((f, r) for f, r, _ in _RULES)))
 
-CTE["flexible_dates"] = """SELECT o_orderkey, CASE o_orderkey % 9 WHEN 1 THEN date_trunc('second', o_orderdate) WHEN 6 THEN date_trunc('minute', o_orderdate)
-  WHEN 8 THEN date_trunc('second', o_orderdate) ELSE date_trunc('day', o_orderdate) END AS parsed FROM orders"""
+CTE["flexible_dates"] = "SELECT o_orderkey, CASE " + " ".join(
+    f"WHEN o_orderkey % {len(SPELLINGS)} = {i} THEN date_trunc('{left}', o_orderdate)" for i, (_, left) in enumerate(SPELLINGS)) + " END AS parsed FROM orders"
 
 CTE["rejected_documents"] = """SELECT strftime(l_shipdate, '%Y-%m-%d') AS ingested_at, e AS envelope_error, CAST(count(*) AS BIGINT) AS n_docs FROM (
   SELECT l_shipdate, CASE WHEN n % 11 = 0 THEN 'empty' WHEN n % 13 = 0 THEN 'not_json' WHEN n % 17 = 0 THEN 'empty_object'

@@ -41,7 +41,7 @@ def q_currency_daily_dedup(spark, sf):
     return mart.currency_daily(demo.staged(spark, sf, "currency"), dedupe=True)
 
 
-@register("currency_latest", with_("currency_latest") + "SELECT * FROM currency_latest")
+@register("currency_latest", with_("newest_rate") + "SELECT * FROM newest_rate")
 def q_currency_latest(spark, sf):
     return mart.currency_latest(demo.staged(spark, sf, "currency"))
 
@@ -51,17 +51,17 @@ def q_news_daily(spark, sf):
     return mart.news_daily(demo.staged(spark, sf, "news"))
 
 
-@register("macro_latest", with_("fred_latest") + "SELECT * FROM fred_latest")
+@register("macro_latest", with_("macro_newest") + "SELECT * FROM macro_newest")
 def q_macro_latest(spark, sf):
     return mart.macro_latest(demo.staged(spark, sf, "fred"))
 
 
-@register("macro_latest_window", with_("fred_latest") + "SELECT * FROM fred_latest")
+@register("macro_latest_window", with_("macro_newest") + "SELECT * FROM macro_newest")
 def q_macro_latest_window(spark, sf):
     return mart.macro_latest(demo.staged(spark, sf, "fred"), method="window")
 
 
-@register("macro_pivot", with_("fred_pivoted") + "SELECT * FROM fred_pivoted")
+@register("macro_pivot", with_("macro_wide") + "SELECT * FROM macro_wide")
 def q_macro_pivot(spark, sf):
     return mart.macro_pivot(demo.staged(spark, sf, "fred"))
 
@@ -192,7 +192,7 @@ def q_catalog(spark, sf):
     path = shared_path(spark, "silver-currency")
     silver.write_silver(demo.silver_currency(spark, sf), path, "currency")
     name = "t" + path.rsplit("-", 1)[-1]
-    silver.register_table(spark, "lodestone_demo", name, path, "currency")
+    silver.register_table(spark, "lodestone_demo", name, path, "currency", start="1990-01-01", end="2005-12-31")
     return spark.table(f"lodestone_demo.{name}").groupBy("ingested_at", "currency_code").agg(
         F.count("*").alias("n_rows"), F.max("exchange_rate").alias("highest"))
 
