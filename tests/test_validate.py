@@ -32,8 +32,8 @@ def test_metal_rules(spark):
 
 def test_currency_rules(spark):
     data = [
-        ("2025-12-12 00:00:00+00", "IDR", "16600.50", "USD", "1"),
-        ("2025-12-12 00:00:00+00:00", "EUR", "0.94", "USD", "2"),
+        ("2025-12-12 00:00:00+00", "IDR", "15432.25", "USD", "1"),
+        ("2025-12-12 00:00:00+00:00", "EUR", "0.81", "USD", "2"),
         ("2025-12-12", "JPY", "0", "USD", "3"),
         ("2025-12-12", "JPY", "-1", "USD", "4"),
         ("garbage", "JPY", "1", "USD", "5"),
