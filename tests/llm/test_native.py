@@ -1,6 +1,7 @@
 """Mixing, quality rules, line dedup, secret scan and chat formatting."""
 
 import math
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -111,6 +112,26 @@ def test_widely_copied_tokens_are_not_added(spark):
     assert out == {1: "token:4:31", 10: "", 11: "", 12: ""}
 
 
+def test_tokens_copied_by_one_owner_are_not_added(spark):
+    """Both counts decide: five documents of one owner may hold a token, six make it an example; base spans say so and stay."""
+    few, many = "Fe4wHere" * 3, "Ma9nyHere" * 3
+    rows = [(k, f"x {few} password={many}", "a") if k < 5 else (k, f"password={many}", "a") for k in range(6)]
+    out = {r["doc_id"]: (r["spans"], r["n_live"]) for r in secret_scan.op9(make(spark, rows)).collect()}
+    assert out[0] == ("token:2:26,assign:27:63", 1) and out[5] == ("assign:0:36", 0)
+    spans = secret_scan.scan(make(spark, rows)).where("doc_id = 0").first()["spans"]
+    assert [(s["n_owners"], s["n_repositories"], s["live"]) for s in spans] == [(1, 5, True), (1, 6, False)]
+
+
+def test_very_many_matches_in_one_text(spark):
+    """The work grows with the matches, not with their square."""
+    n = 200_000
+    text = " ".join(f"{k:024x}" for k in range(n))
+    start = time.monotonic()
+    r = secret_scan.op9(make(spark, [(1, text, "a")])).first()
+    assert r["n_hex"] == n and time.monotonic() - start < 60
+    assert r["spans"].startswith("hex:0:24,hex:25:49") and r["base_sha256"] == brute.sha(",".join(f"hex:{25 * k}:{25 * k + 24}" for k in range(n)))
+
+
 CONV = "conv_id long, turn long, role string, text string, position string, segment string"
 
 
@@ -137,6 +158,22 @@ def test_chat_reads_back(spark):
     assert got(out, "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256") == sorted(want, key=repr)
 
 
+def test_loss_is_read_through_the_mask(spark, monkeypatch):
+    """A wrong offset shows in the digest."""
+    right = got(chat_format.op10(conv(spark, CHAT)), "conv_id", "loss_sha256")
+    whole = chat_format.conversations_of
+    off = F.transform("mask", lambda m: m.withField("target_start", m["target_start"] + 1))
+    monkeypatch.setattr(chat_format, "conversations_of", lambda turns: whole(turns).withColumn("mask", off))
+    wrong = dict(got(chat_format.op10(conv(spark, CHAT)), "conv_id", "loss_sha256"))
+    assert wrong[1] != dict(right)[1] and wrong[-7] != dict(right)[-7] and wrong[5] == dict(right)[5]
+
+
+def test_spans_across_pieces(spark, monkeypatch):
+    want = got(chat_format.op10(conv(spark, CHAT)))
+    monkeypatch.setattr(chat_format, "PIECE", 3)
+    assert got(chat_format.op10(conv(spark, CHAT))) == want
+
+
 def test_every_assistant_turn_is_an_example_with_its_prefix(spark):
     turns = chat_format.format_turns(conv(spark, CHAT[:3]))
     whole = chat_format.conversations_of(turns).first()["formatted"]
@@ -159,6 +196,6 @@ def test_empty_conversations(spark):
 
 
 def test_operators_stay_native(edges):
-    for df in (mixing.op1(edges), quality_rules.op2(edges), secret_scan.op9(edges)):
+    for df in (mixing.op1(edges), quality_rules.op2(edges), secret_scan.op9(edges), chat_format.op10(conv(edges.sparkSession, CHAT))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
