@@ -5,15 +5,19 @@ Inside roles and texts every backslash is doubled and a backslash is put after
 the first character of each control string, so no control string survives in
 them and one left-to-right pass takes the backslashes away again.
 
-Each assistant turn is an example of its own: all earlier turns are its
-context, only its reply is trainable. Since the format only appends, the text
-of an example is a prefix of the formatted conversation: an example is its
-reply and the offsets (context_end, target_start, target_end), in code points,
-into that one string. So the examples of a conversation take space in
-proportion to the conversation and not to its square; ``materialise`` cuts the
-full texts out for those who want them. The offsets are a running sum over the
-turns, in the one shuffle by conv_id that also joins the string; replies are
-read back out of that string by the offsets, which are the loss mask.
+Each assistant turn is expanded into an example of its own: a row with its
+text, which is all earlier turns (the prefix), its header, its reply and the end
+mark, and with the loss span (target_start, target_end), in code points into
+that text. Only the reply is trainable. A conversation that does not end with
+an assistant turn has one more row, its whole text without a loss, so no turn
+is missing from the output.
+
+The format only appends, so the text of an example is a prefix of the formatted
+conversation. That string and the spans, a running sum over the turns, come out
+of the one shuffle by conv_id; the rows are cut out of it one at a time, where
+it lies. The texts of one conversation add up to the square of its
+length, which is what full prefixes are, but no row holds more than one of
+them. Replies and turns are read back out of the examples.
 
 Rows are ordered by turn (null last), then role and text, so ties and repeated
 rows have a fixed order. Null text: empty. Null role: empty role. A null
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 MASK = ("position", "context_end", "target_start", "target_end")
 PIECE = 4096
+SPANS = "array<struct<position:int,context_end:bigint,target_start:bigint,target_end:bigint>>"
 # fixed values: control strings that must not survive inside a text
 CONTROL = (TURN, TEXT, END, "<|im_start|>", "<|im_end|>", "<|endoftext|>", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 
@@ -69,15 +74,43 @@ def conversations_of(turns: DataFrame) -> DataFrame:
         "conv_id", F.array_join(F.transform("t", lambda x: x["segment"]), "").alias("formatted"), mask.alias("mask"))
 
 
+def expand(whole: DataFrame) -> DataFrame:
+    """One row per example of ``conversations_of``'s rows: conv_id, position,
+    context_end, target_start, target_end, ``text`` (prefix, header, reply, end
+    mark) and ``last``. Where the last turn is not an assistant's, the last row
+    is the whole text, with an empty span at its end."""
+    n = F.length("formatted").cast("long")
+    end = F.coalesce(F.try_element_at("spans", F.lit(-1))["target_end"] + len(END), F.lit(0).cast("long"))
+    left = F.array(F.struct(F.lit(None).cast("int").alias("position"), *[n.alias(c) for c in MASK[1:]]))
+    spans = F.concat("spans", F.when(end < n, left).otherwise(F.slice(left, 1, 0)))
+    d = whole.withColumn("spans", F.col("mask").cast(SPANS)).select("conv_id", "formatted", spans.alias("spans"))
+    rows = d.select("conv_id", "formatted", F.size("spans").alias("n"), F.posexplode("spans").alias("k", "m"))
+    # a span with a reply is followed by an end mark, the empty one by nothing
+    stop = F.col("m.target_end") + F.when(F.col("m.position").isNull(), 0).otherwise(len(END))
+    return rows.select("conv_id", *[F.col("m")[c].alias(c) for c in MASK], F.substring("formatted", F.lit(1), stop.cast("int")).alias("text"),
+                       (F.col("k") == F.col("n") - 1).alias("last"))
+
+
+def target() -> Column:
+    """The text under the loss span of an example, as it stands there."""
+    return F.substring("text", (F.col("target_start") + 1).cast("int"), (F.col("target_end") - F.col("target_start")).cast("int"))
+
+
 def examples(turns: DataFrame) -> DataFrame:
-    """One row per assistant turn: the offsets and ``target``, its escaped reply, cut out of ``formatted`` by them."""
-    d = conversations_of(turns)
-    return d.select("conv_id", F.explode(F.arrays_zip("mask", masked(F.col("formatted"), F.col("mask")).alias("target"))).alias("x")) \
-        .select("conv_id", *[F.col("x.mask")[c].alias(c) for c in MASK], F.col("x.target").alias("target"))
+    """One row per assistant turn: its spans, ``prefix`` (all before the reply) and ``target``, its escaped reply."""
+    d = expand(conversations_of(turns)).where(F.col("position").isNotNull())
+    return d.select("conv_id", *MASK, F.substring("text", F.lit(1), F.col("target_start").cast("int")).alias("prefix"), target().alias("target"))
+
+
+def materialise(turns: DataFrame) -> DataFrame:
+    """The examples as full texts (prefix, header, reply, end mark) with the loss span."""
+    d = expand(conversations_of(turns)).where(F.col("position").isNotNull())
+    return d.select("conv_id", "position", "text", "target_start", "target_end")
 
 
 def masked(formatted: Column, mask: Column) -> Column:
-    """The texts under a loss mask, as they stand in the string. It is cut into
+    """The texts under the mask of a whole conversation, as they stand in the
+    string: what the examples' targets are, without their prefixes. The string is cut into
     pieces of ``PIECE`` characters once, and a span is cut out of the pieces it
     lies in, so the work grows with the conversation, not with its square."""
     pieces = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), 0)
@@ -90,15 +123,6 @@ def masked(formatted: Column, mask: Column) -> Column:
     return F.get(F.transform(F.array(pieces), lambda cut: F.transform(mask, lambda m: span(cut, m))), F.lit(0))
 
 
-def materialise(turns: DataFrame) -> DataFrame:
-    """The examples as full texts (context, header, reply, end mark) with the
-    loss span. The texts of one conversation add up to the square of its
-    length, which is what full prefixes are."""
-    e = conversations_of(turns).select("conv_id", "formatted", F.explode("mask").alias("m")).select("conv_id", "formatted", "m.*")
-    return e.select("conv_id", "position", F.substring("formatted", F.lit(1), (F.col("target_end") + len(END)).cast("int")).alias("text"),
-                    "target_start", "target_end")
-
-
 def parse(formatted: Column) -> Column:
     """The (role, text) turns read from a formatted conversation."""
     pieces = F.filter(F.split(formatted, r"<\|turn\|>", -1), lambda p, i: i > 0)
@@ -115,12 +139,14 @@ def op10(conversations: DataFrame) -> DataFrame:
     extra = conversations.sparkSession.sql(
         f"select cast(-7 as bigint) as conv_id, i as turn, if(i = 0, 'user', 'assistant') as role, '{both}' as text from range(2) as t(i)")
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
-    turns = format_turns(rows)
-    whole = conversations_of(turns).withColumn("turns", parse(F.col("formatted")))
+    d = expand(conversations_of(format_turns(rows))).withColumn("reply", unescape(target()))
+    d = d.withColumn("turns", F.when(F.col("last"), parse(F.col("text"))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    replies = F.transform(masked(F.col("formatted"), F.col("mask")), unescape)
-    d = whole.withColumn("loss", F.array_join(replies, ""))
-    loss = F.col("loss")
-    return d.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
-                    F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-                    F.length("formatted").cast("long").alias("formatted_chars"))
+    d = d.select("conv_id", "last", "target_start", "reply", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                 F.length("text").cast("long").alias("formatted_chars"))
+    # the rows still lie by conv_id: no further shuffle
+    of_last = [F.max(F.when(F.col("last"), F.col(c))).alias(c) for c in ("n_turns", "turns_sha256", "formatted_chars")]
+    replies = F.sort_array(F.collect_list(F.struct("target_start", "reply")))
+    loss = F.array_join(F.transform(replies, lambda x: x["reply"]), "")
+    d = d.groupBy("conv_id").agg(*of_last, loss.alias("loss"))
+    return d.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")

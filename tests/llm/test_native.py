@@ -186,6 +186,36 @@ def test_every_assistant_turn_is_an_example_with_its_prefix(spark):
     assert whole.count("<|end|>") == 3
 
 
+def test_expansion_gives_each_reply_its_own_text(spark):
+    """Every example is a text of its own: its whole prefix and its reply. Turns after the last reply are in a row without a loss."""
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b<s>"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (1, 4, "user", "e"),
+            (2, 0, "assistant", "only"), (3, 0, "user", "none")]
+    said = [f"<|turn|>{r[2]}<|text|>{r[3].replace('<s>', '<' + chr(92) + 's>')}<|end|>" for r in rows]
+    turns = chat_format.format_turns(conv(spark, rows))
+    cut = {(r["conv_id"], r["position"]): (r["text"], r["last"]) for r in chat_format.expand(chat_format.conversations_of(turns)).collect()}
+    assert cut == {(1, 1): ("".join(said[:2]), False), (1, 3): ("".join(said[:4]), False), (1, None): ("".join(said[:5]), True),
+                   (2, 0): (said[5], True), (3, None): (said[6], True)}
+    pairs = {(r["conv_id"], r["position"]): (r["prefix"], r["target"]) for r in chat_format.examples(turns).collect()}
+    head = "<|turn|>assistant<|text|>"
+    assert pairs == {(1, 1): (said[0] + head, "b<\\s>"), (1, 3): ("".join(said[:3]) + head, "d"), (2, 0): (head, "only")}
+    under = chat_format.conversations_of(turns).select("conv_id", chat_format.masked(F.col("formatted"), F.col("mask")).alias("t"))
+    assert {r["conv_id"]: r["t"] for r in under.collect()} == {1: ["b<\\s>", "d"], 2: ["only"], 3: []}
+
+
+def test_digests_come_from_the_examples(spark, monkeypatch):
+    """A wrong example text shows in the digests."""
+    right = got(chat_format.op10(conv(spark, CHAT)), "conv_id", "loss_sha256", "turns_sha256")
+    whole = chat_format.expand
+    monkeypatch.setattr(chat_format, "expand", lambda d: whole(d).withColumn("text", F.replace("text", F.lit("twice"), F.lit("other"))))
+    wrong = got(chat_format.op10(conv(spark, CHAT)), "conv_id", "loss_sha256", "turns_sha256")
+    assert {r[0] for r in set(wrong) - set(right)} == {3}
+
+
+def test_expansion_takes_one_shuffle(spark):
+    plan = chat_format.op10(conv(spark, CHAT))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("op", [mixing.op1, quality_rules.op2, line_dedup.op7, secret_scan.op9])
 def test_empty_tables(nothing, op):
     assert op(nothing).count() == 0
