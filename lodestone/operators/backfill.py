@@ -170,26 +170,41 @@ def _content(columns: list[str]) -> Column:
     return F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in sorted(columns)]).cast("decimal(38,0)"))
 
 
-def expected_rows(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
-    """(ingest_day, n_expected) as the Parquet footers say: no column is read,
-    so Spark takes the row counts of the row groups. Files without a readable
-    footer have no row here."""
+FILE = "_lodestone_file"
+
+
+def files_of(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
+    """(FILE, ingest_day, n) of old silver files, with their rows as the Parquet footers
+    say: no column is read, so Spark takes the row counts of the row groups.
+    Files without a readable footer have no row here. It is stored, one row a file, before the day is
+    taken from the name: a filter on the day would else be pushed to
+    the scan, and take the name of the file apart for every row."""
+    from lodestone.session import materialize
+
     files = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(*paths)
-    day = extract_day(relative_key(F.col("_metadata.file_path"), root))
-    return files.select(day.alias("ingest_day")).groupBy("ingest_day").agg(F.count("*").alias("n_expected"))
+    per_file = materialize(files.select(F.col("_metadata.file_path").alias(FILE)).groupBy(FILE).agg(F.count("*").alias("n")))
+    return per_file.select(FILE, extract_day(relative_key(F.col(FILE), root)).alias("ingest_day"), "n")
+
+
+def expected_rows(files: DataFrame) -> DataFrame:
+    """(ingest_day, n_expected) of ``files_of``."""
+    return files.groupBy("ingest_day").agg(F.sum("n").alias("n_expected"))
 
 
 def _by_day(rows: DataFrame, day: str, columns: list[str], n: str, content: str) -> DataFrame:
     return rows.groupBy(F.col(day).cast("string").alias("ingest_day")).agg(F.count("*").alias(n), _content(columns).alias(content))
 
 
-def silver_rows(spark: SparkSession, paths: list[str], root: str, tolerant: bool) -> DataFrame:
-    """The rows of some old silver files with their new partition, columns
+def silver_rows(spark: SparkSession, paths: list[str], files: DataFrame, tolerant: bool) -> DataFrame:
+    """The rows of some old silver files with their new partition (by ``files_of``), columns
     merged. ``tolerant`` gives up a damaged file where its damage begins;
-    otherwise it fails the job."""
-    files = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true") \
+    otherwise it fails the job. Pages that carry a checksum are held against it
+    as they are read: damage that still decompresses would else be
+    found by whoever decodes the values, beyond the reader's tolerance, or not at all."""
+    rows = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").option("parquet.page.verify-checksum.enabled", "true") \
         .option("ignoreCorruptFiles", str(tolerant).lower()).parquet(*paths)
-    return files.withColumn(PARTITION, extract_day(relative_key(F.col("_metadata.file_path"), root)))
+    days = files.select(FILE, F.col("ingest_day").alias(PARTITION))  # as many as the calendar has days
+    return rows.withColumn(FILE, F.col("_metadata.file_path")).join(F.broadcast(days), FILE).drop(FILE)
 
 
 def bronze_rows(winners: DataFrame, root: str) -> DataFrame:
@@ -232,9 +247,10 @@ def move_feed(spark: SparkSession, man: DataFrame, root: str, out: str, layer: s
         read = days.withColumn("n_expected", F.lit(1).cast("bigint"))
     elif paths:
         try:
-            rows = silver_rows(spark, sorted(paths.values()), root, tolerant=True)
+            files = files_of(spark, sorted(paths.values()), root)
+            rows = silver_rows(spark, sorted(paths.values()), files, tolerant=True)
             columns = [c for c in rows.columns if c != PARTITION]
-            read = days.join(expected_rows(spark, sorted(paths.values()), root), "ingest_day", "left")
+            read = days.join(expected_rows(files), "ingest_day", "left")
         except AnalysisException:  # not one of the files has a readable schema
             rows = None
     if rows is None:
@@ -245,7 +261,7 @@ def move_feed(spark: SparkSession, man: DataFrame, root: str, out: str, layer: s
     written = read.select("ingest_day", F.lit(None).cast("bigint").alias("n_written"), F.lit(None).cast("decimal(38,0)").alias("content_written")).limit(0)
     if whole:
         _write_days(bronze_rows(winners.where(F.col("ingest_day").isin(whole)), root) if layer == "bronze"
-                    else silver_rows(spark, [paths[d] for d in whole], root, tolerant=False), target, layer)
+                    else silver_rows(spark, [paths[d] for d in whole], files, tolerant=False), target, layer)
         back = spark.read.schema(rows.schema)  # the partition stays text
         back = (back.text(target) if layer == "bronze" else back.parquet(target)).where(F.col(PARTITION).isin(whole))
         written = materialize(_by_day(back, PARTITION, columns, "n_written", "content_written"))

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.plans.demo import silver_currency, table
+from lodestone.session import materialize
 
 DAMAGED_YEAR = 1995  # of the FX files
 HOUR = "08-00-00"    # file systems below Spark take no colon in a name
+YEAR_TASKS = 64      # so many that few years share one
 
 
 def damage(spark: SparkSession, path: str) -> None:
@@ -41,14 +43,22 @@ def one_file(spark: SparkSession, folder: str) -> str:
 
 def write_old_tree(spark: SparkSession, sf_dir: str, root: str) -> list[int]:
     """Write the tree below ``root``, damage one file, and return the years."""
-    orders = table(spark, sf_dir, "orders")
-    years = sorted(r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect())
-    rates: DataFrame = silver_currency(spark, sf_dir).drop("ingested_at")
-    per_year = orders.groupBy(F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("highest"))
+    y = F.year("o_orderdate").alias("y")
+    per_year = materialize(table(spark, sf_dir, "orders").groupBy(y).agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("highest")))
+    size = {r["y"]: r["n_orders"] for r in per_year.select("y", "n_orders").collect()}  # as many as the calendar has years
+    years = sorted(size)
+    # all years in one pass over the orders, each by one task: an object is one file
+    rates: DataFrame = silver_currency(spark, sf_dir).drop("ingested_at").withColumn("y", F.substring("rate_date", 1, 4).cast("int"))
+    # row groups small against a file, so that it has readable ones before its
+    # damage, and not more of them in larger files, whose footers every reader parses
+    rates.repartition(YEAR_TASKS, "y").write.option("parquet.block.size", max(8192, 2 * max(size.values(), default=0))).partitionBy("y").parquet(f"{root}-by-year")
+    jvm, conf = spark._jvm, spark._jsparkSession.sparkContext().hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path
+    fs = place(root).getFileSystem(conf)
     for y in years:
-        of_year = rates.where(F.substring("rate_date", 1, 4) == str(y)).coalesce(1)
-        # small row groups, so that the file has readable ones before its damage
-        of_year.write.option("parquet.block.size", 8192).parquet(f"{root}/silver/{y}-01-01 {HOUR}/currency_rates")
+        fs.mkdirs(place(f"{root}/silver/{y}-01-01 {HOUR}"))
+        if not fs.rename(place(f"{root}-by-year/y={y}"), place(f"{root}/silver/{y}-01-01 {HOUR}/currency_rates")):
+            raise OSError(f"no FX file of {y}")
         doc = per_year.where(F.col("y") == y).select(F.to_json(F.struct("n_orders", "highest")).alias("value")).coalesce(1)
         doc.write.text(f"{root}/bronze/{y}-01-01 {HOUR}/metal_prices")
     damage(spark, one_file(spark, f"{root}/silver/{DAMAGED_YEAR}-01-01 {HOUR}/currency_rates"))

@@ -7,7 +7,10 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from pyspark.sql import functions as F
+
 from lodestone.operators import backfill
+from lodestone.plans import oldtree
 from lodestone.plans.oldtree import damage
 from lodestone.sources.bronze import read_bronze
 from tests.conftest import rows
@@ -158,3 +161,39 @@ def test_backfill_of_empty_files_and_odd_days(spark, tmp_dir):
     man, ledger = backfill.backfill_ledger(spark, tmp_dir)
     assert sorted((r["ingest_day"], r["outcome"]) for r in man.collect()) == [("2026-04-08", "failed"), ("20=6%a", "migrated")]
     assert {r["ingest_day"]: r["n_written"] for r in ledger.collect()} == {"2026-04-08": None, "20=6%a": 2}
+
+
+def test_damage_inside_a_page_is_failed_and_does_not_stop_the_others(spark, tmp_dir):
+    """Indices into a dictionary that point beyond it decompress well and fail only where values are decoded."""
+    os.makedirs(os.path.join(tmp_dir, "bronze"))
+    for day in ("08", "09"):
+        folder = os.path.join(tmp_dir, f"silver/2026-04-{day} 08-00-00/currency_rates")
+        spark.range(0, 200_000, 1, 1).select(F.concat(F.lit("d"), F.xxhash64("id") % 300).alias("rate_date"), (F.xxhash64("id") % 350).cast("string").alias("currency_code")) \
+            .write.parquet(folder)
+    damage(spark, oldtree.one_file(spark, os.path.join(tmp_dir, "silver/2026-04-09 08-00-00/currency_rates")))
+    _, ledger = backfill.backfill_ledger(spark, tmp_dir, os.path.join(tmp_dir, "new"))
+    assert {r["ingest_day"]: (r["n_expected"], r["n_written"], r["is_proven"]) for r in ledger.collect()} == {
+        "2026-04-08": (200_000, 200_000, True), "2026-04-09": (200_000, None, False)}
+
+
+def test_old_files_have_few_row_groups(spark, tmp_dir):
+    """The number of row groups does not grow with the file: readers parse the footer for every split."""
+    sf, n = os.path.join(tmp_dir, "sf"), 120_000
+    spark.range(n).select(F.expr("timestamp'1995-01-01' + make_interval(0, 0, 0, int(id % 700))").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+                          (F.xxhash64("id") / 1000).alias("o_totalprice")).write.parquet(f"{sf}/orders.parquet")
+    assert oldtree.write_old_tree(spark, sf, f"{tmp_dir}/old") == [1995, 1996]
+    for y in (1995, 1996):
+        footer = pq.ParquetFile(oldtree.one_file(spark, f"{tmp_dir}/old/silver/{y}-01-01 {oldtree.HOUR}/currency_rates").removeprefix("file:").replace("%20", " ")).metadata
+        assert 1 < footer.num_row_groups <= 40
+        assert footer.num_rows == sum(1 for i in range(700) if (i < 365) == (y == 1995)) * (n // 700) + sum(1 for i in range(n % 700) if (i < 365) == (y == 1995))
+
+
+def test_the_day_is_read_per_file(spark, tmp_dir):
+    """Names are taken apart once a file: a filter on the day reaches the stored files and not the scan of the rows."""
+    put_groups(tmp_dir, "silver/2026-04-08 08-00-00/currency_rates.parquet", 1000)
+    path = f"{tmp_dir}/silver/2026-04-08 08-00-00/currency_rates.parquet"
+    files = backfill.files_of(spark, [path], tmp_dir)
+    plan = files.where("ingest_day IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan.lower() and "Relation" not in plan
+    rows_ = backfill.silver_rows(spark, [path], files, tolerant=False)
+    assert {r[0]: r[1] for r in rows_.groupBy("ingested_at").count().collect()} == {"2026-04-08": 1000}
