@@ -74,3 +74,18 @@ def test_counters_of_a_landing(spark, tmp_dir):
     assert rows(daily.land_feeds(checked, tmp_dir)) == [("fred", 0, 1, True), ("news", 2, 1, False)]
     assert rows(spark.read.parquet(f"{tmp_dir}/news"), "total_mentions") == [(1,), (2,)]
     assert rows(daily.land_feeds({"news": checked["news"].where(F.lit(False))}, tmp_dir)) == [("news", 0, 0, True)]
+
+
+def test_a_batch_has_few_files_and_its_state_is_on_disk(spark, tmp_dir):
+    """Tasks of the stream do not each write a file in every day, and the names of documents are not held in the heap."""
+    days = [f"2026-04-{k:02d}" for k in range(1, 9)]
+    for day in days:
+        deliver(tmp_dir, day, "a.txt", [doc(day, str(k + 1)) for k in range(50)] + ["{broken"])
+    assert len(run(spark, tmp_dir)) == 8 * 50
+    for table in ("fred", "_rejects/fred"):
+        for day in days:
+            found = [f for _, _, files in os.walk(os.path.join(tmp_dir, "silver", table, f"ingested_at={day}")) for f in files if f.endswith(".parquet")]
+            assert len(found) == 1
+    state = [f for _, _, files in os.walk(os.path.join(tmp_dir, "ckpt", "state")) for f in files]
+    assert any(f.endswith(".zip") for f in state)
+    assert spark.conf.get(landing.PROVIDER, None) is None  # the session's own setting is as it was
