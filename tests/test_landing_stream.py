@@ -89,3 +89,28 @@ def test_a_batch_has_few_files_and_its_state_is_on_disk(spark, tmp_dir):
     state = [f for _, _, files in os.walk(os.path.join(tmp_dir, "ckpt", "state")) for f in files]
     assert any(f.endswith(".zip") for f in state)
     assert spark.conf.get(landing.PROVIDER, None) is None  # the session's own setting is as it was
+
+
+def test_a_local_checkpoint_is_written_without_processes(spark, tmp_dir, monkeypatch):
+    """Hadoop's FileContext starts processes for every rename in a local folder; the stream's session names
+    the FileSystem's manager there. Elsewhere, and if the session names one, nothing is set."""
+    deliver(tmp_dir, "2026-04-07", "a.txt", [doc("2026-04-07", "1.5")])
+    write, seen = landing.write_batch, []
+
+    def notes(docs, *a):
+        seen.append(docs.sparkSession.conf.get("spark.sql.streaming.checkpointFileManagerClass", None))
+        write(docs, *a)
+    monkeypatch.setattr(landing, "write_batch", notes)
+    assert run(spark, tmp_dir) == [("2026-04-07", 1.5)]
+    assert seen and all(c and c.endswith(".FileSystemBasedCheckpointFileManager") for c in seen)
+    assert spark.conf.get(landing.FILES, None) is None
+    monkeypatch.setattr(landing, "_is_local", lambda spark, path: False)
+    with landing.state_on_disk(spark, "/ckpt"):
+        assert spark.conf.get(landing.FILES, None) is None
+    monkeypatch.undo()
+    spark.conf.set(landing.FILES, "mine")
+    try:
+        with landing.state_on_disk(spark, "/ckpt"):
+            assert spark.conf.get(landing.FILES) == "mine"
+    finally:
+        spark.conf.unset(landing.FILES)
